@@ -41,3 +41,14 @@ def income_band(income: str | Column) -> Column:
     for (_, label), (upper, _) in zip(INCOME_BANDS, INCOME_BANDS[1:]):
         out = out.when(x <= upper, F.lit(label))
     return out.otherwise(F.lit(INCOME_BANDS[-1][1]))
+
+
+def round6(x: str | Column) -> Column:
+    """Presentation rounding to 6 decimals, half up on the binary value.
+
+    Used on means of doubles, whose last bits depend on summation order;
+    written as ``floor(x * 1e6 + 0.5) / 1e6`` so any engine evaluating the
+    same IEEE operations returns the same double.
+    """
+    c = F.col(x) if isinstance(x, str) else x
+    return F.floor(c * 1000000.0 + 0.5).cast("double") / 1000000.0

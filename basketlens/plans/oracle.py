@@ -160,6 +160,192 @@ SELECT client, cohort_bin, company,
 FROM counted"""
 
 
+# --------------------------------------------------------------------------- A18-A21
+
+
+def round6(x: str) -> str:
+    """Same presentation rounding as ``functions.metrics.round6``."""
+    return f"(floor(({x}) * 1000000.0 + 0.5) / 1000000.0)"
+
+
+def cadence_ctes(window_days: int = 28, max_gap: int = 200) -> list[str]:
+    """Reference form: rank rows (ties share a rank) and self-join rank r to
+    rank r+1; then a range join of pairs against the client's cohort days."""
+    return [
+        """ranked AS (
+  SELECT client, unique_mem_id, company, date,
+         RANK() OVER (PARTITION BY client, unique_mem_id, company ORDER BY date DESC) AS r
+  FROM cohort)""",
+        """tbo AS (
+  SELECT b.client, b.unique_mem_id, b.company, b.date AS date_base, e.date AS date,
+         CAST(date_diff('day', e.date, b.date) AS INTEGER) AS days_from_last_order
+  FROM ranked b JOIN ranked e
+    ON b.client = e.client AND b.unique_mem_id = e.unique_mem_id AND b.company = e.company AND b.r = e.r - 1)""",
+        """cohort_days AS (SELECT DISTINCT client, date AS day FROM cohort)""",
+        f"""r28 AS (
+  SELECT t.client, t.company, d.day AS date,
+         CAST(SUM(t.days_from_last_order) AS DOUBLE) / COUNT(*) AS days_between_orders
+  FROM tbo t JOIN cohort_days d
+    ON t.client = d.client AND t.date_base <= d.day AND t.date_base + {window_days - 1} >= d.day
+  WHERE NOT (t.date_base = t.date) AND t.days_from_last_order <= {max_gap}
+  GROUP BY 1, 2, 3)""",
+        "period_gap AS (\n  " + "\n  UNION ALL ".join(
+            f"SELECT client, '{g}' AS time_period, {trunc('date', g)} AS date, company, "
+            f"AVG(days_between_orders) AS days_between_orders FROM r28 GROUP BY 1, 3, 4" for g in COARSE) + ")",
+    ]
+
+
+def purchase_pairs() -> str:
+    return with_(BASE_CTE, cohort_cte(), *cadence_ctes()[:2]) + """
+SELECT client, unique_mem_id, company, date_base, date, days_from_last_order, COUNT(*) AS pairs
+FROM tbo GROUP BY ALL"""
+
+
+def rolling_gap() -> str:
+    return with_(BASE_CTE, cohort_cte(), *cadence_ctes()[:4]) + "SELECT * FROM r28"
+
+
+def period_gap() -> str:
+    return with_(BASE_CTE, cohort_cte(), *cadence_ctes()) + f"""
+SELECT client, time_period, date, company, {round6('days_between_orders')} AS days_between_orders FROM period_gap"""
+
+
+def company_metrics() -> str:
+    parts = [f"""
+SELECT c.client, c.date, c.company, c.vertical, c.sub_vertical,
+       CAST(c.transactions AS DOUBLE) / c.users AS transactions_per_user,
+       CAST(c.amount AS DOUBLE) / c.users AS amount_per_user,
+       CAST(c.amount AS DOUBLE) / c.transactions AS average_transaction,
+       {round6('t.days_between_orders')} AS days_between_orders,
+       '{g}' AS time_period
+FROM (SELECT client, {trunc('date', g)} AS date, company, vertical, sub_vertical,
+             SUM(transactions) AS transactions, SUM(amount) AS amount, COUNT(DISTINCT unique_mem_id) AS users
+      FROM cohort GROUP BY 1, 2, 3, 4, 5) c
+JOIN period_gap t ON t.time_period = '{g}' AND t.client = c.client AND t.date = c.date AND t.company = c.company"""
+             for g in COARSE]
+    return with_(BASE_CTE, cohort_cte(), *cadence_ctes()) + "\nUNION ALL\n".join(parts)
+
+
+# --------------------------------------------------------------------------- A3-A9, A13, A29
+
+
+def _values(rows, cols) -> str:
+    body = ", ".join("(" + ", ".join(_q(v) if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS t({', '.join(cols)})"
+
+
+def dims_ctes() -> list[str]:
+    names = dict(STATE_NAMES)
+    codes = "[" + ", ".join(_q(c) for c in STATE_CODES) + "]"
+    return [
+        f"state_names AS (SELECT * FROM {_values(STATE_NAMES, ['state_abr', 'state'])})",
+        f"state_regions AS (SELECT * FROM {_values([(r, names[c]) for c, r in STATE_REGIONS], ['region', 'state'])})",
+        f"income_order AS (SELECT * FROM {_values(INCOME_BANDS, ['income_order', 'census_cat'])})",
+        f"""geo AS (
+  SELECT unique_mem_id, year, month,
+         {codes}[((unique_mem_id * 7 + month * 3) % 52) + 1] AS state1,
+         CASE WHEN unique_mem_id % 20 = 0 THEN NULL ELSE {codes}[(unique_mem_id % 52) + 1] END AS state2
+  FROM (SELECT DISTINCT unique_mem_id, year(date) AS year, month(date) AS month FROM base))""",
+        """income AS (
+  SELECT u.unique_mem_id, u.month_year, c.c_acctbal * 25 AS income_12_months
+  FROM (SELECT DISTINCT unique_mem_id, CAST(date_trunc('month', date) AS DATE) AS month_year FROM base) u
+  JOIN customer c ON c.c_custkey = u.unique_mem_id)""",
+        """month_state AS (
+  SELECT g.unique_mem_id, make_date(CAST(g.year AS BIGINT), CAST(g.month AS BIGINT), 1) AS date, n1.state, r.region
+  FROM geo g
+  JOIN state_names n1 ON g.state1 = n1.state_abr
+  JOIN state_names n2 ON g.state2 = n2.state_abr
+  JOIN state_regions r ON r.state = n1.state)""",
+    ]
+
+
+def band_sql(x: str) -> str:
+    out = f"CASE WHEN {x} IS NULL THEN NULL "
+    for (_, label), (upper, _) in zip(INCOME_BANDS, INCOME_BANDS[1:]):
+        out += f"WHEN {x} <= {upper} THEN {_q(label)} "
+    return out + f"ELSE {_q(INCOME_BANDS[-1][1])} END"
+
+
+def tags_ctes(grains=ALL) -> list[str]:
+    inc = "\n  UNION ALL ".join(
+        f"SELECT '{g}' AS time_period, {trunc('month_year', g)} AS date, unique_mem_id, "
+        f"AVG(income_12_months) AS income FROM income GROUP BY 2, 3" for g in grains)
+    st = "\n  UNION ALL ".join(
+        f"SELECT '{g}' AS time_period, {trunc('date', g)} AS date, unique_mem_id, state, region, "
+        f"COUNT(state) AS state_count FROM month_state GROUP BY 2, 3, 4, 5" for g in grains)
+    return [
+        f"period_income AS (SELECT *, {band_sql('income')} AS census_cat FROM ({inc}))",
+        f"""home_state AS (
+  SELECT time_period, date, unique_mem_id, state, region FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY time_period, date, unique_mem_id
+                                 ORDER BY state_count DESC, state ASC) AS rn
+    FROM ({st})) WHERE rn = 1)""",
+        """tags AS (
+  SELECT i.unique_mem_id, i.date, i.census_cat, i.time_period, h.state, h.region
+  FROM period_income i JOIN home_state h USING (time_period, date, unique_mem_id))""",
+    ]
+
+
+def income_band() -> str:
+    return with_(BASE_CTE, *dims_ctes()) + f"""
+SELECT unique_mem_id, month_year, income_12_months, {band_sql('income_12_months')} AS census_cat FROM income"""
+
+
+def user_month_state() -> str:
+    return with_(BASE_CTE, *dims_ctes()) + "SELECT * FROM month_state"
+
+
+def user_period_income() -> str:
+    return with_(BASE_CTE, *dims_ctes(), *tags_ctes()) + f"""
+SELECT time_period, date, unique_mem_id, {round6('income')} AS income, census_cat FROM period_income"""
+
+
+def user_period_home_state() -> str:
+    return with_(BASE_CTE, *dims_ctes(), *tags_ctes()) + "SELECT * FROM home_state"
+
+
+def geo_income_tags() -> str:
+    return with_(BASE_CTE, *dims_ctes(), *tags_ctes()) + "SELECT * FROM tags"
+
+
+def _state_income_cte() -> str:
+    parts = []
+    for g in COARSE:
+        label = {"month": "CAST(year(m.date) AS VARCHAR) || ' month ' || CAST(month(m.date) AS VARCHAR)",
+                 "quarter": "CAST(year(m.date) AS VARCHAR) || ' quarter ' || CAST(quarter(m.date) AS VARCHAR)",
+                 "year": "'year'"}[g]
+        parts.append(f"""
+  SELECT m.census_cat, m.date, m.state, m.company, m.vertical, m.sub_vertical, m.region,
+         CAST(m.transactions AS DOUBLE) / p.unique_users AS transactions,
+         CAST(m.amount AS DOUBLE) / p.unique_users AS amount,
+         o.income_order, '{g}' AS time_period, {label} AS date_category
+  FROM (SELECT b.date, t.state, t.census_cat, b.company, b.vertical, b.sub_vertical, t.region,
+               SUM(b.transactions) AS transactions, SUM(b.amount) AS amount
+        FROM (SELECT {trunc('date', g)} AS date, unique_mem_id, company, vertical, sub_vertical, transactions, amount
+              FROM base) b
+        LEFT JOIN (SELECT * FROM tags WHERE time_period = '{g}') t
+          ON b.date = t.date AND b.unique_mem_id = t.unique_mem_id
+        GROUP BY 1, 2, 3, 4, 5, 6, 7) m
+  JOIN panel p ON p.time_period = '{g}' AND p.date = m.date
+  JOIN income_order o ON o.census_cat = m.census_cat""")
+    return "state_income AS (" + "\n  UNION ALL".join(parts) + ")"
+
+
+def state_income_metrics() -> str:
+    return with_(BASE_CTE, panel_cte(COARSE), *dims_ctes(), *tags_ctes(COARSE), _state_income_cte()) + \
+        "SELECT * FROM state_income"
+
+
+def client_metric_slice() -> str:
+    by_client: dict[str, list[str]] = {}
+    for client, pred in TEST_CLIENT_FILTERS:
+        by_client.setdefault(client, []).append(pred)
+    parts = [f"SELECT {_q(c)} AS client, s.* FROM state_income s WHERE {' AND '.join(f'({p})' for p in preds)}"
+             for c, preds in sorted(by_client.items())]
+    return with_(BASE_CTE, panel_cte(COARSE), *dims_ctes(), *tags_ctes(COARSE), _state_income_cte()) + \
+        "\nUNION ALL\n".join(parts)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "normalize_base": normalize_base(),
@@ -169,4 +355,15 @@ def all_sql() -> dict[str, str]:
         "client_cohort": client_cohort(),
         "user_breakdown": user_breakdown(),
         "transaction_bins": transaction_bins(),
+        "purchase_pairs": purchase_pairs(),
+        "rolling_gap": rolling_gap(),
+        "period_gap": period_gap(),
+        "company_metrics": company_metrics(),
+        "income_band": income_band(),
+        "user_month_state": user_month_state(),
+        "user_period_income": user_period_income(),
+        "user_period_home_state": user_period_home_state(),
+        "geo_income_tags": geo_income_tags(),
+        "state_income_metrics": state_income_metrics(),
+        "client_metric_slice": client_metric_slice(),
     }

@@ -14,10 +14,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import MONEY_SUM
+from ..functions.metrics import MONEY_SUM, round6
 from ..functions.periods import COARSE_GRAINS, GRAINS, expand_periods as _expand
-from ..operators import behaviour, cohort, panel
-from ..sources import config, tables
+from ..operators import behaviour, cadence, cohort, company, panel, tags
+from ..sources import config, dims, tables
 
 
 class Inputs:
@@ -50,6 +50,26 @@ class Inputs:
     def panel_at(self, grains) -> DataFrame:
         return panel.panel_users(self.base, grains)
 
+    @cached_property
+    def geo(self) -> DataFrame:
+        return tables.user_geography(self.base)
+
+    @cached_property
+    def income(self) -> DataFrame:
+        return tables.rolling_income(self.spark, self.sf_dir, self.base)
+
+    @cached_property
+    def month_state(self) -> DataFrame:
+        return tags.user_month_state(self.geo, dims.state_names(self.spark), dims.state_regions(self.spark))
+
+    def tags_at(self, grains) -> DataFrame:
+        return tags.geo_income_tags(self.income, self.month_state, grains)
+
+    @cached_property
+    def state_income(self) -> DataFrame:
+        return company.state_income_metrics(self.base, self.tags_at(COARSE_GRAINS), self.panel_at(COARSE_GRAINS),
+                                            dims.income_order(self.spark), COARSE_GRAINS)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +111,58 @@ def q_transaction_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behaviour.transaction_bins(Inputs(spark, sf_dir).cohort)
 
 
+def q_purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cadence.purchase_pairs(Inputs(spark, sf_dir).cohort)
+
+
+def q_rolling_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coh = Inputs(spark, sf_dir).cohort
+    return cadence.rolling_gap(cadence.purchase_pairs(coh), coh)
+
+
+def q_period_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cadence.order_cadence(Inputs(spark, sf_dir).cohort, COARSE_GRAINS)
+    return out.withColumn("days_between_orders", round6("days_between_orders"))
+
+
+def q_company_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coh = Inputs(spark, sf_dir).cohort
+    out = company.company_metrics(coh, cadence.order_cadence(coh, COARSE_GRAINS), COARSE_GRAINS)
+    return out.withColumn("days_between_orders", round6("days_between_orders"))
+
+
+def q_income_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.metrics import income_band
+
+    return Inputs(spark, sf_dir).income.withColumn("census_cat", income_band("income_12_months"))
+
+
+def q_user_month_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Inputs(spark, sf_dir).month_state
+
+
+def q_user_period_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tags.user_period_income(Inputs(spark, sf_dir).income, GRAINS)
+    return out.withColumn("income", round6("income"))
+
+
+def q_user_period_home_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tags.user_period_home_state(Inputs(spark, sf_dir).month_state, GRAINS)
+
+
+def q_geo_income_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Inputs(spark, sf_dir).tags_at(GRAINS)
+
+
+def q_state_income_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Inputs(spark, sf_dir).state_income
+
+
+def q_client_metric_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = Inputs(spark, sf_dir)
+    return cohort.client_metric_slice(inp.state_income, inp.filters)
+
+
 QUERIES: dict[str, Query] = {
     "normalize_base": q_normalize_base,
     "expand_periods": q_expand_periods,
@@ -99,4 +171,15 @@ QUERIES: dict[str, Query] = {
     "client_cohort": q_client_cohort,
     "user_breakdown": q_user_breakdown,
     "transaction_bins": q_transaction_bins,
+    "purchase_pairs": q_purchase_pairs,
+    "rolling_gap": q_rolling_gap,
+    "period_gap": q_period_gap,
+    "company_metrics": q_company_metrics,
+    "income_band": q_income_band,
+    "user_month_state": q_user_month_state,
+    "user_period_income": q_user_period_income,
+    "user_period_home_state": q_user_period_home_state,
+    "geo_income_tags": q_geo_income_tags,
+    "state_income_metrics": q_state_income_metrics,
+    "client_metric_slice": q_client_metric_slice,
 }
