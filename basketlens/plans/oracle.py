@@ -346,6 +346,151 @@ def client_metric_slice() -> str:
         "\nUNION ALL\n".join(parts)
 
 
+# --------------------------------------------------------------------------- A22, A23, A24
+
+
+def _elapsed(later: str, earlier: str, grain: str) -> str:
+    if grain == "year":
+        return f"(year({later}) - year({earlier}))"
+    if grain == "month":
+        return f"((year({later}) - year({earlier})) * 12 + month({later}) - month({earlier}))"
+    return f"((year({later}) - year({earlier})) * 4 + quarter({later}) - quarter({earlier}))"
+
+
+def retention() -> str:
+    """Reference form: self-join of (user, company, period) rows; for the
+    gapless method a lag window finds the first break and rows at or after
+    it are dropped; back-join of the base-user count."""
+    parts = []
+    for g in COARSE:
+        for method in ("drop_nl_users", "keep_nl_users"):
+            pairs = f"""(SELECT b.client, b.unique_mem_id, b.company, b.date AS date_base, d.date,
+          CAST({_elapsed('d.date', 'b.date', g)} AS INTEGER) AS period_elapsed
+   FROM (SELECT DISTINCT client, unique_mem_id, company, {trunc('date', g)} AS date FROM cohort) b
+   JOIN (SELECT DISTINCT client, unique_mem_id, company, {trunc('date', g)} AS date FROM cohort) d
+     ON b.client = d.client AND b.unique_mem_id = d.unique_mem_id AND b.company = d.company
+    AND b.date <= d.date)"""
+            if method == "drop_nl_users":
+                rd = f"""(SELECT r.* FROM {pairs} r
+   LEFT JOIN (
+     SELECT client, unique_mem_id, company, date_base, MIN(period_elapsed) AS first_break
+     FROM (SELECT *, period_elapsed - LAG(period_elapsed) OVER (
+                 PARTITION BY client, unique_mem_id, company, date_base ORDER BY period_elapsed) AS step
+           FROM {pairs})
+     WHERE step > 1 GROUP BY 1, 2, 3, 4) k
+   USING (client, unique_mem_id, company, date_base)
+   WHERE k.first_break IS NULL OR r.period_elapsed < k.first_break)"""
+            else:
+                rd = pairs
+            parts.append(f"""
+SELECT x.client, x.date_base, x.company,
+       CAST(u.base_users AS DOUBLE) / p.unique_users AS unique_users_base,
+       x.date, x.period_elapsed, '{g}' AS time_period,
+       CAST(x.retained AS DOUBLE) / p.unique_users AS retained_users,
+       make_date(2000 + x.period_elapsed, 1, 1) AS period_elapsed_date,
+       strftime(x.date_base, '%m/%d/%Y') AS date_base_cat,
+       '{method}' AS method
+FROM (SELECT client, company, date_base, date, period_elapsed, COUNT(DISTINCT unique_mem_id) AS retained
+      FROM {rd} GROUP BY 1, 2, 3, 4, 5) x
+JOIN (SELECT client, company, date_base, COUNT(DISTINCT unique_mem_id) AS base_users
+      FROM {rd} GROUP BY 1, 2, 3) u USING (client, company, date_base)
+JOIN panel p ON p.time_period = '{g}' AND p.date = x.date_base""")
+    return with_(BASE_CTE, cohort_cte(), panel_cte(COARSE)) + "\nUNION ALL\n".join(parts)
+
+
+def crossover() -> str:
+    """Reference form: per grain, join the two aggregates on (period, user),
+    aggregate, and join back the per-(period, reference) totals."""
+    parts = []
+    for g in COARSE:
+        parts.append(f"""
+SELECT * FROM (
+  WITH j AS (
+    SELECT r.client, a.date, r.company_ref, a.company, a.vertical, a.sub_vertical, r.transactions_ref,
+           a.transactions, a.amount
+    FROM (SELECT {trunc('date', g)} AS date, unique_mem_id, company, vertical, sub_vertical,
+                 SUM(transactions) AS transactions, SUM(amount) AS amount
+          FROM base GROUP BY 1, 2, 3, 4, 5) a
+    JOIN (SELECT client, {trunc('date', g)} AS date, unique_mem_id, company AS company_ref,
+                 SUM(transactions) AS transactions_ref
+          FROM cohort GROUP BY 1, 2, 3, 4) r
+      ON a.date = r.date AND a.unique_mem_id = r.unique_mem_id),
+  tot AS (SELECT client, date, company_ref, SUM(transactions) AS tt, SUM(amount) AS ta FROM j GROUP BY 1, 2, 3)
+  SELECT c.client, c.date, c.company_ref, c.company, c.vertical, c.sub_vertical,
+         CAST(c.transactions_ref AS BIGINT) AS transactions_ref,
+         CAST(c.transactions AS DOUBLE) / t.tt AS transactions,
+         CAST(c.amount AS DOUBLE) / CAST(t.ta AS DOUBLE) AS amount,
+         '{g}' AS time_period
+  FROM (SELECT client, date, company_ref, company, vertical, sub_vertical, transactions_ref,
+               SUM(transactions) AS transactions, SUM(amount) AS amount
+        FROM j GROUP BY 1, 2, 3, 4, 5, 6, 7) c
+  JOIN tot t USING (client, date, company_ref))""")
+    return with_(BASE_CTE, cohort_cte()) + "\nUNION ALL\n".join(parts)
+
+
+# --------------------------------------------------------------------------- A12, A15-A17, A28
+
+
+def _holiday_ctes() -> list[str]:
+    """The fixture's three rules with their offsets written out by hand."""
+    tg = "(make_date(y, 11, 1) + CAST((4 - dayofweek(make_date(y, 11, 1)) + 7) % 7 + 21 AS INTEGER))"
+    xmas = "make_date(y, 12, 25)"
+    rules = [
+        ("alpha", "Thanksgiving", f"{tg} - 7", f"{tg} + 7"),
+        ("alpha", "Christmas", f"{xmas} - 7", f"{xmas} + 7"),
+        ("beta", "Thanksgiving", f"{tg} - 3", f"{tg}"),
+    ]
+    assert len(rules) == len(TEST_HOLIDAY_RANGES)
+    spans = "\n    UNION ALL ".join(
+        f"SELECT {_q(c)} AS client, {_q(h)} AS holiday, {s} AS s, {e} AS e FROM yrs" for c, h, s, e in rules)
+    return [
+        """yrs AS (SELECT UNNEST(generate_series(CAST(year(MIN(date)) AS BIGINT), CAST(year(MAX(date)) AS BIGINT))) AS y
+  FROM base)""",
+        f"spans AS (\n    {spans})",
+        """calendar AS (
+  SELECT client, holiday, CAST(s + CAST(i AS INTEGER) AS DATE) AS date,
+         CASE WHEN year(s) = year(e) THEN CAST(year(s) AS VARCHAR)
+              ELSE CAST(year(s) AS VARCHAR) || '/' || CAST(year(e) AS VARCHAR) END AS years
+  FROM (SELECT *, UNNEST(generate_series(0, date_diff('day', s, e))) AS i FROM spans WHERE e >= s))""",
+        "hcohort AS (SELECT c.*, h.holiday, h.years FROM cohort c JOIN calendar h ON c.client = h.client AND c.date = h.date)",
+        """hdays AS (SELECT client, holiday, years, COUNT(DISTINCT date) AS days FROM hcohort GROUP BY 1, 2, 3)""",
+        """husers AS (
+  SELECT h.client, h.holiday, h.years, COUNT(DISTINCT b.unique_mem_id) AS unique_users
+  FROM base b JOIN calendar h ON b.date = h.date GROUP BY 1, 2, 3)""",
+    ]
+
+
+def holiday_calendar() -> str:
+    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + "SELECT * FROM calendar"
+
+
+def holiday_cohort() -> str:
+    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + "SELECT * FROM hcohort"
+
+
+def holiday_day_count() -> str:
+    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + "SELECT * FROM hdays"
+
+
+def holiday_panel_users() -> str:
+    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + "SELECT * FROM husers"
+
+
+def holiday_metrics() -> str:
+    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + """
+SELECT m.client, m.years, m.holiday, m.company, m.vertical, m.sub_vertical,
+       CAST(m.t AS DOUBLE) / u.unique_users AS transactions,
+       CAST(m.a AS DOUBLE) / u.unique_users AS amount,
+       CAST(m.a AS DOUBLE) / m.t AS average_transaction,
+       CAST(m.t AS DOUBLE) / m.buyers AS transactions_per_user,
+       CAST(m.a AS DOUBLE) / m.buyers AS amount_per_user
+FROM (SELECT client, years, holiday, company, vertical, sub_vertical, SUM(transactions) AS t, SUM(amount) AS a,
+             COUNT(DISTINCT unique_mem_id) AS buyers
+      FROM hcohort GROUP BY 1, 2, 3, 4, 5, 6) m
+JOIN husers u USING (client, years, holiday)
+JOIN hdays d USING (client, years, holiday)"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "normalize_base": normalize_base(),
@@ -366,4 +511,11 @@ def all_sql() -> dict[str, str]:
         "geo_income_tags": geo_income_tags(),
         "state_income_metrics": state_income_metrics(),
         "client_metric_slice": client_metric_slice(),
+        "retention": retention(),
+        "crossover": crossover(),
+        "holiday_calendar": holiday_calendar(),
+        "holiday_cohort": holiday_cohort(),
+        "holiday_day_count": holiday_day_count(),
+        "holiday_panel_users": holiday_panel_users(),
+        "holiday_metrics": holiday_metrics(),
     }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import MONEY_SUM, round6
 from ..functions.periods import COARSE_GRAINS, GRAINS, expand_periods as _expand
-from ..operators import behaviour, cadence, cohort, company, panel, tags
+from ..operators import behaviour, cadence, cohort, company, crossover, holidays, panel, retention, tags
 from ..sources import config, dims, tables
 
 
@@ -71,6 +71,23 @@ class Inputs:
                                             dims.income_order(self.spark), COARSE_GRAINS)
 
 
+    @cached_property
+    def years(self) -> tuple[int, int]:
+        return holidays.data_years(self.base)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return holidays.holiday_calendar(self.holiday_ranges, self.years)
+
+    @cached_property
+    def calendar_rows(self) -> int:
+        return holidays.calendar_max_rows(self.holiday_ranges, self.years)
+
+    @cached_property
+    def hcohort(self) -> DataFrame:
+        return holidays.holiday_cohort(self.cohort, self.calendar, self.calendar_rows)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -163,6 +180,39 @@ def q_client_metric_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.client_metric_slice(inp.state_income, inp.filters)
 
 
+def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = Inputs(spark, sf_dir)
+    return retention.retention(inp.cohort, inp.panel_at(COARSE_GRAINS), COARSE_GRAINS)
+
+
+def q_crossover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = Inputs(spark, sf_dir)
+    return crossover.crossover(inp.base, inp.cohort, COARSE_GRAINS)
+
+
+def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Inputs(spark, sf_dir).calendar
+
+
+def q_holiday_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Inputs(spark, sf_dir).hcohort
+
+
+def q_holiday_day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return holidays.holiday_day_count(Inputs(spark, sf_dir).hcohort)
+
+
+def q_holiday_panel_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = Inputs(spark, sf_dir)
+    return holidays.holiday_panel_users(inp.base, inp.calendar, inp.calendar_rows)
+
+
+def q_holiday_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = Inputs(spark, sf_dir)
+    return holidays.holiday_metrics(inp.hcohort, holidays.holiday_day_count(inp.hcohort),
+                                    holidays.holiday_panel_users(inp.base, inp.calendar, inp.calendar_rows))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_base": q_normalize_base,
     "expand_periods": q_expand_periods,
@@ -182,4 +232,11 @@ QUERIES: dict[str, Query] = {
     "geo_income_tags": q_geo_income_tags,
     "state_income_metrics": q_state_income_metrics,
     "client_metric_slice": q_client_metric_slice,
+    "retention": q_retention,
+    "crossover": q_crossover,
+    "holiday_calendar": q_holiday_calendar,
+    "holiday_cohort": q_holiday_cohort,
+    "holiday_day_count": q_holiday_day_count,
+    "holiday_panel_users": q_holiday_panel_users,
+    "holiday_metrics": q_holiday_metrics,
 }
