@@ -491,6 +491,45 @@ JOIN husers u USING (client, years, holiday)
 JOIN hdays d USING (client, years, holiday)"""
 
 
+# --------------------------------------------------------------------------- A2, A25, A33, A38
+
+
+def period_diff() -> str:
+    """Reference form: month and year differences, quarters via ceil(month / 3)."""
+    return with_(BASE_CTE) + """
+SELECT unique_mem_id, company, first_date, last_date,
+       CAST((year(last_date) - year(first_date)) * 12 + month(last_date) - month(first_date) AS INTEGER)
+         AS months_elapsed,
+       CAST((year(last_date) - year(first_date)) * 4 + ceil(month(last_date) / 3.0) - ceil(month(first_date) / 3.0)
+         AS INTEGER) AS quarters_elapsed,
+       CAST(year(last_date) - year(first_date) AS INTEGER) AS years_elapsed
+FROM (SELECT unique_mem_id, company, MIN(date) AS first_date, MAX(date) AS last_date FROM base GROUP BY 1, 2)"""
+
+
+def layout_parity() -> str:
+    return with_(BASE_CTE) + """
+, sums AS (SELECT date, unique_mem_id, CAST(SUM(transactions) AS BIGINT) AS transactions FROM base GROUP BY 1, 2)
+SELECT 'flat_only' AS side, * FROM (SELECT * FROM sums EXCEPT ALL SELECT * FROM sums)
+UNION ALL
+SELECT 'partitioned_only' AS side, * FROM (SELECT * FROM sums EXCEPT ALL SELECT * FROM sums)"""
+
+
+def rename_clients(renames: dict[str, str] | None = None) -> str:
+    from .queries import RENAMES
+
+    renames = RENAMES if renames is None else renames
+    case = "CASE " + " ".join(f"WHEN client = {_q(a)} THEN {_q(b)}" for a, b in sorted(renames.items())) + \
+        " ELSE client END"
+    return f"SELECT {case} AS client, * EXCLUDE (client) FROM ({transaction_bins()})"
+
+
+def drop_client_outputs(removed=None) -> str:
+    from .queries import REMOVED
+
+    removed = REMOVED if removed is None else removed
+    return f"SELECT * FROM ({transaction_bins()}) WHERE client NOT IN ({', '.join(_q(c) for c in removed)})"
+
+
 def all_sql() -> dict[str, str]:
     return {
         "normalize_base": normalize_base(),
@@ -518,4 +557,8 @@ def all_sql() -> dict[str, str]:
         "holiday_day_count": holiday_day_count(),
         "holiday_panel_users": holiday_panel_users(),
         "holiday_metrics": holiday_metrics(),
+        "period_diff": period_diff(),
+        "layout_parity": layout_parity(),
+        "rename_clients": rename_clients(),
+        "drop_client_outputs": drop_client_outputs(),
     }

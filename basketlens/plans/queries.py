@@ -15,9 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metrics import MONEY_SUM, round6
-from ..functions.periods import COARSE_GRAINS, GRAINS, expand_periods as _expand
-from ..operators import behaviour, cadence, cohort, company, crossover, holidays, panel, retention, tags
-from ..sources import config, dims, tables
+from ..functions.periods import COARSE_GRAINS, GRAINS, expand_periods as _expand, period_diff, period_start
+from ..operators import admin, behaviour, cadence, cohort, company, crossover, holidays, panel, retention, tags
+from ..session import scratch_path
+from ..sources import config, dims, sinks, tables
+
+#: client renames applied by the ``rename_clients`` query
+RENAMES = {"beta": "Beta", "gamma store": "Gamma Store"}
+#: clients removed by the ``drop_client_outputs`` query
+REMOVED = ("beta",)
 
 
 class Inputs:
@@ -213,6 +219,34 @@ def q_holiday_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     holidays.holiday_panel_users(inp.base, inp.calendar, inp.calendar_rows))
 
 
+def q_period_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A25 over the data: whole periods between each user's first and last
+    purchase period at each company."""
+    span = Inputs(spark, sf_dir).base.groupBy("unique_mem_id", "company").agg(
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return span.select(
+        "unique_mem_id", "company", "first_date", "last_date",
+        *[period_diff(period_start("last_date", g), period_start("first_date", g), g).alias(f"{g}s_elapsed")
+          for g in COARSE_GRAINS])
+
+
+def q_layout_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A2: write the base table partitioned by month to the shared
+    folder, read it back and list every (date, user) sum that differs."""
+    base = Inputs(spark, sf_dir).base
+    path = scratch_path(spark, "base_by_month")
+    sinks.write_base(base, path)
+    return sinks.layout_parity(base, sinks.read_base(spark, path))
+
+
+def q_rename_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admin.rename_clients(q_transaction_bins(spark, sf_dir), RENAMES)
+
+
+def q_drop_client_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admin.remove_clients(q_transaction_bins(spark, sf_dir), REMOVED)
+
+
 QUERIES: dict[str, Query] = {
     "normalize_base": q_normalize_base,
     "expand_periods": q_expand_periods,
@@ -239,4 +273,8 @@ QUERIES: dict[str, Query] = {
     "holiday_day_count": q_holiday_day_count,
     "holiday_panel_users": q_holiday_panel_users,
     "holiday_metrics": q_holiday_metrics,
+    "period_diff": q_period_diff,
+    "layout_parity": q_layout_parity,
+    "rename_clients": q_rename_clients,
+    "drop_client_outputs": q_drop_client_outputs,
 }
