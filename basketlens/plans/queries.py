@@ -35,7 +35,7 @@ class Inputs:
 
     @cached_property
     def base(self) -> DataFrame:
-        return tables.base_table(self.spark, self.sf_dir)
+        return tables.stored_base_table(self.spark, self.sf_dir)
 
     @cached_property
     def filters(self) -> DataFrame:
@@ -98,7 +98,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_normalize_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Inputs(spark, sf_dir).base
+    """A1: the normalised base table, derived from the driver tables."""
+    return tables.base_table(spark, sf_dir)
 
 
 def q_expand_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +234,7 @@ def q_period_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_layout_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A2: write the base table partitioned by month to the shared
     folder, read it back and list every (date, user) sum that differs."""
-    base = Inputs(spark, sf_dir).base
+    base = tables.base_table(spark, sf_dir)
     path = scratch_path(spark, "base_by_month")
     sinks.write_base(base, path)
     return sinks.layout_parity(base, sinks.read_base(spark, path))

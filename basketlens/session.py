@@ -56,3 +56,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem, so it works for any
+    cluster storage scheme, not only local disks."""
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def file_signature(spark: SparkSession, path: str) -> str:
+    """``path:size:mtime`` of a file or directory tree (summed sizes, latest mtime)."""
+    fs, p = _fs_path(spark, path)
+    summary = fs.getContentSummary(p)
+    mtime = fs.getFileStatus(p).getModificationTime()
+    return f"{p.toString()}:{summary.getLength()}:{mtime}"
