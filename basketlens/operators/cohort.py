@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def client_predicates(filters: DataFrame, target: DataFrame,
@@ -29,7 +30,9 @@ def client_predicates(filters: DataFrame, target: DataFrame,
     if not rows:
         raise ValueError("no client filters given")
     cols = list(allowed_columns) if allowed_columns is not None else target.columns
-    probe = target.select(*cols).limit(0)
+    # a fresh empty frame: a filter over ``target.select(...)`` could still
+    # resolve columns from below the projection
+    probe = target.sparkSession.createDataFrame([], T.StructType([target.schema[c] for c in cols]))
     by_client: dict[str, list[Column]] = {}
     for client, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
         if client is None or text is None or not text.strip():
