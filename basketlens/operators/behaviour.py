@@ -60,25 +60,33 @@ def purchase_counts(cohort: DataFrame, count_by: str = "user_sequence") -> DataF
     """Per (client, user, company) the count that places the user in a bin: ``cohort``.
 
     ``'user_sequence'`` (reference behaviour): rank, among all of the user's
-    (day, company) purchases, of the last purchase at this company, ties
-    sharing a rank. It equals 1 + the number of the user's (day, company)
-    rows strictly before that day, computed from a per-day running total
-    whose window holds one row per calendar day, then joined back on
-    (client, user, day). ``'company'``: number of distinct purchase days at
-    the company.
+    (day, company) purchases ordered by day with ties sharing a rank, of the
+    last purchase at this company; that is 1 + the number of the user's
+    (day, company) rows on earlier days.
+
+    It is computed with one running sum per user over a union of two narrow
+    tables: per-day purchase counts and per-company last days, the latter
+    sorted ahead of same-day counts so that only strictly earlier days are
+    summed. A user's window partition therefore holds at most (days +
+    companies) rows instead of every (day, company) pair.
+
+    ``'company'``: number of distinct purchase days at the company.
     """
-    dc = cohort.select("client", "unique_mem_id", "company", "date").distinct()
+    keys = ["client", "unique_mem_id"]
     if count_by == "company":
-        return dc.groupBy("client", "unique_mem_id", "company").agg(F.count(F.lit(1)).alias("cohort"))
+        return cohort.groupBy(*keys, "company").agg(F.count_distinct("date").alias("cohort"))
     if count_by != "user_sequence":
         raise ValueError(f"count_by must be 'user_sequence' or 'company', got {count_by!r}")
-    per_day = dc.groupBy("client", "unique_mem_id", "date").agg(F.count(F.lit(1)).alias("n"))
-    w = (Window.partitionBy("client", "unique_mem_id").orderBy("date")
+    per_day = cohort.groupBy(*keys, "date").agg(F.count_distinct("company").alias("n")).select(
+        *keys, "date", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("company"), "n")
+    last = cohort.groupBy(*keys, "company").agg(F.max("date").alias("date")).select(
+        *keys, "date", F.lit(0).alias("kind"), "company", F.lit(0).cast("long").alias("n"))
+    w = (Window.partitionBy(*keys).orderBy("date", "kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rank_at = per_day.select("client", "unique_mem_id", "date", (F.sum("n").over(w) - F.col("n") + 1).alias("cohort"))
-    last = dc.groupBy("client", "unique_mem_id", "company").agg(F.max("date").alias("date"))
-    return last.join(rank_at, ["client", "unique_mem_id", "date"]).select(
-        "client", "unique_mem_id", "company", "cohort")
+    return (per_day.unionByName(last)
+            .select(*keys, "kind", "company", (F.sum("n").over(w) + 1).alias("cohort"))
+            .where(F.col("kind") == 0)
+            .select(*keys, "company", "cohort"))
 
 
 def transaction_bins(cohort: DataFrame, bins: Sequence[int] = (5, 15, 35, 55),
