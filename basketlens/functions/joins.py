@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 ROW_BYTES = 96
 
 
-def broadcast_threshold(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+def _bytes(raw: str) -> int:
     raw = str(raw).strip().lower()
     mult = 1
     for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20),
@@ -21,6 +20,14 @@ def broadcast_threshold(df: DataFrame) -> int:
     return int(float(raw) * mult)
 
 
+def broadcast_threshold(df: DataFrame) -> int:
+    """Largest size in bytes the session lets a join broadcast: the runtime
+    (AQE) threshold when set, else the static one; <= 0 means never."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    return _bytes(adaptive if adaptive else conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None, row_bytes: int = ROW_BYTES) -> DataFrame:
     """Broadcast ``df`` only when a proven upper bound on its row count keeps
     it under the session's broadcast threshold; otherwise leave the choice

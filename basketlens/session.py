@@ -10,8 +10,16 @@ from pyspark.sql import SparkSession
 # Settings every job here relies on. AQE re-plans joins and coalesces or
 # splits shuffle partitions from runtime sizes; the session zone is pinned
 # so DATE arithmetic never depends on the host.
+#
+# Broadcasts are decided by AQE from the measured size of a materialised
+# shuffle, never from the planner's estimate: the static estimate starts from
+# compressed parquet bytes and routinely calls a large aggregate "small",
+# which turns a fact-to-fact join into a driver-built hash table. Explicit
+# broadcasts (literal dimensions, size-bounded calendars) are unaffected.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -77,3 +85,14 @@ def file_signature(spark: SparkSession, path: str) -> str:
     summary = fs.getContentSummary(p)
     mtime = fs.getFileStatus(p).getModificationTime()
     return f"{p.toString()}:{summary.getLength()}:{mtime}"
+
+
+def publish(spark: SparkSession, tmp: str, final: str) -> bool:
+    """Atomically move a finished directory into place; False when another
+    writer got there first (the caller then uses theirs)."""
+    fs, src = _fs_path(spark, tmp)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(final)
+    parent = dst.getParent()
+    if parent is not None and not fs.exists(parent):
+        fs.mkdirs(parent)
+    return bool(fs.rename(src, dst))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +58,7 @@ def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # (application id, path) -> DataFrame: re-using the handle re-uses its file
 # listing, which otherwise costs a partition-discovery job per query.
 _HANDLES: dict[tuple[str, str], DataFrame] = {}
+_LOCK = threading.Lock()
 
 
 def stored_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,19 +69,25 @@ def stored_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     times, so a changed input never reuses a stale copy. A copy is complete
     only once Spark's ``_SUCCESS`` marker exists.
     """
-    from ..session import file_signature, path_exists, shared_dir
+    from ..session import file_signature, path_exists, publish, shared_dir
     from .sinks import read_base, write_base
 
     sig = [file_signature(spark, os.path.join(sf_dir, f"{name}.parquet")) for name in ("lineitem", "orders", "part")]
     key = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
     path = os.path.join(shared_dir(spark), "tables", f"base-{key}")
     handle = (spark.sparkContext.applicationId, path)
-    if handle in _HANDLES and _HANDLES[handle].sparkSession is spark:
+    with _LOCK:
+        if handle in _HANDLES and _HANDLES[handle].sparkSession is spark:
+            return _HANDLES[handle]
+        if not path_exists(spark, os.path.join(path, "_SUCCESS")):
+            # write aside, then rename into place: concurrent first users never
+            # see (or overwrite) a half-written copy
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+            write_base(base_table(spark, sf_dir), tmp)
+            if not publish(spark, tmp, path) and not path_exists(spark, os.path.join(path, "_SUCCESS")):
+                raise RuntimeError(f"could not publish the base table to {path}")
+        _HANDLES[handle] = read_base(spark, path)
         return _HANDLES[handle]
-    if not path_exists(spark, os.path.join(path, "_SUCCESS")):
-        write_base(base_table(spark, sf_dir), path)
-    _HANDLES[handle] = read_base(spark, path)
-    return _HANDLES[handle]
 
 
 def user_geography(base: DataFrame) -> DataFrame:
