@@ -34,6 +34,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # locally the shuffles are small: never let AQE merge them below one
+    # partition per core, or an aggregate runs single-threaded
+    conf["spark.sql.adaptive.coalescePartitions.minPartitionNum"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
