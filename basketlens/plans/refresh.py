@@ -87,3 +87,33 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
     write("user_breakdown", behaviour.user_breakdown(coh, coarse_panel, o.grains), by_client=True)
     write("transaction_bins", behaviour.transaction_bins(coh, o.bins, o.bin_count_by), by_client=True)
     return paths
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    """``python -m basketlens.plans.refresh --sf-dir DIR --out PATH``: derive
+    the panel tables from the driver tables and rebuild every output for
+    the configured clients (the test configuration of FIXTURES.md)."""
+    import argparse
+    import json
+
+    from ..session import get_session, shared_dir
+    from ..sources import config, tables
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--out", help="output folder on shared storage (default: under spark.checkpoint.dir)")
+    ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
+    args = ap.parse_args(argv)
+    if args.master:
+        spark = get_session(args.master)
+    else:
+        spark = SparkSession.builder.getOrCreate()
+    base = tables.stored_base_table(spark, args.sf_dir)
+    out = args.out or os.path.join(shared_dir(spark), "refresh")
+    paths = refresh(spark, base, config.client_filters(spark), config.holiday_ranges(spark),
+                    tables.user_geography(base), tables.rolling_income(spark, args.sf_dir, base), out)
+    print(json.dumps(paths, indent=1))
+
+
+if __name__ == "__main__":
+    main()
