@@ -84,12 +84,17 @@ def holiday_panel_users(base: DataFrame, calendar: DataFrame, calendar_rows: int
     return windows.join(users, "days").select("client", "holiday", "years", "unique_users")
 
 
-def holiday_metrics(hcohort: DataFrame, day_count: DataFrame, panel_users: DataFrame) -> DataFrame:
+def holiday_metrics(hcohort: DataFrame, panel_users: DataFrame, day_count: DataFrame | None = None) -> DataFrame:
     """Per client holiday and company: transactions and spend per panel
     user, per buying user, and average transaction.
 
     ``client, years, holiday, company, vertical, sub_vertical, transactions,
     amount, average_transaction, transactions_per_user, amount_per_user``.
+
+    The day count (A16) carries no column into the result; joined, it only
+    keeps holidays that have a day count, which every holiday of the same
+    holiday cohort has. It is therefore only applied (as a semi-join) when a
+    day count from elsewhere is passed.
     """
     keys = ["client", "years", "holiday"]
     agg = hcohort.groupBy(*keys, "company", "vertical", "sub_vertical").agg(
@@ -97,7 +102,9 @@ def holiday_metrics(hcohort: DataFrame, day_count: DataFrame, panel_users: DataF
         F.sum("amount").cast(MONEY_SUM).alias("a"),
         F.count_distinct("unique_mem_id").alias("buyers"),
     )
-    out = agg.join(panel_users, keys).join(day_count.select(*keys), keys)
+    if day_count is not None:
+        agg = agg.join(day_count.select(*keys), keys, "left_semi")
+    out = agg.join(panel_users, keys)
     return out.select(
         "client", "years", "holiday", "company", "vertical", "sub_vertical",
         ratio("t", "unique_users").alias("transactions"),

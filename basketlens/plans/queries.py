@@ -216,7 +216,7 @@ def q_holiday_panel_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_holiday_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return holidays.holiday_metrics(inp.hcohort, holidays.holiday_day_count(inp.hcohort),
+    return holidays.holiday_metrics(inp.hcohort,
                                     holidays.holiday_panel_users(inp.base, inp.calendar, inp.calendar_rows))
 
 

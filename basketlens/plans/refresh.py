@@ -78,7 +78,7 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
     hcoh = write("holiday_cohort", holidays.holiday_cohort(coh, calendar, cal_rows), by_client=True)
     days = write("holiday_day_count", holidays.holiday_day_count(hcoh), by_client=True)
     husers = write("holiday_panel_users", holidays.holiday_panel_users(base, calendar, cal_rows), by_client=True)
-    write("holiday_metrics", holidays.holiday_metrics(hcoh, days, husers), by_client=True)
+    write("holiday_metrics", holidays.holiday_metrics(hcoh, husers, days), by_client=True)
     gaps = write("order_cadence", cadence.order_cadence(coh, o.grains, o.same_day, o.window_days, o.max_gap_days),
                  by_client=True)
     write("company_metrics", company.company_metrics(coh, gaps, o.grains, o.company_metrics_how), by_client=True)

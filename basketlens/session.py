@@ -46,6 +46,29 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Starting settings for a cluster run over ``input_bytes`` of base data.
+
+    Initial shuffle partitions are sized so the widest shuffle (the grain
+    fan-out of the base, about 3 x its compressed size in rows) lands near
+    ``target_partition_bytes`` per task, never fewer than two waves of the
+    cluster's cores; AQE then coalesces small shuffles and splits skewed
+    ones. Scan splits stay at the target size.
+    """
+    widest = 3 * input_bytes
+    partitions = max(2 * total_cores, -(-widest // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
