@@ -72,12 +72,16 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a fresh
-    local folder created and registered.
+    Read from the session; only when it is unset on a local master (tests)
+    is a fresh local folder created and registered. On a cluster an unset
+    folder is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder every executor can reach "
+                             "(a machine-local temporary folder does not survive on a cluster)")
         path = tempfile.mkdtemp(prefix="basketlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:

@@ -92,3 +92,13 @@ def test_phrases(spark):
     assert one(spark, H.phrase_date(H.parse_phrase("Black Friday"), y)) == D(1995, 11, 24)
     with pytest.raises(ValueError, match="Festivus"):
         H.parse_phrases(["Christmas", "Festivus", "3 fortnights after Easter"])
+
+
+def test_cluster_conf_sizes_partitions():
+    from basketlens.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40), 8000)           # 100 TB, 8000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 3 * 100 * (1 << 40) // (128 << 20)
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    small = cluster_conf(1 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16   # never below two waves of cores
