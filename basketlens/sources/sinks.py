@@ -23,10 +23,19 @@ def overwrite_table(df: DataFrame, target: str, partition_by: Sequence[str] = ()
         w = w.partitionBy(*partition_by)
     if as_table:
         w.saveAsTable(target)
+        df.sparkSession.catalog.refreshTable(target)
     else:
         w.save(target)
 
 
+def insert_overwrite(df: DataFrame, table: str) -> None:
+    """A40, SQL form: ``INSERT OVERWRITE`` an existing catalog table, keeping
+    its definition; columns are matched by position, as in SQL. The cached
+    metadata is refreshed afterwards."""
+    df.write.insertInto(table, overwrite=True)
+    df.sparkSession.catalog.refreshTable(table)
+
+
 def write_base(base: DataFrame, path: str, partition_by: str = "month") -> None:
     """A1: store the normalised base table partitioned by a coarse period.
 

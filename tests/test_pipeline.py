@@ -126,3 +126,13 @@ def test_refresh_end_to_end(spark, tmp_path):
         fresh = q(spark, SF_SMALL)
         assert written.count() == fresh.count(), name
         assert sorted(written.columns) == sorted(fresh.columns), name
+
+
+def test_insert_overwrite_keeps_table(spark, tmp_path):
+    name = "bl_insert_probe"
+    spark.range(3).write.mode("overwrite").option("path", str(tmp_path / "ins")).saveAsTable(name)
+    sinks.insert_overwrite(spark.range(10, 12), name)
+    assert sorted(r.id for r in spark.table(name).collect()) == [10, 11]
+    sinks.overwrite_table(spark.range(4), name, as_table=True)
+    assert spark.table(name).count() == 4
+    sinks.drop_table(spark, name)
