@@ -46,16 +46,19 @@ def client_predicates(filters: DataFrame, target: DataFrame,
     return {c: reduce(lambda a, b: a & b, preds) for c, preds in by_client.items()}
 
 
-def tag_clients(df: DataFrame, predicates: dict[str, Column], columns: Iterable[str] | None = None) -> DataFrame:
+def tag_clients(df: DataFrame, predicates: dict[str, Column], columns: Iterable[str] | None = None,
+                prefiltered: bool = False) -> DataFrame:
     """Rows of ``df`` repeated once per client whose predicate they satisfy,
-    with a leading ``client`` column. A null predicate result is no match."""
+    with a leading ``client`` column. A null predicate result is no match.
+    ``prefiltered`` says ``df`` already passed the OR of all predicates."""
     columns = list(columns) if columns is not None else df.columns
-    any_client = reduce(lambda a, b: a | b, predicates.values())
+    if not prefiltered:
+        df = df.where(reduce(lambda a, b: a | b, predicates.values()))
     matches = F.filter(
         F.array(*[F.when(p, F.lit(c)) for c, p in predicates.items()]),
         lambda x: x.isNotNull(),
     )
-    return df.where(any_client).select(F.explode(matches).alias("client"), *columns)
+    return df.select(F.explode(matches).alias("client"), *columns)
 
 
 def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -70,7 +73,7 @@ def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True) -> D
     rows = base.where(any_client)
     if dedupe:
         rows = rows.distinct()
-    return tag_clients(rows, preds, base.columns)
+    return tag_clients(rows, preds, base.columns, prefiltered=True)
 
 
 def client_metric_slice(shared: DataFrame, filters: DataFrame,
