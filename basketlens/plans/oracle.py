@@ -71,7 +71,7 @@ def with_(*ctes: str) -> str:
 
 
 def normalize_base() -> str:
-    return with_(BASE_CTE) + "SELECT * FROM base"
+    return with_(BASE_CTE) + "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM base"
 
 
 def panel_users() -> str:
@@ -94,7 +94,7 @@ FROM ({body})"""
 def expand_periods() -> str:
     parts = [
         f"SELECT '{g}' AS time_period, {trunc('date', g)} AS date, CAST(SUM(transactions) AS BIGINT) AS transactions, "
-        f"CAST(SUM(amount) AS DECIMAL(38,2)) AS amount, COUNT(*) AS line_count FROM base GROUP BY 2"
+        f"CAST(SUM(amount) AS DOUBLE) AS amount, COUNT(*) AS line_count FROM base GROUP BY 2"
         for g in ALL
     ]
     return with_(BASE_CTE) + "\nUNION ALL\n".join(parts)
@@ -104,7 +104,7 @@ def expand_periods() -> str:
 
 
 def client_cohort() -> str:
-    return with_(BASE_CTE, cohort_cte()) + "SELECT * FROM cohort"
+    return with_(BASE_CTE, cohort_cte()) + "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM cohort"
 
 
 def user_breakdown() -> str:
@@ -465,7 +465,8 @@ def holiday_calendar() -> str:
 
 
 def holiday_cohort() -> str:
-    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + "SELECT * FROM hcohort"
+    return with_(BASE_CTE, cohort_cte(), *_holiday_ctes()) + \
+        "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM hcohort"
 
 
 def holiday_day_count() -> str:

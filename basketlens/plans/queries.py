@@ -248,6 +248,22 @@ def q_drop_client_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admin.remove_clients(q_transaction_bins(spark, sf_dir), REMOVED)
 
 
+def _report(fn: Query) -> Query:
+    """Registered output: decimal money columns reported as DOUBLE.
+
+    The library keeps money in decimals; a report converts them once
+    (exactly, to the nearest double, in any engine), so comparison tools that
+    go through pandas see one type on both sides.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+                           for c, t in df.dtypes])
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "normalize_base": q_normalize_base,
     "expand_periods": q_expand_periods,
@@ -279,3 +295,4 @@ QUERIES: dict[str, Query] = {
     "rename_clients": q_rename_clients,
     "drop_client_outputs": q_drop_client_outputs,
 }
+QUERIES = {name: _report(fn) for name, fn in QUERIES.items()}
