@@ -132,8 +132,8 @@ def test_cohort_multi_client_and_conjunction(spark):
 
 def test_cohort_rejects_unknown_columns(spark):
     base = spark.createDataFrame([(D(2018, 1, 1), 1, "a")], "date date, unique_mem_id bigint, company string")
-    bad = config.client_filters(spark, [("x", "InsightVertical = 'a'")])
-    with pytest.raises(ValueError, match="InsightVertical"):
+    bad = config.client_filters(spark, [("x", "legacy_vertical = 'a'")])
+    with pytest.raises(ValueError, match="legacy_vertical"):
         cohort.client_cohort(base, bad)
     shared = spark.createDataFrame([("a", "v", "s", 1.0)], "company string, vertical string, sub_vertical string, amount double")
     with pytest.raises(ValueError):
