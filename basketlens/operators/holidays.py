@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.holidays import parse_phrases, phrase_date
@@ -74,14 +74,20 @@ def holiday_panel_users(base: DataFrame, calendar: DataFrame, calendar_rows: int
 
     Clients often share identical holiday windows, so users are counted once
     per distinct set of days and the counts joined back, instead of fanning
-    panel rows out to every client.
+    panel rows out to every client. Each distinct day set gets a small
+    integer id (a deterministic rank over the set, computed on the
+    config-sized table of windows), so the table broadcast against the panel
+    is just (id, day) and stays within the calendar's row bound.
     """
     windows = calendar.groupBy("client", "holiday", "years").agg(F.array_sort(F.collect_set("date")).alias("days"))
-    days = windows.select("days").distinct().select("days", F.explode("days").alias("date"))
+    ids = windows.select("days").distinct().withColumn(
+        "window_id", F.dense_rank().over(Window.orderBy("days")))
+    days = ids.select("window_id", F.explode("days").alias("date"))
     users = (base.select("date", "unique_mem_id")
-             .join(bounded_broadcast(days, calendar_rows), "date")
-             .groupBy("days").agg(F.count_distinct("unique_mem_id").alias("unique_users")))
-    return windows.join(users, "days").select("client", "holiday", "years", "unique_users")
+             .join(bounded_broadcast(days, calendar_rows, row_bytes=16), "date")
+             .groupBy("window_id").agg(F.count_distinct("unique_mem_id").alias("unique_users")))
+    return (windows.join(ids, "days").join(users, "window_id")
+            .select("client", "holiday", "years", "unique_users"))
 
 
 def holiday_metrics(hcohort: DataFrame, panel_users: DataFrame, day_count: DataFrame | None = None) -> DataFrame:
