@@ -73,7 +73,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset on a local master (tests)
-    is a fresh local folder created and registered. On a cluster an unset
+    is a fresh local folder created and registered with the SparkContext
+    (the config itself cannot be changed at runtime). On a cluster an unset
     folder is an error.
     """
     sc = spark.sparkContext
@@ -82,8 +83,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set: name a folder every executor can reach "
                              "(a machine-local temporary folder does not survive on a cluster)")
-        path = tempfile.mkdtemp(prefix="basketlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketlens-ckpt-"))
+        return sc.getCheckpointDir()
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
