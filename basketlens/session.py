@@ -46,6 +46,11 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def is_connect(spark: SparkSession) -> bool:
+    """True for a Spark Connect session (no SparkContext or JVM handle)."""
+    return type(spark).__module__.startswith("pyspark.sql.connect")
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Starting settings for a cluster run over ``input_bytes`` of base data.
 

@@ -69,9 +69,13 @@ def stored_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     times, so a changed input never reuses a stale copy. A copy is complete
     only once Spark's ``_SUCCESS`` marker exists.
     """
-    from ..session import file_signature, path_exists, publish, shared_dir
+    from ..session import file_signature, is_connect, path_exists, publish, shared_dir
     from .sinks import read_base, write_base
 
+    if is_connect(spark):
+        # no file-system handle on a Connect client: derive lazily instead
+        return base_table(spark, sf_dir)
+
     sig = [file_signature(spark, os.path.join(sf_dir, f"{name}.parquet")) for name in ("lineitem", "orders", "part")]
     key = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
     path = os.path.join(shared_dir(spark), "tables", f"base-{key}")
