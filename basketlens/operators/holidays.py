@@ -79,15 +79,13 @@ def holiday_panel_users(base: DataFrame, calendar: DataFrame, calendar_rows: int
     config-sized table of windows), so the table broadcast against the panel
     is just (id, day) and stays within the calendar's row bound.
     """
-    windows = calendar.groupBy("client", "holiday", "years").agg(F.array_sort(F.collect_set("date")).alias("days"))
-    ids = windows.select("days").distinct().withColumn(
-        "window_id", F.dense_rank().over(Window.orderBy("days")))
-    days = ids.select("window_id", F.explode("days").alias("date"))
+    windows = (calendar.groupBy("client", "holiday", "years").agg(F.array_sort(F.collect_set("date")).alias("days"))
+               .withColumn("window_id", F.dense_rank().over(Window.orderBy("days"))))  # equal sets, equal ids
+    days = windows.select("window_id", "days").distinct().select("window_id", F.explode("days").alias("date"))
     users = (base.select("date", "unique_mem_id")
              .join(bounded_broadcast(days, calendar_rows, row_bytes=16), "date")
              .groupBy("window_id").agg(F.count_distinct("unique_mem_id").alias("unique_users")))
-    return (windows.join(ids, "days").join(users, "window_id")
-            .select("client", "holiday", "years", "unique_users"))
+    return windows.join(users, "window_id").select("client", "holiday", "years", "unique_users")
 
 
 def holiday_metrics(hcohort: DataFrame, panel_users: DataFrame, day_count: DataFrame | None = None) -> DataFrame:
