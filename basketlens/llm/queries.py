@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketlens.llm import minhash
+from basketlens.llm import decontam, langid, minhash
 from basketlens.llm.common import read
 
 
@@ -15,8 +16,28 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   read(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.filter(
+        F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())))
+    return found.select("row.doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+                        decontam.is_contaminated().alias("contaminated"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "row.doc_id", langid.held_out("row.doc_id").alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL of the queries that SQL can express at the size of the SQL check
