@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontam, langid, lines, minhash
+from basketlens.llm import decontam, langid, lines, minhash, mixing
 from basketlens.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("copies")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read(spark, sf_dir, "documents").select("doc_id", "text"),
                                    read(spark, sf_dir, "benchmark"))
@@ -41,6 +45,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op5_mixing": op5_mixing,
     "op7_decontamination": op7_decontamination,
     "op10_language_id": op10_language_id,
 }
