@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontam, langid, lines, minhash, mixing
+from basketlens.llm import decontam, langid, lines, maxscore, minhash, mixing
 from basketlens.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("copies")
 
@@ -45,10 +49,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op4_topk_search": op4_topk_search,
     "op5_mixing": op5_mixing,
     "op7_decontamination": op7_decontamination,
     "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL of the queries that SQL can express at the size of the SQL check
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_topk_search": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
