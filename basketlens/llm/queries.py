@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import chat, decontam, langid, lines, maxscore, minhash, mixing
+from basketlens.llm import chat, decontam, langid, lines, maxscore, minhash, mixing, warc
 from basketlens.llm.common import read
 
 
@@ -28,6 +28,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("copies")
 
 
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read(spark, sf_dir, "documents").select("doc_id", "text"),
                                    read(spark, sf_dir, "benchmark"))
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_topk_search": op4_topk_search,
     "op5_mixing": op5_mixing,
+    "op6_arc_to_warc": op6_arc_to_warc,
     "op7_decontamination": op7_decontamination,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_language_id": op10_language_id,
@@ -85,6 +90,21 @@ ORACLE_SQL: dict[str, str] = {
             SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    # base 32 by looking five bits at a time up in a list of cells of six characters
+    "op6_arc_to_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS payload_bytes,
+                          sha1(coalesce(html, '')) AS h FROM pages),
+        c AS (SELECT string_agg(b, '' ORDER BY b) AS cells FROM (
+                  SELECT CAST(CAST(CAST(i AS UTINYINT) AS BIT) AS VARCHAR)[-5:] || '|' AS b FROM range(32) r(i))),
+        d AS (SELECT page_id, payload_bytes, h, CAST(CAST(unhex(h) AS BIT) AS VARCHAR) AS bits FROM p),
+        w AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM d)
+        SELECT page_id, payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST((instr(cells, substr(bits, CAST(5 * i + 1 AS INT), 5) || '|') - 1) // 6 + 1 AS INT), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+        FROM w, c""",
     # the template adds 12 characters and the role, a line break and 11 characters a turn, and a backslash
     # for each "<|" and each "<", backslashes, "|"
     "op8_chat_formatting": r"""
