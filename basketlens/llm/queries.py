@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import chat, decontam, langid, lines, maxscore, minhash, mixing, warc
+from basketlens.llm import chat, decontam, html, langid, lines, maxscore, minhash, mixing, warc
 from basketlens.llm.common import read
 
 
@@ -56,6 +56,12 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.fit(pages)).select("row.page_id", "row.url", "text",
+                                                       F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out()).select("text", "lang"))
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_arc_to_warc": op6_arc_to_warc,
     "op7_decontamination": op7_decontamination,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
 }
 
