@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import chat, decontam, html, langid, lines, maxscore, minhash, mixing, warc
+from basketlens.llm import chat, decontam, html, langid, lines, maxscore, minhash, mixing, pii, warc
 from basketlens.llm.common import read
 
 
@@ -20,6 +20,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"), pii.train())
+    base = F.filter("spans", lambda s: s["base"])
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select("row.doc_id", *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+                                        for k in pii.KINDS],
+                        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
@@ -73,6 +85,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
     "op4_topk_search": op4_topk_search,
     "op5_mixing": op5_mixing,
     "op6_arc_to_warc": op6_arc_to_warc,
