@@ -13,6 +13,7 @@ pieces, so that only the pieces between them are decoded.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -104,14 +105,17 @@ _ANNOUNCE = {w: k for k, ws in {"phone": "call phone tel telefon telefono télé
                                 "email": "mail e-mail email contact write", "card": "card visa karte carte tarjeta pay",
                                 "ip": "ip host server ping route"}.items() for w in ws.split()}
 
+_PLAIN = {case: ("plain", f"case={case}") for case in ("lower", "title", "upper", "mixed")}
+
 
 def features(word: str) -> tuple[str, ...]:
     """What the field sees of a word: its shape, not its letters."""
-    if word.isalpha() or (word[:-1].isalpha() and word[-1] in _TRIM):
-        core = word if word.isalpha() else word[:-1]
-        kind = "lower" if core.islower() else "title" if core.istitle() else "upper" if core.isupper() else "mixed"
+    core = word if word.isalpha() else word.strip(string.punctuation)
+    if core.isalpha() or not core:
         known = _ANNOUNCE.get(core.lower())
-        return ("plain", f"case={kind}") if known is None else ("plain", f"announces={known}")
+        if known is not None:
+            return "plain", f"announces={known}"
+        return _PLAIN["lower" if core.islower() else "title" if core.istitle() else "upper" if core.isupper() else "mixed"]
     core = word.strip(_TRIM)
     digits = sum(c.isdigit() and c.isascii() for c in core)
     rest = re.sub(r"[0-9]+", "d", re.sub(r"[^\W\d_]+", "a", core))
@@ -165,13 +169,13 @@ class Field:
             if s is None:
                 s = self.shape_of[w] = self._shape(w)
             ids[i] = s
-        own = self.table[ids]
-        out = own[:, 1].copy()
-        inner = np.ones(len(words), bool)
-        inner[starts[starts < len(words)]] = False  # has a word before it in its text
-        at = np.flatnonzero(inner)
-        out[at] += own[at - 1, 0]
-        out[at - 1] += own[at, 2]
+        before, own, after = (np.ascontiguousarray(self.table[:, i], np.float32) for i in range(3))
+        out = own[ids]
+        if len(words) > 1:
+            first = starts[(starts > 0) & (starts < len(words))] - 1  # pairs of words of two texts
+            for rows, add in ((out[1:], before[ids[:-1]]), (out[:-1], after[ids[1:]])):
+                add[first] = 0
+                rows += add
         return out
 
     def decode(self, scores: np.ndarray, starts: np.ndarray) -> np.ndarray:
