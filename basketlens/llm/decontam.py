@@ -108,6 +108,8 @@ def _occurrences(tokens: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.n
 def _matches(which: np.ndarray, at: np.ndarray, w: Windows) -> Iterator[tuple[int, int, int, int]]:
     """Longest verbatim matches (item, item start, position, words): windows
     that follow each other in the item and in the text are one match."""
+    if not len(at):
+        return
     item, start = w.item[which], w.start[which]
     order = np.lexsort((at, at - start, item))
     item, start, at, size = item[order], start[order], at[order], w.size[which][order]
