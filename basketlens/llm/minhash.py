@@ -15,8 +15,9 @@ Steps, all linear in the rows:
    narrowed to their shared half-keys before the pairs are formed;
 3. a bucket links its members to one hub, not to each other; links are
    confirmed on the full sets, and components are formed;
-4. buckets that still hold several components are tried with another hub,
-   then members of different components are compared with each other.
+4. buckets that still hold several components are tried with another hub;
+   what is open then, texts about as similar as the threshold, is paired
+   exactly by shared rare shingles, component against component.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm.common import GOLDEN, mix64, seeds, shingle_set, slices, stage
 from basketlens.llm.components import connected_components
+from basketlens.llm.rare import rare_pairs
 
 _SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, halves array<long>")
 
@@ -93,13 +95,11 @@ def _hub_pairs(buckets: DataFrame, pick, percent: int) -> DataFrame:
             .select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")).distinct())
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    member = pairs.join(texts.withColumnRenamed("doc_id", "id"), "id")
-    hub = (texts.join(pairs.select(F.col("hub").alias("doc_id")).distinct(), "doc_id")
-           .select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")))
-    both = member.join(hub, "hub").select("hub", "id", "hub_text", "text")
+    member = pairs.join(texts, "id")
+    hub = texts.join(pairs.select(F.col("hub").alias("id")).distinct(), "id")
+    both = member.join(hub.select(F.col("id").alias("hub"), F.col("text").alias("hub_text")), "hub")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub_set = None, np.empty(0, np.uint64)
@@ -114,7 +114,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 ok.append(100 * inter >= percent * (len(hub_set) + len(s) - inter) > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["hub", "id"]).filter(pa.array(ok))
 
-    return both.mapInArrow(run, "hub long, id long").distinct()
+    return both.select("hub", "id", "hub_text", "text").mapInArrow(run, "hub long, id long").distinct()
+
+
+def _elements(texts: DataFrame, size: int) -> DataFrame:
+    """``id, c, s``: a row for each shingle of each text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            for i, c, text in zip(*(batch.column(k) for k in range(3)), strict=True):
+                s = shingle_set(text.as_py(), size).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i.as_py())), pa.array(np.full(len(s), c.as_py())),
+                                                  pa.array(s)], ["id", "c", "s"])
+
+    return texts.select("id", "c", "text").mapInArrow(run, "id long, c long, s long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, tables_root: int = 12,
@@ -132,14 +145,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, tables_ro
               .agg(F.min(F.struct("doc_id", "n_shingles", "halves")).alias("x")))
     classes = firsts.select(F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"),
                             F.col("x.halves").alias("halves"))
-    buckets = stage(_buckets(classes, tables_root), "buckets")
+    buckets = _buckets(classes, tables_root)
+    met = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
+    buckets = stage(buckets.join(met, "key"), "buckets")
+    texts = stage(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+                  .join(buckets.select("id").distinct(), "id", "left_semi"), "texts")
     reps = linked.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     member = stage(sig.select("doc_id", "n_shingles", "set_a", "set_b").join(
         reps, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", "rep"), "members")
     copies = member.where("rep != doc_id").select(F.col("rep").alias("hub"), F.col("doc_id").alias("id"))
 
     tried = stage(_hub_pairs(buckets, F.min, percent), "pairs")
-    links = stage(_verified(tried, docs, size, percent), "links")
+    links = stage(_verified(tried, texts, size, percent), "links")
     for pick in (F.max, None):
         label = connected_components(links, "hub", "id")
         marked = (buckets.join(label, "id", "left")
@@ -150,13 +167,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, tables_ro
         if pick is not None:
             pairs = _hub_pairs(rest.select("key", "id", "n"), pick, percent)
         else:
-            hub = rest.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"))
-            pairs = (rest.join(hub, "key").where("hub < id and hub_c != c").where(_size_fits(percent))
-                     .select("hub", "id").distinct())
+            open_ = rest.select("id", "c").distinct()
+            pairs = rare_pairs(_elements(texts.join(open_, "id"), size), percent)
         pairs = stage(pairs.join(tried, ["hub", "id"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
-        links = stage(links.unionByName(_verified(pairs, docs, size, percent)), "links")
+        links = stage(links.unionByName(_verified(pairs, texts, size, percent)), "links")
         tried = tried.unionByName(pairs)
 
     component = connected_components(links.unionByName(copies), "hub", "id")
