@@ -6,7 +6,8 @@ are one class, identified by a 64-bit hash of the normalised line. Per class
 ``bands`` x ``rows`` minhashes are taken in one aggregation over the exploded
 shingles; classes that share a band are linked to the band's smallest class,
 each link is confirmed on the full sets, and a distributed union-find makes
-the components. The first line of each component, by doc_id then line number,
+the components; bands that still hold several are tried with another hub, and
+then lines of different components are compared where a longer sketch allows. The first line of each component, by doc_id then line number,
 is kept. With 8 bands of 3 rows, two lines at similarity 0.8 share a band
 with probability 0.997.
 """
@@ -28,51 +29,70 @@ def _lines(docs: DataFrame) -> DataFrame:
             .where("norm != ''").withColumn("id", F.xxhash64("norm")))
 
 
-def _windows(norm: Column, shingle: int) -> tuple[Column, Column]:
-    """The line as two bytes a unit (so a window is a constant-time slice)
-    and the windows' numbers."""
-    raw = F.encode(norm, "UTF-16BE")
-    return raw, F.sequence(F.lit(0), F.greatest(F.floor(F.length(raw) / 2).cast("int") - shingle, F.lit(0)))
+def _seed(i: int) -> int:
+    """Fixed 32-bit seeds of the minhash orders."""
+    return ((i + 1) * 0x9E3779B1 & 0xFFFFFFFF) - (1 << 31)
 
 
-def _slice(raw: Column, i: Column, shingle: int) -> Column:
-    return F.substring(raw, i * 2 + 1, F.lit(2 * shingle))
+def _shingles(df: DataFrame, text: str, shingle: int, *keep: str) -> DataFrame:
+    """``keep`` and ``s``, the 64-bit hash of each window of the text (by
+    place, so with repeats). Exploding the places keeps this in generated
+    code; a lambda over them would copy the line for each."""
+    raw = df.select(*keep, F.encode(text, "UTF-16BE").alias("raw"))  # two bytes a unit
+    at = F.sequence(F.lit(0), F.greatest(F.shiftright(F.length("raw"), 1) - shingle, F.lit(0)))
+    return (raw.select(*keep, "raw", F.explode(at).alias("i"))
+            .select(*keep, F.xxhash64(F.substring("raw", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("s")))
 
 
-def _seed(i: int) -> int:
-    """Fixed 32-bit seeds of the minhash orders."""
-    return ((i + 1) * 0x9E3779B1 & 0xFFFFFFFF) - (1 << 31)
+def _minhashes(shingles: DataFrame, n: int, salt: int) -> DataFrame:
+    """``id, m0, m1, ...``: each the minimum of (hash xor seed) over the
+    shingles, on 32 bits. Copies of a line have equal minhashes, so they
+    collapse in the map-side aggregation."""
+    short = shingles.select("id", F.shiftright("s", 32).cast("int").alias("h"))  # the high half
+    return short.groupBy("id").agg(*[
+        F.min(F.col("h").bitwiseXOR(F.lit(_seed(salt + k)))).alias(f"m{k}") for k in range(n)])
 
 
 def _bands(lines: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """``key, id``: a row for each band of each class. The minimum of
-    (hash xor seed) over the shingles is one minhash; copies of a line have
-    equal minhashes, so they collapse in the map-side aggregation."""
-    raw, at = _windows(F.col("norm"), shingle)
-    shingles = (lines.select("id", raw.alias("raw"), at.alias("at"))
-                .select("id", "raw", F.explode("at").alias("i"))
-                .select("id", F.hash(_slice(F.col("raw"), F.col("i"), shingle)).alias("h")))
-    low = [F.min(F.col("h").bitwiseXOR(F.lit(_seed(k)))).alias(f"m{k}") for k in range(bands * rows)]
-    sig = shingles.groupBy("id").agg(*low)
+    """``key, id``: a row for each band of each class."""
+    sig = _minhashes(_shingles(lines, "norm", shingle, "id"), bands * rows, 0)
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]
     return sig.select("id", F.explode(F.array(*keys)).alias("key"))
 
 
-def _set(norm: str, shingle: int) -> Column:
-    raw, at = _windows(F.col(norm), shingle)
-    return F.array_distinct(F.transform(at, lambda i: F.xxhash64(_slice(raw, i, shingle))))
-
-
-def _verified(pairs: DataFrame, lines: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (hub, id) whose full shingle sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("hub", "id")).alias("id")).distinct()
-    texts = stage(lines.select("id", "norm").join(ids, "id", "left_semi").dropDuplicates(["id"]), "line-texts")
-    both = (pairs.join(texts, "id").withColumnRenamed("norm", "b")
-            .join(texts.select(F.col("id").alias("hub"), F.col("norm").alias("a")), "hub"))
-    sized = (both.select("hub", "id", _set("a", shingle).alias("a"), _set("b", shingle).alias("b"))
-             .select("hub", "id", F.size("a").alias("na"), F.size("b").alias("nb"),
-                     F.size(F.array_intersect("a", "b")).alias("n")))
-    return sized.where(F.col("n") * 100 >= (F.col("na") + F.col("nb") - F.col("n")) * percent).select("hub", "id")
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (hub, id) whose full shingle sets are similar enough: the
+    shingles of both lines are counted once per pair, with the sides that
+    have them."""
+    both = (pairs.join(texts.select("id", F.col("norm").alias("b")), "id")
+            .join(texts.select(F.col("id").alias("hub"), F.col("norm").alias("a")), "hub")
+            .repartition("hub", "id"))  # a hub's pairs over many tasks; the counts below need no other shuffle
+    sides = both.select("hub", "id", F.explode(F.array(
+        F.struct(F.lit(1).alias("side"), F.col("a").alias("norm")),
+        F.struct(F.lit(2).alias("side"), F.col("b").alias("norm")))).alias("x")).select("hub", "id", "x.side", "x.norm")
+    sets = (_shingles(sides, "norm", shingle, "hub", "id", "side")
+            .groupBy("hub", "id", "s").agg(F.bit_or("side").alias("sides")))
+    return (sets.groupBy("hub", "id").agg(F.count_if(F.col("sides") == 3).alias("n"), F.count(F.lit(1)).alias("all"))
+            .where(F.col("n") * 100 >= F.col("all") * percent).select("hub", "id"))
+
+
+def _open_pairs(rest: DataFrame, texts: DataFrame, shingle: int, percent: int, n: int = 64) -> DataFrame:
+    """Pairs of lines of one band but different components, where a longer
+    sketch than the bands' leaves the similarity possible: of ``n`` other
+    minhashes, at least as many agree as do at the threshold but for four
+    standard deviations."""
+    p = percent / 100
+    least = int(n * p - 4 * (n * p * (1 - p)) ** 0.5)
+    sketch = _minhashes(_shingles(texts.join(rest.select("id").distinct(), "id"), "norm", shingle, "id"), n, 1000)
+    often = (rest.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key")
+             .agg(F.max_by("c", "k").alias("most")))
+    met = stage(rest.join(often, "key").join(sketch, "id"), "line-sketches")
+    few = met.where("c != most").select("key", F.col("id").alias("a"), F.col("c").alias("ac"),
+                                        *[F.col(f"m{k}").alias(f"a{k}") for k in range(n)])
+    agree = sum((F.col(f"m{k}") == F.col(f"a{k}")).cast("int") for k in range(n))
+    pairs = few.join(met, (few["key"] == met["key"]) & (met["c"] != few["ac"]) & ((met["c"] == met["most"]) | (few["a"] < met["id"]))
+                     & (agree >= least))
+    return pairs.select(F.least("a", "id").alias("hub"), F.greatest("a", "id").alias("id")).distinct()
 
 
 def _hub_pairs(buckets: DataFrame, pick) -> DataFrame:
@@ -98,8 +118,10 @@ def line_components(docs: DataFrame, shingle: int = 8, percent: int = 80, bands:
     buckets = _bands(lines, shingle, bands, rows)
     shared = stage(buckets.join(buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
                                 .where("lo != hi").select("key"), "key"), "line-bands")
+    texts = stage(lines.select("id", "norm").join(shared.select("id").distinct(), "id", "left_semi")
+                  .dropDuplicates(["id"]), "line-texts")
     tried = stage(_hub_pairs(shared, F.min), "line-pairs")
-    links = stage(_verified(tried, lines, shingle, percent), "line-links")
+    links = stage(_verified(tried, texts, shingle, percent), "line-links")
     for pick in (F.max, None):
         label = connected_components(links, "hub", "id")
         marked = shared.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
@@ -109,12 +131,11 @@ def line_components(docs: DataFrame, shingle: int = 8, percent: int = 80, bands:
         if pick is not None:
             pairs = _hub_pairs(rest.select("key", "id"), pick)
         else:
-            hub = rest.select("key", F.col("id").alias("hub"), F.col("c").alias("hub_c"))
-            pairs = rest.join(hub, "key").where("hub < id and hub_c != c").select("hub", "id").distinct()
+            pairs = _open_pairs(rest, texts, shingle, percent)
         pairs = stage(pairs.join(tried, ["hub", "id"], "left_anti"), "line-pairs")
         if pairs.isEmpty():
             continue
-        links = stage(links.unionByName(_verified(pairs, lines, shingle, percent)), "line-links")
+        links = stage(links.unionByName(_verified(pairs, texts, shingle, percent)), "line-links")
         tried = tried.unionByName(pairs)
 
     label = connected_components(links, "hub", "id")
