@@ -8,6 +8,7 @@ separately. Phrases are configuration, so they are parsed once on the driver
 
 from __future__ import annotations
 
+import calendar
 import re
 from dataclasses import dataclass
 
@@ -99,7 +100,7 @@ def parse_phrase(text: str) -> Phrase | None:
             return None
         month = [x[:3] for x in _MONTHS].index(d.group(1)) + 1
         day = int(d.group(2))
-        if not 1 <= day <= 31:
+        if not 1 <= day <= calendar.monthrange(2000, month)[1]:  # a leap year: 29 February exists in some
             return None
         rule = ("fixed", month, day)
     if n is None:
@@ -154,6 +155,9 @@ def _easter(year: Column) -> Column:
 def anchor_date(rule: tuple, year: Column) -> Column:
     kind = rule[0]
     if kind == "fixed":
+        if rule[1:3] == (2, 29):  # null in a year without it
+            return F.when(F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366, F.date_add(
+                F.make_date(year, F.lit(2), F.lit(28)), 1))
         return F.make_date(year, F.lit(rule[1]), F.lit(rule[2]))
     if kind == "nth":
         return _nth_weekday(year, rule[1], rule[2], rule[3])

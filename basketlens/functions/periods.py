@@ -92,13 +92,43 @@ def by_grain(grain_col: str | Column, fn, grains: Sequence[str] = GRAINS) -> Col
     return out
 
 
+def finest(grains: Iterable[str]) -> str:
+    """The grain that totals of all of ``grains`` can be built from: days if
+    asked for, else months (quarters and years are made of whole months)."""
+    return "day" if "day" in grains else "month"
+
+
+def period_totals(df: DataFrame, keys: Sequence[str], grains: Sequence[str], *sums: str) -> DataFrame:
+    """Sums of ``sums`` per ``keys`` and period, for every grain.
+
+    Rows are summed to the finest grain first and only those totals are
+    repeated for each grain, so what is fanned out shrinks with activity.
+    Without ``sums`` it lists the distinct keys of every period.
+    """
+    grains = check_grains(grains)
+
+    def total(rows: DataFrame, *by: str) -> DataFrame:
+        grouped = rows.groupBy(*by)
+        return grouped.agg(*[F.sum(c).alias(c) for c in sums]) if sums else rows.select(*by).distinct()
+
+    fine = total(df.select(*keys, period_start("date", finest(grains)).alias("date"), *sums), *keys, "date")
+    return total(expand_periods(fine, grains), *keys, "time_period", "date")
+
+
+#: rows of a table with one row per coarse period, whatever its dates are:
+#: Spark's DATE ends with the year 9999, a year has at most 12 + 4 + 1 periods
+COARSE_PERIOD_ROWS = 9999 * 17
+#: bytes of such a row: a label, a date and a count
+COARSE_PERIOD_BYTES = 32
+
+
 def expand_periods(df: DataFrame, grains: Sequence[str], date_col: str = "date") -> DataFrame:
     """One row per input row and grain.
 
     Replaces ``date_col`` by the period start and adds ``time_period``. The
     fan-out is a generator inside one scan instead of one scan per grain, so
-    a single shuffle downstream serves all grains; callers pre-aggregate to
-    day level before calling it and aggregate right after it.
+    a single shuffle downstream serves all grains. Give it rows that are
+    already summed to the finest grain (see ``period_totals``).
     """
     grains = check_grains(grains)
     keep = [c for c in df.columns if c not in (date_col, "time_period")]

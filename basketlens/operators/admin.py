@@ -1,5 +1,5 @@
 """Configuration and output maintenance (A32, A33, A35-A38), as DataFrame
-operations; writing the result back is the caller's (see ``sources.sinks``).
+operations; ``sources.sinks.edit_path`` applies one to a stored table.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.joins import bounded_broadcast
+
 
 def union_all(dfs: Iterable[DataFrame]) -> DataFrame:
     """Stack tables by column name."""
@@ -32,14 +34,14 @@ def _names(df: DataFrame, values: Iterable[str], col: str = "client") -> DataFra
 
 def rename_clients(table: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Replace client names found in ``mapping``; others unchanged.
-    The mapping is a handful of config rows, so it is broadcast."""
+    The mapping is broadcast if its rows are few enough."""
     if not mapping:
         return table
     schema = T.StructType([T.StructField("client", T.StringType(), False),
                            T.StructField("_new_client", T.StringType(), False)])
     m = table.sparkSession.createDataFrame(sorted(mapping.items()), schema)
     cols = [F.coalesce("_new_client", "client").alias("client") if c == "client" else F.col(c) for c in table.columns]
-    return table.join(F.broadcast(m), "client", "left").select(*cols)
+    return table.join(bounded_broadcast(m, len(mapping)), "client", "left").select(*cols)
 
 
 def upsert(current: DataFrame, extra: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -64,7 +66,8 @@ def upsert_client_filters(current: DataFrame, extra: DataFrame) -> DataFrame:
 def remove_clients(table: DataFrame, clients: Iterable[str]) -> DataFrame:
     """Drop every row whose ``client`` equals one of ``clients``
     exactly (no substring matching)."""
-    return table.join(F.broadcast(_names(table, clients)), "client", "left_anti")
+    names = set(clients)
+    return table.join(bounded_broadcast(_names(table, names), len(names)), "client", "left_anti")
 
 
 def remove_clients_from_config(filters: DataFrame, ranges: DataFrame,

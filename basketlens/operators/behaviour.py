@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import bounded_broadcast
 from ..functions.metrics import MONEY_SUM, ratio
-from ..functions.periods import COARSE_GRAINS, check_grains, expand_periods
+from ..functions.periods import COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, check_grains, period_totals
 
 
 def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] = COARSE_GRAINS) -> DataFrame:
@@ -23,11 +24,7 @@ def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] =
     """
     grains = check_grains(grains, COARSE_GRAINS)
     keys = ["client", "time_period", "unique_mem_id", "company"]
-    per_period = (
-        expand_periods(cohort.select("client", "date", "unique_mem_id", "company", "transactions", "amount"), grains)
-        .groupBy(*keys, "date")
-        .agg(F.sum("transactions").alias("transactions"), F.sum("amount").alias("amount"))
-    )
+    per_period = period_totals(cohort, ["client", "unique_mem_id", "company"], grains, "transactions", "amount")
     first = F.min("date").over(Window.partitionBy(*keys))
     typed = per_period.withColumn(
         "user_type", F.when(first == F.col("date"), F.lit("New User")).otherwise(first.cast("string")))
@@ -36,6 +33,7 @@ def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] =
         F.sum("transactions").alias("transactions"),
         F.sum("amount").cast(MONEY_SUM).alias("amount"),
     )
+    panel = bounded_broadcast(panel, COARSE_PERIOD_ROWS, COARSE_PERIOD_BYTES)
     return counts.join(panel, ["time_period", "date"]).select(
         "client", "date", "company", "user_type",
         ratio("users", "unique_users").alias("unique_users"),
@@ -45,6 +43,10 @@ def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] =
     )
 
 
+#: fixed values: the bin edges of the published metric (its labels follow from them)
+BINS = (5, 15, 35, 55)
+
+
 def bin_labels(bins: Sequence[int]) -> list[str]:
     """Labels for the frequency bins defined by ascending edges ``bins``."""
     b = list(bins)
@@ -59,6 +61,9 @@ def bin_labels(bins: Sequence[int]) -> list[str]:
 def purchase_counts(cohort: DataFrame, count_by: str = "user_sequence") -> DataFrame:
     """Per (client, user, company) the count that places the user in a bin: ``cohort``.
 
+    Only the distinct (client, user, company, day) rows matter; they are made
+    once, so the cohort need not be free of duplicates.
+
     ``'user_sequence'`` (reference behaviour): rank, among all of the user's
     (day, company) purchases ordered by day with ties sharing a rank, of the
     last purchase at this company; that is 1 + the number of the user's
@@ -73,13 +78,14 @@ def purchase_counts(cohort: DataFrame, count_by: str = "user_sequence") -> DataF
     ``'company'``: number of distinct purchase days at the company.
     """
     keys = ["client", "unique_mem_id"]
+    bought = cohort.select(*keys, "company", "date").distinct()
     if count_by == "company":
-        return cohort.groupBy(*keys, "company").agg(F.count_distinct("date").alias("cohort"))
+        return bought.groupBy(*keys, "company").agg(F.count(F.lit(1)).alias("cohort"))
     if count_by != "user_sequence":
         raise ValueError(f"count_by must be 'user_sequence' or 'company', got {count_by!r}")
-    per_day = cohort.groupBy(*keys, "date").agg(F.count_distinct("company").alias("n")).select(
+    per_day = bought.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("n")).select(
         *keys, "date", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("company"), "n")
-    last = cohort.groupBy(*keys, "company").agg(F.max("date").alias("date")).select(
+    last = bought.groupBy(*keys, "company").agg(F.max("date").alias("date")).select(
         *keys, "date", F.lit(0).alias("kind"), "company", F.lit(0).cast("long").alias("n"))
     w = (Window.partitionBy(*keys).orderBy("date", "kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -89,7 +95,7 @@ def purchase_counts(cohort: DataFrame, count_by: str = "user_sequence") -> DataF
             .select(*keys, "company", "cohort"))
 
 
-def transaction_bins(cohort: DataFrame, bins: Sequence[int] = (5, 15, 35, 55),
+def transaction_bins(cohort: DataFrame, bins: Sequence[int] = BINS,
                      count_by: str = "user_sequence") -> DataFrame:
     """Users per frequency bin and company; share of each bin per
     company and of each company per bin.

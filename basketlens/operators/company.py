@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import bounded_broadcast
 from ..functions.metrics import MONEY_SUM, ratio
-from ..functions.periods import COARSE_GRAINS, by_grain, check_grains, expand_periods, period_label
+from ..functions.periods import (COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, by_grain, check_grains,
+                                 period_label, period_totals)
 
 
 def company_metrics(cohort: DataFrame, cadence: DataFrame, grains: Sequence[str] = COARSE_GRAINS,
@@ -20,17 +22,17 @@ def company_metrics(cohort: DataFrame, cadence: DataFrame, grains: Sequence[str]
     amount_per_user, average_transaction, days_between_orders,
     time_period``. With ``how='inner'`` (reference behaviour) companies
     without a repeat purchase in the period drop out; ``'left'`` keeps them
-    with a null cadence.
+    with a null cadence. Rows are summed to user x company x month before the
+    periods are built, so buying users are counted by rows.
     """
     grains = check_grains(grains, COARSE_GRAINS)
     keys = ["client", "time_period", "date", "company"]
-    rows = expand_periods(
-        cohort.select("client", "date", "unique_mem_id", "company", "vertical", "sub_vertical",
-                      "transactions", "amount"), grains)
-    agg = rows.groupBy(*keys, "vertical", "sub_vertical").agg(
+    per_user = period_totals(cohort, ["client", "company", "vertical", "sub_vertical", "unique_mem_id"], grains,
+                             "transactions", "amount")
+    agg = per_user.groupBy(*keys, "vertical", "sub_vertical").agg(
         F.sum("transactions").alias("transactions"),
         F.sum("amount").cast(MONEY_SUM).alias("amount"),
-        F.count_distinct("unique_mem_id").alias("users"),
+        F.count("unique_mem_id").alias("users"),
     )
     return agg.join(cadence, keys, how).select(
         "client", "date", "company", "vertical", "sub_vertical",
@@ -42,7 +44,7 @@ def company_metrics(cohort: DataFrame, cadence: DataFrame, grains: Sequence[str]
 
 
 def state_income_metrics(base: DataFrame, tags: DataFrame, panel: DataFrame, income_order: DataFrame,
-                         grains: Sequence[str] = COARSE_GRAINS) -> DataFrame:
+                         grains: Sequence[str] = COARSE_GRAINS, bands: int | None = None) -> DataFrame:
     """Transactions and spend per panel user by period, home state,
     region, income band and company, with a display label.
 
@@ -50,23 +52,20 @@ def state_income_metrics(base: DataFrame, tags: DataFrame, panel: DataFrame, inc
     transactions, amount, income_order, time_period, date_category``.
     The denominator is the whole panel of the period, not the users of the
     state or band. Users without a tag in the period drop out. The base
-    rows are summed to user x company x period before the join, so the
-    join input shrinks with purchase frequency.
+    rows are summed to user x company x month, then period, before the join,
+    so the join input shrinks with purchase frequency. ``bands`` is a bound
+    on the rows of ``income_order``, if the caller knows one.
     """
     grains = check_grains(grains, COARSE_GRAINS)
-    per_user = (
-        expand_periods(base.select("date", "unique_mem_id", "company", "vertical", "sub_vertical",
-                                   "transactions", "amount"), grains)
-        .groupBy("time_period", "date", "unique_mem_id", "company", "vertical", "sub_vertical")
-        .agg(F.sum("transactions").alias("transactions"), F.sum("amount").alias("amount"))
-    )
+    per_user = period_totals(base, ["unique_mem_id", "company", "vertical", "sub_vertical"], grains,
+                             "transactions", "amount")
     tagged = per_user.join(tags.select("time_period", "date", "unique_mem_id", "census_cat", "state", "region"),
                            ["time_period", "date", "unique_mem_id"])
     agg = tagged.groupBy("time_period", "date", "state", "census_cat", "company", "vertical", "sub_vertical",
                          "region").agg(F.sum("transactions").alias("transactions"),
                                        F.sum("amount").cast(MONEY_SUM).alias("amount"))
-    # income_order is an 8-row literal dimension: broadcasting it is size-safe.
-    out = agg.join(panel, ["time_period", "date"]).join(F.broadcast(income_order), ["census_cat"])
+    panel = bounded_broadcast(panel, COARSE_PERIOD_ROWS, COARSE_PERIOD_BYTES)
+    out = agg.join(panel, ["time_period", "date"]).join(bounded_broadcast(income_order, bands), ["census_cat"])
     return out.select(
         "census_cat", "date", "state", "company", "vertical", "sub_vertical", "region",
         ratio("transactions", "unique_users").alias("transactions"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import MONEY_SUM, ratio
-from ..functions.periods import COARSE_GRAINS, check_grains, expand_periods
+from ..functions.periods import COARSE_GRAINS, check_grains, period_totals
 
 
 def crossover(base: DataFrame, cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS) -> DataFrame:
@@ -20,20 +20,17 @@ def crossover(base: DataFrame, cohort: DataFrame, grains: Sequence[str] = COARSE
     transactions_ref, transactions, amount, time_period``. Shares sum to 1
     per (client, grain, date, company_ref).
 
-    Both sides are summed to user x company x period before the join on
+    Both sides are summed to user x company x month, then period, before the join on
     (grain, period, user), so the join multiplies each user's distinct
     reference companies by their distinct companies, never raw rows. The
     denominator is a window sum over the aggregated result instead of a
     second aggregate joined back.
     """
     grains = check_grains(grains, COARSE_GRAINS)
-    ref = (expand_periods(cohort.select("client", "date", "unique_mem_id", "company", "transactions"), grains)
-           .groupBy("client", "time_period", "date", "unique_mem_id", F.col("company").alias("company_ref"))
-           .agg(F.sum("transactions").alias("transactions_ref")))
-    spend = (expand_periods(base.select("date", "unique_mem_id", "company", "vertical", "sub_vertical",
-                                        "transactions", "amount"), grains)
-             .groupBy("time_period", "date", "unique_mem_id", "company", "vertical", "sub_vertical")
-             .agg(F.sum("transactions").alias("transactions"), F.sum("amount").alias("amount")))
+    ref = period_totals(cohort.withColumnsRenamed({"company": "company_ref", "transactions": "transactions_ref"}),
+                        ["client", "unique_mem_id", "company_ref"], grains, "transactions_ref")
+    spend = period_totals(base, ["unique_mem_id", "company", "vertical", "sub_vertical"], grains,
+                          "transactions", "amount")
     shares = (spend.join(ref, ["time_period", "date", "unique_mem_id"])
               .groupBy("client", "time_period", "date", "company_ref", "company", "vertical", "sub_vertical",
                        "transactions_ref")

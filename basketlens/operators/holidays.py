@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.holidays import parse_phrases, phrase_date
@@ -10,30 +10,38 @@ from ..functions.joins import bounded_broadcast
 from ..functions.metrics import MONEY_SUM, ratio
 
 
-def data_years(base: DataFrame) -> tuple[int, int]:
-    """First and last calendar year of the data (a one-row aggregate)."""
-    row = base.agg(F.year(F.min("date")).alias("y0"), F.year(F.max("date")).alias("y1")).first()
-    if row is None or row["y0"] is None:
-        raise ValueError("the base table is empty")
-    return int(row["y0"]), int(row["y1"])
+def data_years(base: DataFrame) -> tuple[Column, Column]:
+    """First and last calendar year of the data, as scalar subqueries: they
+    are part of the plan that uses them, nothing is read while it is built.
+    An empty table has none, so its calendar is empty."""
+    return (base.agg(F.year(F.min("date")).alias("y")).scalar(), base.agg(F.year(F.max("date")).alias("y")).scalar())
 
 
-def calendar_max_rows(ranges: DataFrame, years: tuple[int, int]) -> int:
-    """Upper bound on ``holiday_calendar`` rows: rules x years x longest span."""
+def calendar_max_rows(ranges: DataFrame, data: DataFrame | tuple[int, int]) -> int | None:
+    """Upper bound on ``holiday_calendar`` rows: rules x years x longest span.
+    The years are given, or come from the month directories of a base that
+    has them (a scan that reads no column); otherwise there is no bound (None)."""
     rows = ranges.select("start", "end").collect()
     if not rows:
         return 0
+    if isinstance(data, DataFrame):
+        if "month" not in data.columns:
+            return None
+        data = tuple(data.agg(F.year(F.min("month")), F.year(F.max("month"))).first())
+        if data[0] is None:
+            return 0
     phrases = parse_phrases([r["start"] for r in rows] + [r["end"] for r in rows])
     span = max(366 + phrases[r["start"]].max_offset_days + phrases[r["end"]].max_offset_days + 1 for r in rows)
-    return len(rows) * (years[1] - years[0] + 1) * span
+    return len(rows) * (data[1] - data[0] + 1) * span
 
 
-def holiday_calendar(ranges: DataFrame, years: tuple[int, int]) -> DataFrame:
+def holiday_calendar(ranges: DataFrame, years: tuple[int | Column, int | Column]) -> DataFrame:
     """One row per client holiday day: ``client, holiday, date, years``.
 
     Every rule (``client, holiday, start, end`` phrases) is applied to every
     data year; ``years`` is ``'2018'``, or ``'1995/1996'`` when the range
-    crosses a year end. A range whose end precedes its start yields no day.
+    crosses a year end. A range whose end precedes its start yields no day,
+    nor does one in a year that lacks its date (29 February).
     """
     texts = ranges.select("start", "end").collect()
     phrases = parse_phrases([r["start"] for r in texts] + [r["end"] for r in texts])
@@ -46,8 +54,8 @@ def holiday_calendar(ranges: DataFrame, years: tuple[int, int]) -> DataFrame:
                    else out.when(F.col(col) == text, phrase_date(p, y)))
         return out
 
-    rules = ranges.select("client", "holiday", "start", "end",
-                          F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))).alias("year"))
+    first, last = (F.lit(x) if isinstance(x, int) else x for x in years)
+    rules = ranges.select("client", "holiday", "start", "end", F.explode(F.sequence(first, last)).alias("year"))
     spans = rules.select("client", "holiday", dated("start").alias("s"), dated("end").alias("e")).where(
         F.col("e") >= F.col("s"))
     return spans.select(
@@ -60,8 +68,15 @@ def holiday_calendar(ranges: DataFrame, years: tuple[int, int]) -> DataFrame:
 def holiday_cohort(cohort: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
     """Cohort rows on the client's own holiday days, tagged with
     ``holiday`` and ``years`` (joined on client *and* date, so one client's
-    holidays never duplicate another client's rows)."""
-    return cohort.join(bounded_broadcast(calendar, calendar_rows), ["client", "date"])
+    holidays never duplicate another client's rows). A cohort that carries
+    the base's ``month`` directory is joined on it too, so the scan reads
+    only the months that hold a holiday."""
+    keys = ["client", "month", "date"] if "month" in cohort.columns else ["client", "date"]
+    return cohort.join(bounded_broadcast(_with_month(calendar, keys), calendar_rows), keys)
+
+
+def _with_month(days: DataFrame, keys: list[str]) -> DataFrame:
+    return days.withColumn("month", F.trunc("date", "MM")) if "month" in keys else days
 
 
 def holiday_day_count(hcohort: DataFrame) -> DataFrame:
@@ -74,16 +89,18 @@ def holiday_panel_users(base: DataFrame, calendar: DataFrame, calendar_rows: int
 
     Clients often share identical holiday windows, so users are counted once
     per distinct set of days and the counts joined back, instead of fanning
-    panel rows out to every client. Each distinct day set gets a small
-    integer id (a deterministic rank over the set, computed on the
-    config-sized table of windows), so the table broadcast against the panel
-    is just (id, day) and stays within the calendar's row bound.
+    panel rows out to every client. A day set is known by its digest, so the
+    table broadcast against the panel is just (digest, day) and stays within
+    the calendar's row bound. A base with ``month`` directories is joined on
+    the month too and read only where there are holidays.
     """
     windows = (calendar.groupBy("client", "holiday", "years").agg(F.array_sort(F.collect_set("date")).alias("days"))
-               .withColumn("window_id", F.dense_rank().over(Window.orderBy("days"))))  # equal sets, equal ids
-    days = windows.select("window_id", "days").distinct().select("window_id", F.explode("days").alias("date"))
-    users = (base.select("date", "unique_mem_id")
-             .join(bounded_broadcast(days, calendar_rows, row_bytes=16), "date")
+               .withColumn("window_id", F.sha2(F.array_join(F.transform("days", lambda d: d.cast("string")), ","), 256)))
+    keys = ["month", "date"] if "month" in base.columns else ["date"]
+    days = _with_month(windows.select("window_id", "days").distinct()
+                       .select("window_id", F.explode("days").alias("date")), keys)
+    users = (base.select(*keys, "unique_mem_id")
+             .join(bounded_broadcast(days, calendar_rows, row_bytes=96), keys)
              .groupBy("window_id").agg(F.count_distinct("unique_mem_id").alias("unique_users")))
     return windows.join(users, "window_id").select("client", "holiday", "years", "unique_users")
 

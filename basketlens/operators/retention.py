@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import bounded_broadcast
 from ..functions.metrics import ratio
-from ..functions.periods import COARSE_GRAINS, by_grain, check_grains, expand_periods, period_index
+from ..functions.periods import (COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, by_grain, check_grains,
+                                 period_index, period_totals)
 
+#: fixed values: names that the published metric reports
 METHODS = ("drop_nl_users", "keep_nl_users")
 
 
@@ -30,15 +33,16 @@ def activity_patterns(cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS)
     the ascending array of period indexes in which a user bought at the
     company. Each array holds at most one entry per calendar period, and
     users sharing a history collapse to one row, so the pair expansion that
-    follows is paid per distinct history, not per user.
+    follows is paid per distinct history, not per user. A history is a set,
+    so the cohort need not be free of duplicates.
     """
     grains = check_grains(grains, COARSE_GRAINS)
-    active = expand_periods(cohort.select("client", "date", "unique_mem_id", "company"), grains)
+    active = period_totals(cohort, ["client", "unique_mem_id", "company"], grains)
     active = active.select(
         "client", "time_period", "unique_mem_id", "company",
         by_grain("time_period", lambda g: period_index("date", g), grains).cast("int").alias("p"))
     per_user = active.groupBy("client", "time_period", "unique_mem_id", "company").agg(
-        F.array_sort(F.collect_set("p")).alias("periods"))
+        F.array_sort(F.collect_list("p")).alias("periods"))
     return per_user.groupBy("client", "time_period", "company", "periods").agg(F.count(F.lit(1)).alias("users"))
 
 
@@ -94,7 +98,8 @@ def retention(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] = COARS
         by_grain("time_period", lambda g: index_to_start("b", g), grains).alias("date_base"),
         by_grain("time_period", lambda g: index_to_start("d", g), grains).alias("date"),
         (F.col("d") - F.col("b")).cast("int").alias("period_elapsed"))
-    pan = panel.select("time_period", F.col("date").alias("date_base"), "unique_users")
+    pan = bounded_broadcast(panel.select("time_period", F.col("date").alias("date_base"), "unique_users"),
+                            COARSE_PERIOD_ROWS, COARSE_PERIOD_BYTES)
     return dated.join(pan, ["time_period", "date_base"]).select(
         "client", "date_base", "company",
         ratio("base_users", "unique_users").alias("unique_users_base"),

@@ -7,24 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import bounded_broadcast
 from ..functions.metrics import income_band
 from ..functions.periods import GRAINS, check_grains, expand_periods
 
 
 def user_month_state(geo: DataFrame, state_names: DataFrame, state_regions: DataFrame,
-                     require_secondary_state: bool = True) -> DataFrame:
+                     require_secondary_state: bool = True, dimension_rows: int | None = None) -> DataFrame:
     """``unique_mem_id, date, state, region`` per user-month.
 
     ``state1`` (a code) becomes the full state name and its region. With
     ``require_secondary_state`` (reference behaviour) a user-month whose
     ``state2`` is null or unknown is dropped; ``state2`` is not used
-    otherwise. Both dimensions are 52-row literals, so they are broadcast.
+    otherwise. ``dimension_rows`` is a bound on the rows of both dimensions,
+    if the caller knows one: they are broadcast if that is small enough.
     """
-    names = F.broadcast(state_names)
-    g = geo.join(names.select(F.col("state_abr").alias("state1"), "state"), "state1")
+    names = state_names
+    def small(df: DataFrame) -> DataFrame:
+        return bounded_broadcast(df, dimension_rows)
+
+    g = geo.join(small(names.select(F.col("state_abr").alias("state1"), "state")), "state1")
     if require_secondary_state:
-        g = g.join(names.select(F.col("state_abr").alias("state2")), "state2", "left_semi")
-    return g.join(F.broadcast(state_regions), "state").select(
+        g = g.join(small(names.select(F.col("state_abr").alias("state2"))), "state2", "left_semi")
+    return g.join(small(state_regions), "state").select(
         "unique_mem_id", F.make_date("year", "month", F.lit(1)).alias("date"), "state", "region")
 
 

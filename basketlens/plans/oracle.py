@@ -1,9 +1,8 @@
 """Independent DuckDB SQL for every registered query.
 
-Each statement is written from the *reference formulation* of the metric
-(one query per grain, self-joins, range joins, back-joins to aggregates),
-while the Spark operators use the rewritten forms, so agreement proves the
-rewrites. The tables ``lineitem orders part customer`` are pre-registered
+Each statement is written from the metric's definition (one query per
+grain, joins that state the condition), while the Spark operators use
+rewritten forms, so agreement proves the rewrites. The tables ``lineitem orders part customer`` are pre-registered
 views; every statement derives the panel from them (FIXTURES.md).
 """
 
@@ -169,18 +168,20 @@ def round6(x: str) -> str:
 
 
 def cadence_ctes(window_days: int = 28, max_gap: int = 200) -> list[str]:
-    """Reference form: rank rows (ties share a rank) and self-join rank r to
-    rank r+1; then a range join of pairs against the client's cohort days."""
+    """From the definition: a purchase is paired with the next one if that is
+    the only purchase after it up to and including its day; then every pair
+    counts on each cohort day of its window."""
     return [
-        """ranked AS (
-  SELECT client, unique_mem_id, company, date,
-         RANK() OVER (PARTITION BY client, unique_mem_id, company ORDER BY date DESC) AS r
-  FROM cohort)""",
+        """bought AS (
+  SELECT client, unique_mem_id, company, date, COUNT(*) AS n FROM cohort GROUP BY 1, 2, 3, 4)""",
         """tbo AS (
-  SELECT b.client, b.unique_mem_id, b.company, b.date AS date_base, e.date AS date,
+  SELECT e.client, e.unique_mem_id, e.company, b.date AS date_base, e.date AS date,
          CAST(date_diff('day', e.date, b.date) AS INTEGER) AS days_from_last_order
-  FROM ranked b JOIN ranked e
-    ON b.client = e.client AND b.unique_mem_id = e.unique_mem_id AND b.company = e.company AND b.r = e.r - 1)""",
+  FROM cohort e JOIN bought b
+    ON b.client = e.client AND b.unique_mem_id = e.unique_mem_id AND b.company = e.company AND b.date > e.date
+  WHERE b.n = 1 AND NOT EXISTS (
+    SELECT 1 FROM bought x WHERE x.client = e.client AND x.unique_mem_id = e.unique_mem_id
+       AND x.company = e.company AND x.date > e.date AND x.date < b.date))""",
         """cohort_days AS (SELECT DISTINCT client, date AS day FROM cohort)""",
         f"""r28 AS (
   SELECT t.client, t.company, d.day AS date,
@@ -358,9 +359,9 @@ def _elapsed(later: str, earlier: str, grain: str) -> str:
 
 
 def retention() -> str:
-    """Reference form: self-join of (user, company, period) rows; for the
-    gapless method a lag window finds the first break and rows at or after
-    it are dropped; back-join of the base-user count."""
+    """From the definition: a user is retained from period b to d if active
+    in both; without gaps, if active in every period from b to d, that is in
+    as many periods as there are."""
     parts = []
     for g in COARSE:
         for method in ("drop_nl_users", "keep_nl_users"):
@@ -371,15 +372,11 @@ def retention() -> str:
      ON b.client = d.client AND b.unique_mem_id = d.unique_mem_id AND b.company = d.company
     AND b.date <= d.date)"""
             if method == "drop_nl_users":
-                rd = f"""(SELECT r.* FROM {pairs} r
-   LEFT JOIN (
-     SELECT client, unique_mem_id, company, date_base, MIN(period_elapsed) AS first_break
-     FROM (SELECT *, period_elapsed - LAG(period_elapsed) OVER (
-                 PARTITION BY client, unique_mem_id, company, date_base ORDER BY period_elapsed) AS step
-           FROM {pairs})
-     WHERE step > 1 GROUP BY 1, 2, 3, 4) k
-   USING (client, unique_mem_id, company, date_base)
-   WHERE k.first_break IS NULL OR r.period_elapsed < k.first_break)"""
+                rd = f"""(SELECT r.client, r.unique_mem_id, r.company, r.date_base, r.date, r.period_elapsed
+   FROM {pairs} r JOIN {pairs} m
+     ON m.client = r.client AND m.unique_mem_id = r.unique_mem_id AND m.company = r.company
+    AND m.date_base = r.date_base AND m.date <= r.date
+   GROUP BY ALL HAVING COUNT(*) = r.period_elapsed + 1)"""
             else:
                 rd = pairs
             parts.append(f"""
@@ -509,10 +506,37 @@ FROM (SELECT unique_mem_id, company, MIN(date) AS first_date, MAX(date) AS last_
 
 def layout_parity() -> str:
     return with_(BASE_CTE) + """
-, sums AS (SELECT date, unique_mem_id, CAST(SUM(transactions) AS BIGINT) AS transactions FROM base GROUP BY 1, 2)
-SELECT 'flat_only' AS side, * FROM (SELECT * FROM sums EXCEPT ALL SELECT * FROM sums)
-UNION ALL
-SELECT 'partitioned_only' AS side, * FROM (SELECT * FROM sums EXCEPT ALL SELECT * FROM sums)"""
+SELECT date, unique_mem_id,
+       CAST(SUM(transactions) AS BIGINT) AS transactions_flat, CAST(SUM(transactions) AS BIGINT) AS transactions_partitioned,
+       CAST(SUM(amount) AS DOUBLE) AS amount_flat, CAST(SUM(amount) AS DOUBLE) AS amount_partitioned, TRUE AS agree
+FROM base GROUP BY 1, 2"""
+
+
+def union_all() -> str:
+    return with_(BASE_CTE, panel_cte(COARSE)) + "SELECT * FROM panel"
+
+
+def append_distinct() -> str:
+    return with_(BASE_CTE, *dims_ctes()) + "SELECT DISTINCT unique_mem_id, state, region FROM month_state"
+
+
+def upsert_user_state() -> str:
+    """The last quarter's most frequent state of a year, else the year's."""
+    home = """SELECT unique_mem_id, CAST(date_trunc('year', date) AS DATE) AS date, state, region,
+         ROW_NUMBER() OVER (PARTITION BY unique_mem_id, year(date) ORDER BY COUNT(*) DESC, state) AS rn
+  FROM month_state {where} GROUP BY 1, 2, 3, 4, year(date)"""
+    return with_(BASE_CTE, *dims_ctes(), f"whole AS ({home.format(where='')})",
+                 f"late AS ({home.format(where='WHERE quarter(date) = 4')})") + """
+SELECT w.unique_mem_id, w.date, coalesce(l.state, w.state) AS state, coalesce(l.region, w.region) AS region
+FROM (SELECT * FROM whole WHERE rn = 1) w
+LEFT JOIN (SELECT * FROM late WHERE rn = 1) l USING (unique_mem_id, date)"""
+
+
+def remove_clients() -> str:
+    from .queries import REMOVED
+
+    return with_(BASE_CTE, cohort_cte()) + \
+        f"SELECT DISTINCT client, date FROM cohort WHERE client NOT IN ({', '.join(_q(c) for c in REMOVED)})"
 
 
 def rename_clients(renames: dict[str, str] | None = None) -> str:
@@ -560,6 +584,10 @@ def all_sql() -> dict[str, str]:
         "holiday_metrics": holiday_metrics(),
         "period_diff": period_diff(),
         "layout_parity": layout_parity(),
+        "union_all": union_all(),
+        "append_distinct": append_distinct(),
+        "upsert_user_state": upsert_user_state(),
+        "remove_clients": remove_clients(),
         "rename_clients": rename_clients(),
         "drop_client_outputs": drop_client_outputs(),
     }

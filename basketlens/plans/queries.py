@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.metrics import MONEY_SUM, round6
 from ..functions.periods import COARSE_GRAINS, GRAINS, expand_periods as _expand, period_diff, period_start
 from ..operators import admin, behaviour, cadence, cohort, company, crossover, holidays, panel, retention, tags
-from ..session import scratch_path
 from ..sources import config, dims, sinks, tables
 
 #: client renames applied by the ``rename_clients`` query
@@ -49,6 +48,11 @@ class Inputs:
     def cohort(self) -> DataFrame:
         return cohort.client_cohort(self.base, self.filters)
 
+    @cached_property
+    def cohort_rows(self) -> DataFrame:
+        """The cohort with repeated rows, for metrics over sets of days or periods."""
+        return cohort.client_cohort(self.base, self.filters, dedupe=False)
+
     @cached_property
     def panel(self) -> DataFrame:
         return panel.panel_users(self.base, GRAINS)
@@ -66,7 +70,8 @@ class Inputs:
 
     @cached_property
     def month_state(self) -> DataFrame:
-        return tags.user_month_state(self.geo, dims.state_names(self.spark), dims.state_regions(self.spark))
+        return tags.user_month_state(self.geo, dims.state_names(self.spark), dims.state_regions(self.spark),
+                                     dimension_rows=dims.STATE_ROWS)
 
     def tags_at(self, grains) -> DataFrame:
         return tags.geo_income_tags(self.income, self.month_state, grains)
@@ -74,11 +79,10 @@ class Inputs:
     @cached_property
     def state_income(self) -> DataFrame:
         return company.state_income_metrics(self.base, self.tags_at(COARSE_GRAINS), self.panel_at(COARSE_GRAINS),
-                                            dims.income_order(self.spark), COARSE_GRAINS)
-
+                                            dims.income_order(self.spark), COARSE_GRAINS, len(dims.INCOME_BANDS))
 
     @cached_property
-    def years(self) -> tuple[int, int]:
+    def years(self) -> tuple:
         return holidays.data_years(self.base)
 
     @cached_property
@@ -86,8 +90,8 @@ class Inputs:
         return holidays.holiday_calendar(self.holiday_ranges, self.years)
 
     @cached_property
-    def calendar_rows(self) -> int:
-        return holidays.calendar_max_rows(self.holiday_ranges, self.years)
+    def calendar_rows(self) -> int | None:
+        return holidays.calendar_max_rows(self.holiday_ranges, self.base)
 
     @cached_property
     def hcohort(self) -> DataFrame:
@@ -123,7 +127,7 @@ def q_period_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_client_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Inputs(spark, sf_dir).cohort
+    return Inputs(spark, sf_dir).cohort.drop("month")
 
 
 def q_user_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +136,7 @@ def q_user_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_transaction_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return behaviour.transaction_bins(Inputs(spark, sf_dir).cohort)
+    return behaviour.transaction_bins(Inputs(spark, sf_dir).cohort_rows)
 
 
 def q_purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +193,7 @@ def q_client_metric_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return retention.retention(inp.cohort, inp.panel_at(COARSE_GRAINS), COARSE_GRAINS)
+    return retention.retention(inp.cohort_rows, inp.panel_at(COARSE_GRAINS), COARSE_GRAINS)
 
 
 def q_crossover(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +206,7 @@ def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_holiday_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Inputs(spark, sf_dir).hcohort
+    return Inputs(spark, sf_dir).hcohort.drop("month")
 
 
 def q_holiday_day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,12 +236,44 @@ def q_period_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_layout_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 + A2: write the base table partitioned by month to the shared
-    folder, read it back and list every (date, user) sum that differs."""
-    base = tables.base_table(spark, sf_dir)
-    path = scratch_path(spark, "base_by_month")
-    sinks.write_base(base, path)
-    return sinks.layout_parity(base, sinks.read_base(spark, path))
+    """A1 + A2: the (date, user) sums of the base stored flat and stored by
+    month, side by side. Both copies are written once per input."""
+    return sinks.layout_parity(tables.stored_base_table(spark, sf_dir, None), tables.stored_base_table(spark, sf_dir))
+
+
+def q_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel of each grain, stacked."""
+    inp = Inputs(spark, sf_dir)
+    return admin.union_all([inp.panel_at([g]) for g in COARSE_GRAINS])
+
+
+def _states_of(state: DataFrame, year) -> DataFrame:
+    return state.where(year).select("unique_mem_id", "state", "region")
+
+
+def q_append_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user states seen in odd years, with those of even years added."""
+    state, odd = Inputs(spark, sf_dir).month_state, F.year("date") % 2 == 1
+    return admin.append_distinct(_states_of(state, odd), _states_of(state, ~odd))
+
+
+def q_upsert_user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A35 and A36's merge over a data-derived table: each user's home state
+    of the year, replaced by that of the last quarter's months where there is one."""
+    state = Inputs(spark, sf_dir).month_state
+
+    def home(rows: DataFrame) -> DataFrame:
+        return tags.user_period_home_state(rows, ["year"]).select("unique_mem_id", "date", "state", "region")
+
+    return admin.upsert(home(state), home(state.where(F.quarter("date") == 4)), ["unique_mem_id", "date"])
+
+
+def q_remove_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A37 over a data-derived table of client names: the days on which each
+    remaining client has purchases."""
+    days = Inputs(spark, sf_dir).cohort_rows.select("client", "date").distinct()
+    kept, _ = admin.remove_clients_from_config(days, days, REMOVED)
+    return kept
 
 
 def q_rename_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,6 +328,10 @@ QUERIES: dict[str, Query] = {
     "holiday_metrics": q_holiday_metrics,
     "period_diff": q_period_diff,
     "layout_parity": q_layout_parity,
+    "union_all": q_union_all,
+    "append_distinct": q_append_distinct,
+    "upsert_user_state": q_upsert_user_state,
+    "remove_clients": q_remove_clients,
     "rename_clients": q_rename_clients,
     "drop_client_outputs": q_drop_client_outputs,
 }

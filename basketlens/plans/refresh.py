@@ -12,7 +12,7 @@ re-deriving its inputs. All clients are processed in the same jobs, with
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,11 @@ from ..sources import dims
 from ..sources.sinks import overwrite_table
 
 
+#: the tables that a refresh exports
+METRIC_TABLES = frozenset(["state_income_metrics", "client_metric_slice", "holiday_metrics", "company_metrics",
+                           "crossover", "retention", "user_breakdown", "transaction_bins"])
+
+
 @dataclass(frozen=True)
 class RefreshOptions:
     grains: Sequence[str] = COARSE_GRAINS
@@ -40,9 +45,13 @@ class RefreshOptions:
 
 def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ranges: DataFrame,
             geography: DataFrame, income: DataFrame, out_dir: str,
-            options: RefreshOptions = RefreshOptions()) -> dict[str, str]:
+            options: RefreshOptions = RefreshOptions(),
+            export: Callable[[DataFrame, str], None] | None = None) -> dict[str, str]:
     """Write every table under ``out_dir``; return ``{table: path}``.
 
+    ``export(table, name)`` is called once with each metric table as it was
+    written, for instance to load it into a database (``sinks.jdbc_export``).
+
     ``base`` must carry the normalised columns (``date, unique_mem_id,
     company, vertical, sub_vertical, transactions, amount``).
     """
@@ -51,9 +60,15 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
 
     def write(name: str, df: DataFrame, by_client: bool = False) -> DataFrame:
         path = os.path.join(out_dir, name)
+        if by_client:  # a client's rows meet in a few tasks, so that it gets a few files, not one from each task
+            df = df.hint("rebalance", "client")
         overwrite_table(df, path, ("client",) if by_client else ())
         paths[name] = path
-        return spark.read.parquet(path)
+        # with its schema: else names of clients that look like numbers or dates would be read as such
+        back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        if export is not None and name in METRIC_TABLES:
+            export(back, name)
+        return back
 
     # shared tables ---------------------------------------------------------
     panel_all = write("panel_users", panel.panel_users(base, o.panel_grains))
@@ -62,18 +77,19 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
     write("state_regions", dims.state_regions(spark))
     inc_order = write("income_order", dims.income_order(spark))
     month_state = tags.user_month_state(geography, dims.state_names(spark), dims.state_regions(spark),
-                                        o.require_secondary_state)
+                                        o.require_secondary_state, dims.STATE_ROWS)
     tag_tbl = write("geo_income_tags", tags.geo_income_tags(income, month_state, o.panel_grains))
     coarse_panel = panel_all.where(panel_all.time_period.isin(list(o.grains)))
     coarse_tags = tag_tbl.where(tag_tbl.time_period.isin(list(o.grains)))
     state_income = write("state_income_metrics",
-                         company.state_income_metrics(base, coarse_tags, coarse_panel, inc_order, o.grains))
-    years = holidays.data_years(base)
-    calendar = write("holiday_calendar", holidays.holiday_calendar(holiday_ranges, years), by_client=True)
-    cal_rows = holidays.calendar_max_rows(holiday_ranges, years)
+                         company.state_income_metrics(base, coarse_tags, coarse_panel, inc_order, o.grains,
+                                                      len(dims.INCOME_BANDS)))
+    calendar = write("holiday_calendar", holidays.holiday_calendar(holiday_ranges, holidays.data_years(base)),
+                     by_client=True)
+    cal_rows = holidays.calendar_max_rows(holiday_ranges, base)
 
     # per-client tables -------------------------------------------------------
-    coh = write("client_cohort", cohort.client_cohort(base, filters, o.dedupe_cohort), by_client=True)
+    coh = write("client_cohort", cohort.client_cohort(base, filters, o.dedupe_cohort).drop("month"), by_client=True)
     write("client_metric_slice", cohort.client_metric_slice(state_income, filters), by_client=True)
     hcoh = write("holiday_cohort", holidays.holiday_cohort(coh, calendar, cal_rows), by_client=True)
     days = write("holiday_day_count", holidays.holiday_day_count(hcoh), by_client=True)

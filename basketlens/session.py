@@ -115,12 +115,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours, through Hadoop's FileSystem."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def file_signature(spark: SparkSession, path: str) -> str:
-    """``path:size:mtime`` of a file or directory tree (summed sizes, latest mtime)."""
+    """Name, size and modification time of every file of a table (a file, or
+    all files below a folder), so that any rewrite changes it."""
     fs, p = _fs_path(spark, path)
-    summary = fs.getContentSummary(p)
-    mtime = fs.getFileStatus(p).getModificationTime()
-    return f"{p.toString()}:{summary.getLength()}:{mtime}"
+    files = fs.listFiles(p, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+    return "|".join(sorted(found))
 
 
 def publish(spark: SparkSession, tmp: str, final: str) -> bool:

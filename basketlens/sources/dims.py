@@ -139,6 +139,10 @@ INCOME_ORDER_SCHEMA = T.StructType([
 ])
 
 
+#: bound on the rows of the state dimensions
+STATE_ROWS = len(STATE_NAMES)
+
+
 def state_names(spark: SparkSession) -> DataFrame:
     """``state_abr``, ``state`` (52 rows)."""
     return spark.createDataFrame(list(STATE_NAMES), STATE_NAME_SCHEMA)

@@ -7,12 +7,13 @@ such rewrites go through a staged copy first.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..functions.metrics import MONEY_SUM
+from ..session import delete_path, scratch_path
 
 
 def overwrite_table(df: DataFrame, target: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
@@ -36,37 +37,60 @@ def insert_overwrite(df: DataFrame, table: str) -> None:
     df.sparkSession.catalog.refreshTable(table)
 
 
-def write_base(base: DataFrame, path: str, partition_by: str = "month") -> None:
+#: rows of one stored file of the base at most
+FILE_ROWS = 4_000_000
+
+
+def write_base(base: DataFrame, path: str, partition_by: str | None = "month") -> None:
     """A1: store the normalised base table partitioned by a coarse period.
 
-    ``partition_by`` is ``'month'`` (default) or ``'date'``; ``'month'`` adds a
+    ``partition_by`` is ``'month'`` (default), ``'date'`` or None (the flat
+    layout); ``'month'`` adds a
     ``month`` column (first day of the month) as the directory key and keeps
     ``date`` as data, so a year of data is 12 directories, not 365, and a
     date-range filter prunes with ``month`` between the truncated bounds.
     User or company partitioning (millions of tiny files) is not offered.
+    Rows are rebalanced, not repartitioned, by the directory key: small
+    months share a task, a large one is split over as many tasks and files
+    as its size asks for.
     """
+    if partition_by not in ("month", "date", None):
+        raise ValueError("partition_by must be 'month', 'date' or None")
     if partition_by == "month":
         base = base.withColumn("month", F.trunc("date", "MM"))
-    elif partition_by != "date":
-        raise ValueError("partition_by must be 'month' or 'date'")
-    overwrite_table(base.repartition(partition_by), path, (partition_by,))
+    keys = [partition_by] if partition_by else []
+    w = base.hint("rebalance", *keys).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS)
+    (w.partitionBy(*keys) if keys else w).parquet(path)
 
 
 def read_base(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by ``write_base`` back in the normalised shape."""
+    """Read a table written by ``write_base`` back: the normalised columns
+    and, stored by month, the directory key ``month``, which joins and
+    filters prune with. Outputs of whole rows leave it out."""
     df = spark.read.parquet(path)
-    return df.drop("month") if "month" in df.columns else df
+    if "month" in df.columns:  # inferred from the directory names
+        df = df.withColumn("month", F.col("month").cast("date"))
+    return df
 
 
 def layout_parity(flat: DataFrame, partitioned: DataFrame) -> DataFrame:
-    """A2: rows of the per-(date, user) transaction sums found in one layout
-    but not the other (``exceptAll`` both ways); empty when they agree."""
-    def sums(df: DataFrame) -> DataFrame:
-        return df.groupBy("date", "unique_mem_id").agg(F.sum("transactions").cast("long").alias("transactions"))
+    """A2: the per-(date, user) sums of both layouts side by side, from one
+    aggregate over their union: ``date, unique_mem_id, transactions_flat,
+    transactions_partitioned, amount_flat, amount_partitioned, agree``."""
+    def side(df: DataFrame, of_flat: bool) -> DataFrame:
+        return df.select("date", "unique_mem_id", "transactions", "amount", F.lit(of_flat).alias("of_flat"))
+
+    def of(c: str, flat_side: bool):
+        mine = F.col("of_flat") if flat_side else ~F.col("of_flat")
+        return F.coalesce(F.sum(F.when(mine, F.col(c))), F.lit(0))
 
-    a, b = sums(flat), sums(partitioned)
-    return (a.exceptAll(b).select(F.lit("flat_only").alias("side"), "*")
-            .unionByName(b.exceptAll(a).select(F.lit("partitioned_only").alias("side"), "*")))
+    sums = side(flat, True).unionByName(side(partitioned, False)).groupBy("date", "unique_mem_id").agg(
+        of("transactions", True).cast("long").alias("transactions_flat"),
+        of("transactions", False).cast("long").alias("transactions_partitioned"),
+        of("amount", True).cast(MONEY_SUM).alias("amount_flat"),
+        of("amount", False).cast(MONEY_SUM).alias("amount_partitioned"))
+    return sums.withColumn("agree", (F.col("transactions_flat") == F.col("transactions_partitioned"))
+                           & (F.col("amount_flat") == F.col("amount_partitioned")))
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -75,19 +99,34 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     files) before the source is overwritten."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def replace_path(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``target`` with ``df`` even when ``df`` reads ``target``."""
-    overwrite_table(stage(df), target, partition_by)
+    """Overwrite ``target`` with ``df`` even when ``df`` reads ``target``;
+    the staged copy is removed once the target is written."""
+    path = scratch_path(df.sparkSession, "replace")
+    df.write.parquet(path)
+    overwrite_table(df.sparkSession.read.schema(df.schema).parquet(path), target, partition_by)
+    delete_path(df.sparkSession, path)
+
+
+def edit_path(spark: SparkSession, target: str, edit: Callable[[DataFrame], DataFrame],
+              partition_by: Sequence[str] = ()) -> None:
+    """Change a stored table in place: ``edit`` gets the table and returns
+    its new content (for instance one of the operations of
+    ``operators.admin``), which replaces it."""
+    replace_path(edit(spark.read.parquet(target)), target, partition_by)
 
 
 def replace_table(spark: SparkSession, target: str, source: str) -> None:
     """Overwrite catalog table ``target`` with table ``source``, then drop ``source``."""
-    staged = stage(spark.table(source), "replace")
-    staged.write.mode("overwrite").saveAsTable(target)
+    rows = spark.table(source)
+    path = scratch_path(spark, "replace")
+    rows.write.parquet(path)
+    spark.read.schema(rows.schema).parquet(path).write.mode("overwrite").saveAsTable(target)
     drop_table(spark, source)
+    delete_path(spark, path)
 
 
 def remove_client_partitions(spark: SparkSession, path: str, clients: Iterable[str]) -> list[str]:
@@ -119,7 +158,10 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def jdbc_export(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
+def jdbc_export(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
+                connections: int = 8) -> None:
     """Overwrite-load a metric table into a relational database over
-    JDBC. Credentials come from the caller's properties / Spark config."""
-    df.write.jdbc(url=url, table=table, mode="overwrite", properties=properties or {})
+    JDBC, with ``connections`` parallel connections at most. Credentials come
+    from the caller's properties / Spark config."""
+    (df.write.option("numPartitions", connections)
+     .jdbc(url=url, table=table, mode="overwrite", properties=properties or {}))

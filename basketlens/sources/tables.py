@@ -61,13 +61,20 @@ _HANDLES: dict[tuple[str, str], DataFrame] = {}
 _LOCK = threading.Lock()
 
 
-def stored_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base table as the metrics read it: derived once, written
-    month-partitioned to the shared folder (A1), then scanned in parallel.
+#: part of a stored copy's key: raise it when ``base_table`` or the layout changes
+DERIVATION = 2
 
-    The location is keyed by the input files' paths, sizes and modification
-    times, so a changed input never reuses a stale copy. A copy is complete
-    only once Spark's ``_SUCCESS`` marker exists.
+
+def stored_base_table(spark: SparkSession, sf_dir: str, layout: str | None = "month") -> DataFrame:
+    """The base table as the metrics read it: derived once, written to the
+    shared folder (A1; by month, or flat with ``layout=None``), then scanned
+    in parallel.
+
+    The location is keyed by the derivation's version and by the input files'
+    names, sizes and modification times, so neither a changed input nor a
+    changed derivation reuses a stale copy; an unchanged one is reused by
+    later sessions that share the folder. A copy is complete only once
+    Spark's ``_SUCCESS`` marker exists.
     """
     from ..session import file_signature, is_connect, path_exists, publish, shared_dir
     from .sinks import read_base, write_base
@@ -76,7 +83,8 @@ def stored_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         # no file-system handle on a Connect client: derive lazily instead
         return base_table(spark, sf_dir)
 
-    sig = [file_signature(spark, os.path.join(sf_dir, f"{name}.parquet")) for name in ("lineitem", "orders", "part")]
+    sig = [f"{DERIVATION}:{layout}"]
+    sig += [file_signature(spark, os.path.join(sf_dir, f"{name}.parquet")) for name in ("lineitem", "orders", "part")]
     key = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
     path = os.path.join(shared_dir(spark), "tables", f"base-{key}")
     handle = (spark.sparkContext.applicationId, path)
@@ -87,7 +95,7 @@ def stored_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             # write aside, then rename into place: concurrent first users never
             # see (or overwrite) a half-written copy
             tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-            write_base(base_table(spark, sf_dir), tmp)
+            write_base(base_table(spark, sf_dir), tmp, layout)
             if not publish(spark, tmp, path) and not path_exists(spark, os.path.join(path, "_SUCCESS")):
                 raise RuntimeError(f"could not publish the base table to {path}")
         _HANDLES[handle] = read_base(spark, path)

@@ -102,3 +102,25 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     small = cluster_conf(1 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16   # never below two waves of cores
+
+
+def test_dates_that_not_every_year_has(spark):
+    from basketlens.functions.holidays import parse_phrase
+    from basketlens.operators import holidays
+
+    assert parse_phrase("April 31") is None and parse_phrase("February 30") is None
+    ranges = spark.createDataFrame([("a", "Leap", "February 29", "February 29")], "client string, holiday string, "
+                                   "start string, end string")
+    cal = holidays.holiday_calendar(ranges, (1995, 1997))
+    assert [str(r.date) for r in cal.collect()] == ["1996-02-29"]
+
+
+def test_dimension_values():
+    """Typed in from public tables, not from the library: the oracle takes its states and bands from there."""
+    from basketlens.functions.metrics import INCOME_BANDS
+    from basketlens.sources.dims import STATE_NAMES, STATE_REGIONS
+
+    names, regions = dict(STATE_NAMES), dict(STATE_REGIONS)
+    assert (names["TX"], names["NY"], names["HI"], names["DC"]) == ("Texas", "New York", "Hawaii", "District of Columbia")
+    assert regions["TX"] == regions["OK"] and regions["NY"] == regions["NJ"] and regions["TX"] != regions["NY"]
+    assert len(names) == len(regions) == 52 and len(INCOME_BANDS) == 8

@@ -9,6 +9,8 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from basketlens.plans import oracle  # noqa: E402
+from basketlens.plans.queries import QUERIES  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
@@ -25,15 +27,16 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(QUERIES) - set(oracle.all_sql())
     assert not missing, f"queries without oracle SQL: {sorted(missing)}"
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = entry.queries()[name](spark, SF_SMALL)
+    assert name in entry.queries() and name in entry.oracle_sql()
+    sdf = QUERIES[name](spark, SF_SMALL)
     srows = [r.asDict() for r in sdf.collect()]
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(oracle.all_sql()[name])
     dcols = [d[0] for d in cur.description]
     drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
     assert sorted(sdf.columns) == sorted(dcols)

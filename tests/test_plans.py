@@ -4,27 +4,54 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from basketlens.plans.queries import QUERIES
 from conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
-             "FlatMapGroupsInPandas", "MapInPandas", "collect_list")
+             "FlatMapGroupsInPandas", "MapInPandas")
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n != "layout_parity"))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_udf_no_cross_join(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
     bad = [f for f in FORBIDDEN if f in plan]
+    # one task may hold the one-row bounds of the calendar, never a window
+    lines = plan.splitlines()
+    bad += [f"{a} over one partition" for a, b in zip(lines, lines[1:]) if "Window" in a and "SinglePartition" in b]
     assert not bad, f"{name}: {bad}"
+    assert "FileScan parquet" in plan, f"{name} reads no table"
+
+
+@pytest.mark.parametrize("name", ["holiday_cohort", "holiday_panel_users", "holiday_metrics"])
+def test_holidays_read_their_months_only(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any("dynamicpruning" in s for s in scans), scans
+
+
+@pytest.mark.parametrize("name", ["state_income_metrics", "user_breakdown", "retention"])
+def test_panel_joins_without_a_shuffle_by_period(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    by_period = re.findall(r"hashpartitioning\(time_period#\d+, date(?:_base)?#\d+, \d+\)", plan)
+    # one aggregate makes the panel itself; no join moves rows by period
+    assert len(by_period) <= 1, by_period
+
+
+@pytest.mark.parametrize("name", ["panel_users", "company_metrics", "crossover", "retention", "user_breakdown"])
+def test_rows_are_summed_before_they_are_repeated_per_grain(spark, name):
+    lines = plan_of(QUERIES[name](spark, SF_SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Generate inline" in line:
+            assert any("HashAggregate" in x for x in lines[i:i + 4]), lines[i:i + 4]
 
 
 def test_scans_are_pruned(spark):
     """The base is read with only the columns a metric needs."""
-    plan = plan_of(entry.queries()["panel_users"](spark, SF_SMALL))
+    plan = plan_of(QUERIES["panel_users"](spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas and all("amount" not in s and "company" not in s for s in schemas), schemas
 

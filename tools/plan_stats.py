@@ -1,4 +1,4 @@
-"""Count shuffles, broadcasts and base-table scans per query plan, library vs reference formulation.
+"""Count shuffles, broadcasts and base-table scans per query plan.
 
 Usage: python tools/plan_stats.py [sf_dir]   (prints a markdown table)
 """
@@ -10,10 +10,8 @@ import sys
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, os.path.dirname(HERE))
-sys.path.insert(0, HERE)
 
-import __spark_entry__ as entry  # noqa: E402
-import reference_forms  # noqa: E402
+from basketlens.plans import queries  # noqa: E402
 from basketlens.session import get_session  # noqa: E402
 
 
@@ -36,14 +34,11 @@ def main() -> None:
     # static planning, so exchange reuse is applied and visible in the plan
     spark = get_session("local[8]", 8, extra={"spark.sql.adaptive.enabled": "false",
                                               "spark.ui.showConsoleProgress": "false"})
-    print("| query | shuffles | broadcasts | base-table scans | reference form: shuffles | broadcasts | base-table scans |")
-    print("|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
-        if name == "layout_parity":
-            continue
+    print("| query | shuffles | broadcasts | base-table scans |")
+    print("|---|---|---|---|")
+    for name, fn in queries.QUERIES.items():
         s = stats(fn(spark, sf_dir))
-        r = stats(reference_forms.FORMS[name](spark, sf_dir)) if name in reference_forms.FORMS else ("", "", "")
-        print(f"| {name} | {s[0]} | {s[1]} | {s[2]} | {r[0]} | {r[1]} | {r[2]} |")
+        print(f"| {name} | {s[0]} | {s[1]} | {s[2]} |")
     spark.stop()
 
 
