@@ -1,0 +1,167 @@
+"""MinHash near-duplicates, fuzzy lines and union-find against brute force."""
+
+import random
+import re
+
+import pytest
+
+from basketlens.llm import lines, minhash
+from basketlens.llm.components import connected_components
+from basketlens.llm.rare import rare_pairs
+from llm_tools import SF, Groups
+
+LOWER = re.compile("[A-Z]")
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", LOWER.sub(lambda m: m.group().lower(), text or ""))
+
+
+def shingles(text):
+    w = words(text)
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(docs):
+    """doc_id -> (set size, component) of non-null doc_ids."""
+    groups, sets = Groups(), [(i, shingles(t)) for i, t in docs if i is not None]
+    for k, (i, a) in enumerate(sets):
+        groups.root(i)
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                groups.join(i, j)
+    return {i: groups.root(i) for i, _ in sets}
+
+
+def corpus(seed):
+    """Near copies around the threshold, a hot group of copies, and odd rows."""
+    rnd = random.Random(seed)
+    vocab = [f"w{k}" for k in range(400)]
+    docs = []
+    for _ in range(12):
+        base = [rnd.choice(vocab) for _ in range(rnd.randint(20, 120))]
+        for _ in range(rnd.randint(1, 8)):
+            copy = list(base)
+            for _ in range(rnd.randint(0, 5)):
+                copy[rnd.randrange(len(copy))] = rnd.choice(vocab)
+            docs.append(" ".join(copy))
+    docs += ["the same text again and again"] * 40
+    docs += ["The SAME text\tagain\nand  again", "", "   \n\t", None, "one", "ONE", "two words", "ÉTÉ été a b c",
+             "été été a b c", " ".join(rnd.choice(vocab) for _ in range(6000))]
+    rnd.shuffle(docs)
+    return [(i * 3, t) for i, t in enumerate(docs)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates(spark, seed):
+    rows = corpus(seed)
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component_id string")
+    got = {r.doc_id: r for r in minhash.near_duplicates(docs).collect()}
+    want = brute(rows)
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert {i: r.n_shingles for i, r in got.items()} == {i: len(shingles(t)) for i, t in rows}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, c in want.items() if i == c}
+
+
+def test_near_duplicates_of_the_fixture(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_repeated_and_null_ids(spark):
+    a, b = "a b c d e f g h", "k l m n o p q r"
+    docs = spark.createDataFrame([(1, a), (1, a), (2, b), (2, a), (None, a), (3, b)], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0), r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    # 2 has both texts, so it links 1 and 3
+    assert got == [(0, None, False), (1, 1, True), (1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False)]
+    assert minhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_rare_pairs_find_every_pair(spark):
+    rnd = random.Random(3)
+    sets = {i: {rnd.randint(0, 30) for _ in range(rnd.randint(1, 12))} for i in range(80)}
+    comp = {i: i // 3 for i in sets}
+    rows = spark.createDataFrame([(i, comp[i], s) for i, x in sets.items() for s in x], "id long, c long, s long")
+    got = {(r.hub, r.id) for r in rare_pairs(rows, 75).collect()}
+    want = {(i, j) for i in sets for j in sets if i < j and comp[i] != comp[j]
+            and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert want and want <= got
+
+
+def test_components(spark):
+    rnd = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19]  # chains
+    edges += [(1000, 1000 + i) for i in range(1, 200)]  # a hub
+    edges += [(rnd.randint(2000, 2100), rnd.randint(2000, 2100)) for _ in range(60)] + [(5, 5), (7, None)]
+    groups = Groups()
+    for a, b in edges:
+        if b is not None and a != b:
+            groups.join(a, b)
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {x: groups.root(x) for x in list(groups.up)}
+    assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def line_brute(docs, k=8, percent=80):
+    place = {}
+    for i, t in docs:
+        for n, line in enumerate((t or "").split("\n")):
+            norm = line.strip(" ").lower()
+            if norm:
+                place.setdefault(norm, []).append((i, n))
+    norms, groups = list(place), Groups()
+    sets = [{x[i:i + k] for i in range(max(1, len(x) - k + 1))} for x in norms]
+    for a in range(len(norms)):
+        groups.root(a)
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    first = {}
+    for a, x in enumerate(norms):
+        first[groups.root(a)] = min([*place[x], first.get(groups.root(a), (1 << 60, 0))])
+    return {p: first[groups.root(a)] for a, x in enumerate(norms) for p in place[x]}
+
+
+def line_docs():
+    rnd = random.Random(5)
+    vocab = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(150)]
+    base = [" ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 40))) for _ in range(40)]
+
+    def near(line):
+        w = line.split(" ")
+        for _ in range(rnd.randint(0, 2)):
+            w[rnd.randrange(len(w))] = rnd.choice(vocab)
+        return " ".join(w).upper() if rnd.random() < 0.2 else " ".join(w)
+
+    docs = [(i, "\n".join(near(rnd.choice(base)) for _ in range(rnd.randint(1, 6)))) for i in range(120)]
+    docs += [(200, ""), (201, None), (202, "\n\n  \n"), (203, "a"), (204, "  A \n\nb"), (205, base[0] + "\n" + base[0]),
+             (206, "日本語の文章です。" * 3), (207, "x" * 30000)]
+    return docs
+
+
+def test_lines(spark):
+    docs = line_docs()
+    df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, line_no int")
+    got = {(r.doc_id, r.line_no): (r.first_doc, r.first_line) for r in lines.line_components(df).collect()}
+    want = line_brute(docs)
+    assert got == want
+    left = {r.doc_id: r.text for r in lines.dedup_lines(df).collect()}
+    for i, t in docs:
+        text = (t or "").split("\n")
+        keep = [x for n, x in enumerate(text) if want.get((i, n), (i, n)) == (i, n)]
+        lost_all = len(keep) < len(text) and not any(x.strip(" ") for x in keep)
+        assert (i not in left) if lost_all else left[i] == (t if t is None or keep == text else "\n".join(keep)), i
+    assert lines.dedup_lines(df).columns == df.columns
+
+
+def test_lines_of_an_empty_table_and_native_plan(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert lines.line_components(df).count() == 0 and lines.dedup_lines(df).count() == 0
+    plan = lines.dedup_lines(spark.createDataFrame([(1, "a\na"), (None, "a"), (1, "a\na")], "doc_id long, text string"))
+    assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString().replace("ExistingRDD", ""))
+    # null ids come first; rows that share an id keep the same lines
+    assert sorted((r.doc_id or 0, r.text) for r in plan.collect()) == [(0, "a")]
