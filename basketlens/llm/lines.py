@@ -21,6 +21,10 @@ from basketlens.llm.common import stage
 from basketlens.llm.components import connected_components
 
 
+#: pairs whose shingles one task counts
+_TASK_PAIRS = 2000
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no (from 0), norm, id`` of every line that is not blank."""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -66,7 +70,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     have them."""
     both = (pairs.join(texts.select("id", F.col("norm").alias("b")), "id")
             .join(texts.select(F.col("id").alias("hub"), F.col("norm").alias("a")), "hub")
-            .repartition("hub", "id"))  # a hub's pairs over many tasks; the counts below need no other shuffle
+            # a hub's pairs over many tasks, few enough pairs in each for its counts to fit in memory;
+            # the aggregations below need no other shuffle
+            .repartition(1 + pairs.count() // _TASK_PAIRS, "hub", "id"))
     sides = both.select("hub", "id", F.explode(F.array(
         F.struct(F.lit(1).alias("side"), F.col("a").alias("norm")),
         F.struct(F.lit(2).alias("side"), F.col("b").alias("norm")))).alias("x")).select("hub", "id", "x.side", "x.norm")
