@@ -27,9 +27,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def told(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    return found.select("row.doc_id", *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-                                        for k in pii.KINDS],
-                        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+    def count(kind):  # one parameter: a second would be the element's index
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("row.doc_id", *[count(k) for k in pii.KINDS], F.sha2(told(base), 256).alias("base_sha256"),
+                        told(F.col("spans")).alias("spans"))
 
 
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Registered queries against their SQL, and the pipeline's stages against
 plain Python, on the small tables."""
 
+import hashlib
 import os
 import sys
 
@@ -17,7 +18,7 @@ from check_oracle import rows_of  # noqa: E402
 from llm_tools import SF  # noqa: E402
 from test_mixing import check_mix  # noqa: E402
 from test_near_duplicates import brute, line_brute  # noqa: E402
-from test_text import hits  # noqa: E402
+from test_text import hits, spans  # noqa: E402
 
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -35,6 +36,32 @@ def test_query_matches_sql(spark, name):
     assert rows_of([r.asDict() for r in df.collect()], sorted(cols), False) == rows_of(want, sorted(cols), False)
 
 
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_personal_data_query(spark):
+    texts = {r.doc_id: r.text for r in read(spark, SF, "documents").collect()}
+    got = queries.QUERIES["op3_pii"](spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        base = spans(texts[r.doc_id])
+        told = [f"{k}:{a}:{b}" for k, a, b in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in ("email", "ip", "card", "phone")]
+        assert r.base_sha256 == sha(",".join(told)) and set(told) <= set(filter(None, r.spans.split(",")))
+    assert any(r.n_email for r in got)
+
+
+def test_decontamination_query(spark):
+    docs = [(r.doc_id, r.text) for r in read(spark, SF, "documents").collect()]
+    want = hits(docs, [(r.item_id, r.text) for r in read(spark, SF, "benchmark").collect()])
+    for r in queries.QUERIES["op7_decontamination"](spark, SF).collect():
+        n, hit, items = want.pop(r.doc_id)
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(items), hit > 0 and 20 * hit >= n)
+        assert r.items_sha256 == sha(",".join(sorted(map(str, items))))
+    assert not want
+
+
 def test_eleven_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert len(names) == 11 and [n for n, _ in corpus_pipeline.STAGES] == [
