@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.session import scratch_path
+from basketlens.session import delete_path, scratch_path
 
 #: odd 64-bit multipliers (golden ratio and the splitmix64 constants)
 GOLDEN, MIX1, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -24,7 +24,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the lineage ends there, and a lost executor re-reads the files."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def drop(*staged: DataFrame) -> None:
+    """Remove tables that ``stage`` wrote and that nothing lazy reads any more."""
+    for df in staged:
+        delete_path(df.sparkSession, df.staged_path)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -4,7 +4,7 @@ Alternating large-star and small-star rounds over plain aggregations and
 joins; ids can be of any orderable type. No group is gathered: a hub's
 smallest neighbour is a partial aggregate, and the join that hands it out has
 a shuffle on both sides, so AQE can split a hub's rows over tasks. Each round
-is written to the shared folder.
+is written to the shared folder, and the one before it removed.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import stage
+from basketlens.llm.common import drop, stage
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -43,7 +43,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u != v").distinct())
-        e = stage(small, "edges")
+        last, e = e, stage(small, "edges")
+        drop(last)
         after = _signature(e)
         if after == before:
             break

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import stage
+from basketlens.llm.common import drop, stage
 from basketlens.llm.components import connected_components
 
 
@@ -128,25 +128,30 @@ def line_components(docs: DataFrame, shingle: int = 8, percent: int = 80, bands:
                   .dropDuplicates(["id"]), "line-texts")
     tried = stage(_hub_pairs(shared, F.min), "line-pairs")
     links = stage(_verified(tried, texts, shingle, percent), "line-links")
+    spent = [shared, texts, tried]
     for pick in (F.max, None):
         label = connected_components(links, "hub", "id")
         marked = shared.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
         mixed = (marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                  .where("lo != hi").select("key"))
         rest = stage(marked.join(mixed, "key"), "line-rest")
+        spent += [rest]
         if pick is not None:
             pairs = _hub_pairs(rest.select("key", "id"), pick)
         else:
             pairs = _open_pairs(rest, texts, shingle, percent)
         pairs = stage(pairs.join(tried, ["hub", "id"], "left_anti"), "line-pairs")
+        spent += [pairs]
         if pairs.isEmpty():
             continue
+        spent += [links]
         links = stage(links.unionByName(_verified(pairs, texts, shingle, percent)), "line-links")
         tried = tried.unionByName(pairs)
 
     label = connected_components(links, "hub", "id")
     named = stage(firsts.join(label, "id", "left").select("id", "first", F.coalesce("component", "id").alias("c")),
                   "line-firsts")
+    drop(links, *spent)  # what follows reads the placed lines and the first of each class
     kept = named.groupBy("c").agg(F.min("first").alias("kept"))
     place = named.join(kept, "c").select("id", "kept")
     return (placed.join(place, "id")

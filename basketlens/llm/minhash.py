@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import GOLDEN, mix64, seeds, shingle_set, slices, stage
+from basketlens.llm.common import GOLDEN, drop, mix64, seeds, shingle_set, slices, stage
 from basketlens.llm.components import connected_components
 from basketlens.llm.rare import rare_pairs
 
@@ -156,6 +156,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, tables_ro
     copies = member.where("rep != doc_id").select(F.col("rep").alias("hub"), F.col("doc_id").alias("id"))
 
     tried = stage(_hub_pairs(buckets, F.min, percent), "pairs")
+    spent = [sig, buckets, texts, tried]
     links = stage(_verified(tried, texts, size, percent), "links")
     for pick in (F.max, None):
         label = connected_components(links, "hub", "id")
@@ -164,18 +165,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, tables_ro
         mixed = (marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                  .where("lo != hi").select("key"))
         rest = stage(marked.join(mixed, "key"), "rest")
+        spent += [rest]
         if pick is not None:
             pairs = _hub_pairs(rest.select("key", "id", "n"), pick, percent)
         else:
             open_ = rest.select("id", "c").distinct()
             pairs = rare_pairs(_elements(texts.join(open_, "id"), size), percent)
         pairs = stage(pairs.join(tried, ["hub", "id"], "left_anti"), "pairs")
+        spent += [pairs]
         if pairs.isEmpty():
             continue
+        spent += [links]
         links = stage(links.unionByName(_verified(pairs, texts, size, percent)), "links")
         tried = tried.unionByName(pairs)
 
     component = connected_components(links.unionByName(copies), "hub", "id")
+    drop(links, *spent)  # what follows reads the members and the components
     out = member.join(component.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
