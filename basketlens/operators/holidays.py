@@ -12,9 +12,11 @@ from ..functions.metrics import MONEY_SUM, ratio
 
 def data_years(base: DataFrame) -> tuple[Column, Column]:
     """First and last calendar year of the data, as scalar subqueries: they
-    are part of the plan that uses them, nothing is read while it is built.
-    An empty table has none, so its calendar is empty."""
-    return (base.agg(F.year(F.min("date")).alias("y")).scalar(), base.agg(F.year(F.max("date")).alias("y")).scalar())
+    are part of the plan that uses them, nothing is read while it is built;
+    a base stored by month is asked for its directories only. An empty table
+    has none, so its calendar is empty."""
+    day = "month" if "month" in base.columns else "date"
+    return (base.agg(F.year(F.min(day)).alias("y")).scalar(), base.agg(F.year(F.max(day)).alias("y")).scalar())
 
 
 def calendar_max_rows(ranges: DataFrame, data: DataFrame | tuple[int, int]) -> int | None:
