@@ -6,6 +6,10 @@ the scalar types, are hashed; the hash selects a declarative mapping that
 turns the record into canonical turns (role, text). A template writes the
 turns with control strings, escaping those inside texts reversibly, and marks
 the characters that a loss is taken on.
+
+A JSON parser's usual limit of 20 M characters a string and the 128 MiB of a
+variant do not bound a record: a long one gives a variant its field names
+only, and its texts are read natively.
 """
 
 from __future__ import annotations
@@ -18,36 +22,53 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 _TURNS = "array<struct<role: string, text: string>>"
+#: records of more bytes are long: shorter ones meet neither the parser's limit for a string nor a variant's
+LONG_BYTES = 16_000_000
+_NO_LIMIT = {"maxStringLen": str(2**31 - 1), "mode": "FAILFAST"}
+_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'  # possessive, so of any length
+
+
+@dataclass(frozen=True)
+class Record:
+    """A record's fields: from ``v``, a variant, unless ``long``, its JSON, is
+    not null. JSON that turns out to be malformed there is an error."""
+
+    v: Column
+    long: Column
+
+    def get(self, field: str, kind: str) -> Column:
+        native = F.from_json(self.long, f"`{field}` {kind}", _NO_LIMIT)[field]
+        return F.when(self.long.isNull(), F.try_variant_get(self.v, f"$.{field}", kind)).otherwise(native)
 
 
 @dataclass(frozen=True)
 class Mapping:
     """One layout: the field paths it is known by, nested as an example
-    record, and the turns of such a record (a variant column)."""
+    record, and the turns of such a record."""
 
     name: str
     fields: dict
-    turns: Callable[[Column], Column]
+    turns: Callable[[Record], Column]
 
 
-def _text(v: Column, field: str) -> Column:
-    return F.coalesce(F.try_variant_get(v, f"$.{field}", "string"), F.lit(""))
+def _text(v: Record, field: str) -> Column:
+    return F.coalesce(v.get(field, "string"), F.lit(""))
 
 
 def _turn(role: str, text: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), text.alias("text"))
 
 
-def _fields(*parts: tuple[str, str]) -> Callable[[Column], Column]:
+def _fields(*parts: tuple[str, str]) -> Callable[[Record], Column]:
     """Turns from single fields: (role, field) in order."""
     return lambda v: F.array(*[_turn(role, _text(v, field)) for role, field in parts])
 
 
-def _listed(field: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[[Column], Column]:
+def _listed(field: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[[Record], Column]:
     """Turns from a list of objects; ``names`` translates its role names."""
 
-    def turns(v: Column) -> Column:
-        rows = F.try_variant_get(v, f"$.{field}", f"array<struct<`{role}`: string, `{text}`: string>>")
+    def turns(v: Record) -> Column:
+        rows = v.get(field, f"array<struct<`{role}`: string, `{text}`: string>>")
         plain = F.coalesce  # a missing role or text is empty
 
         def one(m: Column) -> Column:
@@ -61,7 +82,7 @@ def _listed(field: str, role: str, text: str, names: dict[str, str] | None = Non
     return turns
 
 
-def _instruction_input(v: Column) -> Column:
+def _instruction_input(v: Record) -> Column:
     given = _text(v, "input")
     ask = F.when(given == "", _text(v, "instruction")).otherwise(F.concat(_text(v, "instruction"), F.lit("\n\n"), given))
     return F.array(_turn("user", ask), _turn("assistant", _text(v, "output")))
@@ -97,21 +118,35 @@ def fingerprint(v: Column) -> Column:
     return F.sha2(field_paths(v), 256)
 
 
-def canonical_turns(records: DataFrame, record: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+def outline(json: Column) -> Column:
+    """JSON with the same field paths: strings are emptied (not field names),
+    and of equal objects in a row one is left."""
+    emptied = F.regexp_replace(json, rf'("{_STRING}"\s*+:)|("){_STRING}(")', "$1$2$3")
+    return F.regexp_replace(emptied, r"(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
+def canonical_turns(records: DataFrame, record: str, mappings: tuple[Mapping, ...] = MAPPINGS,
+                    long_bytes: int = LONG_BYTES) -> DataFrame:
     """``records`` as ``row`` (struct of its columns, so names cannot clash),
     with ``fingerprint``, ``layout`` and ``turns``.
 
     A record that is null, is no JSON, or has a layout that no mapping
     declares keeps its row, with a null layout and no turns. An empty message
     list cannot show its fields: it is such a record too, unless declared.
+    A long record (above ``long_bytes``) of a declared layout that is
+    malformed inside a string is an error.
     """
-    v = F.try_parse_json(F.col("row")[record].cast("string"))
-    parsed = (records.select(F.struct(*[records[c] for c in records.columns]).alias("row")).select("row", v.alias("v"))
+    json = F.col("row")[record].cast("string")
+    long = F.octet_length(json) > long_bytes
+    v = F.try_parse_json(F.when(long, outline(json)).otherwise(json))
+    parsed = (records.select(F.struct(*[records[c] for c in records.columns]).alias("row"))
+              .select("row", v.alias("v"), F.when(long, json).alias("long"))
               .withColumn("fingerprint", fingerprint(F.col("v"))))
+    read = Record(F.col("v"), F.col("long"))
     layout, turns = F.lit(None).cast("string"), F.array().cast(_TURNS)
     for m in mappings:
         hit = F.col("fingerprint") == F.sha2(F.lit(_shape(m.fields)), 256)
-        layout, turns = F.when(hit, F.lit(m.name)).otherwise(layout), F.when(hit, m.turns(F.col("v"))).otherwise(turns)
+        layout, turns = F.when(hit, F.lit(m.name)).otherwise(layout), F.when(hit, m.turns(read)).otherwise(turns)
     return parsed.select("row", "fingerprint", layout.alias("layout"), turns.alias("turns"))
 
 
@@ -197,7 +232,7 @@ def as_records(turns: DataFrame) -> DataFrame:
     return convs.select("conv_id", record.alias("record"))
 
 
-def format_records(records: DataFrame, record: str) -> DataFrame:
+def format_records(records: DataFrame, record: str, **options) -> DataFrame:
     """``row, layout, formatted, loss`` of every record."""
-    turns = canonical_turns(records, record)
+    turns = canonical_turns(records, record, **options)
     return turns.select("row", "layout", render(F.col("turns")).alias("r")).select("row", "layout", "r.formatted", "r.loss")

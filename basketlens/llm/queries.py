@@ -61,7 +61,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    done = chat.format_records(chat.as_records(turns), "record").select("row.conv_id", "formatted", "loss")
+    # every record is of a declared layout: one that is not read as such is no empty conversation
+    formatted = F.when(F.col("layout").isNotNull(), F.col("formatted")).otherwise(
+        F.raise_error(F.concat(F.lit("record without a layout: conv_id "), F.coalesce(F.col("row.conv_id").cast("string"), F.lit("null")))).cast("string"))
+    done = chat.format_records(chat.as_records(turns), "record").select("row.conv_id", formatted.alias("formatted"), "loss")
     back = done.select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"),
                        chat.loss_text(F.col("formatted"), F.col("loss")).alias("own"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

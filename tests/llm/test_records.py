@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.llm import chat, html, maxscore, warc
+from basketlens.llm import chat, html, maxscore, queries, warc
 from llm_tools import SF
 
 
@@ -118,6 +118,48 @@ def test_conversations_round_trip(spark):
                    7: [("user", "p"), ("assistant", "q"), ("user", "r")]}
 
 
+LONG = [
+    {"prompt": "a", "response": "<|im_end|>"}, {"completion": None, "prompt": 5}, {"instruction": "i", "output": "o"},
+    {"instruction": "i", "input": "x", "output": "o"}, {"instruction": "i", "input": "", "output": "o"},
+    {"system": "s", "instruction": "i", "output": "o"}, {"messages": [{"role": "user", "content": n} for n in NASTY] * 3},
+    {"messages": [{"role": "to\nol\\n", "content": "x"}, {"role": None, "content": None}]},
+    {"messages": [{"role": "a", "content": 1}, {"role": "a", "content": "b"}]}, {"prompt": 1.25, "response": True},
+    {"conversations": [{"from": "human", "value": "\"}, {]: \\"}, {"from": "gpt", "value": "r"}]},
+    {"messages": [{"role": "a", "content": "b"}, {"role": "a", "content": "b", "more": "c"}]},
+    {"something": {"else": "prompt"}}, {"prompt: ": "a", "response": "b"}, {"messages": []}, [1], "text"]
+
+
+def test_long_records_read_as_short_ones(spark):
+    rows = [(i, json.dumps(r, ensure_ascii=i % 2 == 0, indent=i % 3 or None)) for i, r in enumerate(LONG)]
+    rows += [(90, None), (91, "{"), (92, ""), (93, '{"prompt": "a", "prompt": "b"}'), (94, '{"prompt": "a" "response": "b"}')]
+    df = spark.createDataFrame(rows, "id long, record string")
+    short, long = ({r.row.id: (r.fingerprint, r.layout, r.turns) for r in
+                    chat.canonical_turns(df, "record", long_bytes=n).collect()} for n in (1000, 0))
+    assert short == long and sum(x[1] is not None for x in long.values()) == 10
+    torn = spark.createDataFrame([('{"prompt": "\\q", "response": "b"}',)], "record string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        chat.canonical_turns(torn, "record", long_bytes=0).collect()
+
+
+def test_a_turn_above_the_parsers_limit(spark):
+    n = 21_000_000
+    turns = spark.range(0, 2, 1, 1).select(
+        F.floor(F.col("id") / 2).alias("conv_id"), (F.col("id") % 2).alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.when(F.col("id") % 2 == 1, F.repeat(F.lit("a"), n)).otherwise(F.lit("q\"")).alias("text"))
+    done = chat.format_records(chat.as_records(turns), "record")
+    got = done.select("layout", F.length("formatted")).collect()
+    template = 2 * (len(chat.START) + 1 + len(chat.END)) + len("userassistant")
+    assert [tuple(r) for r in got] == [("prompt", n + 2 + template)]
+
+
+def test_the_query_fails_for_a_record_that_it_cannot_read(spark, monkeypatch):
+    monkeypatch.setattr(chat, "MAPPINGS", ())
+    monkeypatch.setattr(chat.canonical_turns, "__defaults__", ((), chat.LONG_BYTES))
+    with pytest.raises(Exception, match="record without a layout"):
+        queries.op8_chat_formatting(spark, SF).collect()
+
+
 # -- pages -------------------------------------------------------------------
 
 def test_articles_of_the_fixture(spark):
