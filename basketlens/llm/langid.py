@@ -117,11 +117,14 @@ def fit(docs: DataFrame) -> Model:
 
 def _single(s: np.ndarray, penalty: float) -> int:
     """The one language whose whole-text path is optimal, or -1 if that is
-    not sure: no stretch in another language may gain more than a switch."""
+    not sure: no stretch in another language may gain more than a switch, nor
+    may the first and the last stretch of a path without it, which has one
+    switch fewer than stretches, gain more than that together."""
     best = int(s.sum(axis=0).argmax())
     gain = np.cumsum(s - s[:, best:best + 1], axis=0)
     before = np.minimum.accumulate(np.vstack([np.zeros((1, s.shape[1]), gain.dtype), gain[:-1]]), axis=0)
-    return best if (gain - before).max() <= penalty else -1
+    ends = gain.max() + (gain[-1] - before[-1]).max()  # largest gains of a prefix and of a suffix
+    return best if max((gain - before).max(), ends) <= penalty else -1
 
 
 def viterbi(seqs: list[np.ndarray], penalty: float, most: int = 400_000) -> list[np.ndarray]:

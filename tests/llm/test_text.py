@@ -114,6 +114,31 @@ def test_viterbi_is_optimal():
             assert abs(s[:, one].sum() - brute(s, 4.0)) < 1e-2
 
 
+def test_shortcut_is_optimal():
+    def value(s, path):
+        return float(s[np.arange(len(s)), path].sum()) - 12.0 * int((np.diff(path) != 0).sum())
+
+    rng = np.random.default_rng(2)
+    # a path of two languages beats the one that no single stretch of another beats
+    seqs = [np.array([[1, -1.5, 0]] * 10 + [[-1.5, 1, 0]] * 10, np.float32)]
+    for _ in range(3000):
+        n, k = rng.integers(1, 40), rng.integers(2, 6)
+        s = rng.normal(0, rng.choice([0.5, 1, 2, 4]), (n, k))
+        for at in rng.integers(0, n + 1, 2):
+            s[:at, rng.integers(k)] += 1
+            s[at:, rng.integers(k)] += 1
+        seqs.append(s.astype(np.float32))
+    taken = 0
+    for s in seqs:
+        one = langid._single(s, 12.0)
+        path, = langid.viterbi([s], 12.0)
+        if one >= 0:
+            taken += 1
+            assert value(s, np.full(len(s), one)) >= value(s, path) - 1e-3
+    assert langid._single(seqs[0], 12.0) == -1 and langid.viterbi(seqs[:1], 12.0)[0].tolist() == [0] * 10 + [1] * 10
+    assert 300 < taken < len(seqs)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs.where(~langid.held_out()).select("text", "lang"))
