@@ -2,7 +2,9 @@
 
 A page is a sequence of words and tags. Words score positive, unless an
 enclosing element is known to hold boilerplate, and tags negative; one linear
-scan finds the contiguous region with the largest sum. The weights of the
+scan finds the contiguous region with the largest sum. Boilerplate between
+two parts of a text is skipped at no cost, so it does not part them, and a word
+of other boilerplate costs at most what a word of text gives. The weights of the
 elements are learned from labelled pages, those whose markup names their
 article; where the pages do not tell, the fixed priors below decide.
 """
@@ -27,6 +29,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea svg iframe object canvas math select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
+#: elements that parts of a running text are in; what holds these holds the text
+FLOW = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tfoot tr td th figure "
+                          "figcaption".split())
 _CLOSED_BY = {"p": frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
                              "header hr main menu nav ol p pre section table ul".split()),
               "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -114,6 +119,16 @@ def _is_label(e: Element) -> bool:
     return e.tag in ("article", "main") or any(k.endswith("#itemprop=articleBody") for k in e.keys)
 
 
+def _holders(e: Element) -> Iterator[Element]:
+    """The elements that hold a text at ``e`` as one with what else they hold:
+    the innermost that is no part of a running text, and those labelled."""
+    here = e
+    while here.tag in FLOW:
+        here = here.parent
+    yield here
+    yield from (x for x in _ancestors(e) if x is not here and _is_label(x))
+
+
 def counts(page: str) -> Counter | None:
     """``(key, inside)`` word counts of a labelled page, None if it is not.
     The article is the labelled element with the most words. A word inside
@@ -189,23 +204,35 @@ class Extractor:
 
     def __call__(self, page: str | None) -> str:
         tokens: list[tuple[float, str | None]] = []
+        held: dict[Element, list[int]] = {}  # first and last text of its holders
+        skipped: list[tuple[int, Element]] = []
         known: dict[Element, float] = {}
 
         def score(e: Element) -> float:
-            """The worst weight among the enclosing elements, +1 if none is negative."""
+            """The worst weight among the enclosing elements, -1 at least, +1 if none is negative."""
             if e not in known:
                 chain = [x for x in _ancestors(e)]
-                known[e] = min([1.0, *(w for x in chain if (w := self.weight(x)) < 0)])
+                known[e] = min([1.0, *(max(w, -1.0) for x in chain if (w := self.weight(x)) < 0)])
             return known[e]
 
         for kind, e, text in parse(page or ""):
+            s = score(e)
+            if s < 0:
+                skipped.append((len(tokens), e))
             if kind == "text":
-                s = score(e)
+                if s > 0 and not text.isspace():
+                    for x in _holders(e):
+                        held.setdefault(x, [len(tokens), 0])[1] = len(tokens)
                 tokens.append((s * len(text.split()), text if s > 0 else None))
             else:
                 own = self.weight(e)
                 block = None if text in INLINE else " "
-                tokens.append((min(own, 0.0) - (self.tag_cost / 50 if own > 0 else self.tag_cost), block))
+                tokens.append((min(max(own, -1.0), 0.0) - (self.tag_cost / 50 if own > 0 else self.tag_cost), block))
+        for i, e in skipped:
+            while e is not None and not (e in held and held[e][0] < i < held[e][1]):
+                e = e.parent
+            if e is not None:
+                tokens[i] = 0.0, tokens[i][1]
         best = low = total = 0.0
         low_at = begin = end = 0
         for i, (s, _) in enumerate(tokens):

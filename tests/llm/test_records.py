@@ -190,6 +190,27 @@ def test_pages_of_other_shapes(spark):
     assert html.fit(df.limit(0)) == {} and html.extract(df.limit(0), {}).count() == 0
 
 
+def test_boilerplate_inside_an_article():
+    """Neither its length nor how often labelled pages show it parts the text."""
+    weights = {"div.ad": -9.7, "nav": -9.7, "form": -8.0, "aside": -9.0, "article": 5.0, "body": 12.0, "p": 2.0}
+    take = html.Extractor(weights)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 90), ("b", 8), ("c", 200)))
+    inside = [f"<div class=ad>{b}</div>", "<div class='cookie notice'><p>We use cookies here</p></div>",
+              f"<form><label>Your name</label><button>Go</button>{b * 40}</form>", f"<div><aside>{b * 30}</aside></div>"]
+    around = "<body><nav><a>Home</a><a>News</a></nav>{}<div class=ad>Buy now</div><footer>All rights reserved</footer></body>"
+    for hold in ("<article>{}</article>", "<div>{}</div>", "<main><div>{}</div></main>", "{}"):
+        for skip in (*inside, "".join(inside)):
+            for text in (f"<p>{a}</p>{skip}<p>{c}</p>", f"<p>{c}</p>{skip}<p>{a}</p>", f"<h2>{b}</h2>{a}{skip}<ul><li>{c}</ul>"):
+                got = take(around.format(hold.format(text)))
+                want = " ".join(re.findall(r"[abc]\d+", text.replace(skip, " ")))
+                assert got == want, (hold, skip[:20], text[:20])
+    parts = f"<div><p>{a}</p></div>{inside[0]}<div><p>{c}</p></div>"
+    assert take(around.format(f"<article>{parts}</article>")) == take(around.format(parts)) == f"{a} {c}"
+    assert take(f"<p>{a}</p>{inside[2]}<p>{c}</p>") == f"{a} {c}"  # a page without a body
+    # outside an article it still parts it from short other texts
+    assert take(f"<body><div>Skip to content</div><nav>{b}</nav><article><p>{a}</p></article></body>") == a
+
+
 # -- archives ------------------------------------------------------------------
 
 def test_archives(spark, monkeypatch):
