@@ -14,16 +14,13 @@ from pyspark.sql import functions as F
 from basketlens.llm import decontam, langid, lines, minhash, mixing
 from basketlens.llm.common import read, stage
 
-#: a document stays if this share of its words is labelled with its language
-MIN_LANGUAGE_SHARE = 0.4
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, no letters) or without one that
-    labels ``MIN_LANGUAGE_SHARE`` of their words go."""
+    """Documents without a language (no text, no letters) go; those that mix
+    languages, in whatever shares, stay."""
     model = langid.fit(docs.where(~langid.held_out()).select("text", "lang"))
     told = langid.identify(docs, model)
-    return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select("row.*")
+    return told.where(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

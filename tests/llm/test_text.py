@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from basketlens.llm import decontam, langid, pii
 from llm_tools import SF
 
@@ -166,6 +167,18 @@ def test_mixed_text_scripts_and_odd_rows(spark):
         [False, zlib.crc32(b"2") % 4 == 2]
 
 
+def test_evenly_mixed_documents_stay(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([
+        ("le chat est dans la maison et la rue", "fr"), ("the cat is in the house and the street", "en"),
+        ("кот сидит дома и спит", "ru")] * 8)]
+    rows += [(100, "the house and the cat " * 8 + "la maison et le chat " * 8 + "кот сидит дома спит и " * 8, None), (101, "1 2 3", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    told = {r.row.doc_id: r.score for r in langid.identify(docs, langid.fit(docs)).collect()}
+    assert 0.3 < told[100] < 0.4
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {r[0] for r in rows} - {101}
+
+
 # -- personal data ---------------------------------------------------------
 
 PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
