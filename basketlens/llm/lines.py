@@ -49,12 +49,12 @@ def _shingles(df: DataFrame, text: str, shingle: int, *keep: str) -> DataFrame:
 
 
 def _minhashes(shingles: DataFrame, n: int, salt: int) -> DataFrame:
-    """``id, m0, m1, ...``: each the minimum of (hash xor seed) over the
-    shingles, on 32 bits. Copies of a line have equal minhashes, so they
-    collapse in the map-side aggregation."""
-    short = shingles.select("id", F.shiftright("s", 32).cast("int").alias("h"))  # the high half
-    return short.groupBy("id").agg(*[
-        F.min(F.col("h").bitwiseXOR(F.lit(_seed(salt + k)))).alias(f"m{k}") for k in range(n)])
+    """``id, m0, m1, ...``: each the minimum over the shingles of their
+    32-bit hash with a seed, which mixes: seeds that agree in their high bits
+    would else pick the same shingle of a small set. Copies of a line have
+    equal minhashes, so they collapse in the map-side aggregation."""
+    return shingles.groupBy("id").agg(*[
+        F.min(F.hash(F.lit(_seed(salt + k)), F.col("s"))).alias(f"m{k}") for k in range(n)])
 
 
 def _bands(lines: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:

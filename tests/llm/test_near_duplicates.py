@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.llm import lines, minhash
 from basketlens.llm.components import connected_components
@@ -158,6 +159,18 @@ def test_lines(spark):
     assert lines.dedup_lines(df).columns == df.columns
 
 
+@pytest.mark.parametrize("size", [5, 10])
+def test_bands_of_short_lines(spark, size):
+    """Pairs at similarity 0.8 share a band with probability 0.997, also of few shingles."""
+    n = 4000
+    sets = spark.range(n * size).select((F.col("id") % n).alias("pair"), F.floor(F.col("id") / n).alias("k"), F.xxhash64("id").alias("s"))
+    both = sets.select((F.col("pair") * 2).alias("id"), "s").unionByName(
+        sets.where(F.col("k") < size * 4 // 5).select((F.col("pair") * 2 + 1).alias("id"), "s"))
+    m = {r.id: r[1:] for r in lines._minhashes(both, 24, 0).collect()}
+    met = sum(any(m[2 * i][b:b + 3] == m[2 * i + 1][b:b + 3] for b in range(0, 24, 3)) for i in range(n))
+    assert met > 0.993 * n
+
+
 def test_lines_of_an_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert lines.line_components(df).count() == 0 and lines.dedup_lines(df).count() == 0
