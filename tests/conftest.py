@@ -8,17 +8,9 @@ sys.path.insert(0, ROOT)
 
 from basketlens.session import get_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", 4, app="basketlens-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given columns."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketlens.operators import admin, behaviour, cadence, cohort, company, holidays, retention, tags
 from basketlens.sources import config
-from conftest import rows
+from panel_tools import rows
 
 D = dt.date
 BASE_SCHEMA = ("client string, date date, unique_mem_id bigint, company string, vertical string, "

@@ -12,7 +12,7 @@ import __spark_entry__ as entry  # noqa: E402
 from basketlens.plans import oracle  # noqa: E402
 from basketlens.plans.queries import QUERIES  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from panel_tools import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="module")

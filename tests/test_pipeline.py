@@ -10,7 +10,7 @@ from basketlens.operators import admin, behaviour, cohort, retention
 from basketlens.plans import queries as Q
 from basketlens.plans.refresh import refresh
 from basketlens.sources import config, sinks, tables
-from conftest import SF_SMALL, rows
+from panel_tools import SF_SMALL, rows
 
 
 def test_crossover_shares_sum_to_one(spark):

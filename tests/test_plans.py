@@ -5,7 +5,7 @@ import re
 import pytest
 
 from basketlens.plans.queries import QUERIES
-from conftest import SF_SMALL
+from panel_tools import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
              "FlatMapGroupsInPandas", "MapInPandas")

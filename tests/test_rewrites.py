@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.periods import period_totals
 from basketlens.operators import behaviour, cadence, crossover, panel, retention
-from conftest import rows
+from panel_tools import rows
 
 SCHEMA = ("client string, date date, unique_mem_id bigint, company string, vertical string, "
           "sub_vertical string, transactions int, amount decimal(18,2)")
