@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import chat, decontam, html, langid, lines, maxscore, minhash, mixing, pii, warc
+from basketlens.llm import (audit, chat, decontam, exact, hardneg, html, langid, lines, maxscore, minhash, mixing, pii,
+                            warc)
 from basketlens.llm.common import read
 
 
@@ -87,6 +88,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per part, order and step: documents ``kept`` after the step, ``removed``
+    by it, ``redundant`` (failing its filter, removed earlier),
+    ``unique_fails`` (failing its filter only), good and toxic ones among the
+    removed, and what its filter removes over all orders (``shapley``)."""
+    return audit.audit(*audit.mask_cells(read(spark, sf_dir, "documents").select("doc_id", "text", "source"),
+                                         read(spark, sf_dir, "labels")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -98,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: DuckDB SQL of the queries that SQL can express at the size of the SQL check
@@ -144,4 +167,61 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|'))) AS BIGINT)
                    AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+                   FROM documents)
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
+        FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+    # per part and set of failed filters the counts, per order and step the bits of the filters before
+    "op12_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM t),
+        l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+              FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        m AS (SELECT w.doc_id, part,
+                     CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+                     + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS INT)
+                     + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+                     + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INT) AS mask FROM w),
+        c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+              FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+        f AS (SELECT substr('ABCDE', i + 1, 1) AS letter, CAST(1 << i AS INT) AS bit FROM range(5) r(i)),
+        o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+              FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        s AS (SELECT filter_order, CAST(i AS INT) AS step, f.bit,
+                     (SELECT coalesce(sum(g.bit), 0) FROM f g WHERE strpos(filter_order, g.letter) < i) AS applied
+              FROM o, range(1, 6) r(i), f WHERE f.letter = substr(filter_order, CAST(i AS INT), 1)),
+        r AS (SELECT part, filter_order, step, bit,
+                     sum(n) FILTER (mask & CAST(applied AS INT) = 0 AND mask & bit = 0) AS kept,
+                     sum(n) FILTER (mask & CAST(applied AS INT) = 0 AND mask & bit != 0) AS removed,
+                     sum(n) FILTER (mask & CAST(applied AS INT) != 0 AND mask & bit != 0) AS redundant,
+                     sum(n) FILTER (mask = bit) AS unique_fails,
+                     sum(good) FILTER (mask & CAST(applied AS INT) = 0 AND mask & bit != 0) AS good_lost,
+                     sum(toxic) FILTER (mask & CAST(applied AS INT) = 0 AND mask & bit != 0) AS toxic_lost
+              FROM c, s GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
+        FROM r""",
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+               score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 10""",
 }
