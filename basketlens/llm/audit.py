@@ -84,11 +84,12 @@ def mask_cells(docs: DataFrame, labels: DataFrame, filters: Mapping[str, Column]
     fails = [F.coalesce(c, F.lit(False)).cast("int") * (1 << i) for i, c in enumerate(filters.values())]
     told = stage(read.select("*", words(F.col("text")).alias("words")).select(
         "doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), sum(fails, F.lit(0)).alias("mask")), "masks")
-    least = (told.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-             .where("lo != hi").select("digest", "lo"))
-    marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").where("doc_id is not null")
-             .groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("int")).alias("good"),
-                                    F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
+    # written tables, so that the joins shuffle both sides and a hot text or null doc_ids can be split over tasks
+    least = stage(told.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                  .where("lo != hi").select("digest", "lo"), "first-copies")
+    marks = stage(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").where("doc_id is not null")
+                  .groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("int")).alias("good"),
+                                         F.max((F.col("toxic") == 1).cast("int")).alias("toxic")), "marks")
     known = told.join(least, "digest", "left").select(
         "doc_id", "part", (F.col("mask") + F.when(F.col("doc_id") > F.col("lo"), 1 << len(filters)).otherwise(0)).alias("mask"))
     cells = known.join(marks, "doc_id", "left").groupBy("part", "mask").agg(
