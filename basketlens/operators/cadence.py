@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.periods import COARSE_GRAINS, check_grains, expand_periods
+from ..functions.periods import COARSE_GRAINS, check_grains, period_totals
 
 
 def purchase_pairs(cohort: DataFrame, same_day: str = "strict") -> DataFrame:
@@ -52,12 +52,13 @@ def rolling_gap(pairs: DataFrame, cohort: DataFrame, window_days: int = 28,
     whose later purchase falls in the ``window_days`` days ending that day
     (inclusive), counting only gaps of at most ``max_gap_days``.
 
-    ``client, company, date, days_between_orders``. Pairs are first summed to
-    (client, company, later day) as weighted totals, each total is fanned out
-    to the ``window_days`` days it covers, the days are restricted to days
-    present in the client's cohort with a semi-join on a table bounded by
-    clients x calendar days, and the weighted mean is taken. This replaces a
-    range join of every pair against every cohort day.
+    ``client, company, date, days_between_orders``. Pairs are summed to
+    (client, company, later day); each of these days stands for the days up to
+    the next one, or to the end of its window, so every day that a window
+    reaches is there once, whatever the number of windows over it. A RANGE
+    frame of ``window_days`` days over (client, company) sums what a day sees;
+    a window partition holds at most a row per calendar day. Days that are not
+    in the client's cohort go by a semi-join.
     """
     if window_days < 1 or max_gap_days < 0:
         raise ValueError("window_days must be >= 1 and max_gap_days >= 0")
@@ -67,22 +68,31 @@ def rolling_gap(pairs: DataFrame, cohort: DataFrame, window_days: int = 28,
         .agg(F.sum(F.col("pairs") * F.col("days_from_last_order")).alias("gap_days"),
              F.sum("pairs").alias("pairs"))
     )
-    fanned = totals.select(
-        "client", "company", "gap_days", "pairs",
-        F.explode(F.sequence("date_base", F.date_add("date_base", window_days - 1))).alias("date"))
-    days = cohort.select("client", "date").distinct()
-    return (fanned.join(days, ["client", "date"], "left_semi")
-            .groupBy("client", "company", "date")
-            .agg((F.sum("gap_days").cast("double") / F.sum("pairs").cast("double")).alias("days_between_orders")))
+    company = Window.partitionBy("client", "company")
+    until = F.lead("date_base").over(company.orderBy("date_base"))
+    reach = F.least(F.date_diff(until, "date_base"), F.lit(window_days))  # without a next day, the window's end
+    spread = totals.select("client", "company", "date_base", "gap_days", "pairs", reach.alias("reach")).select(
+        "client", "company", "date_base", "gap_days", "pairs", F.posexplode(F.array_repeat(F.lit(True), F.col("reach"))).alias("k", "_"))
+    first = F.col("k") == 0
+    days = spread.select("client", "company", F.date_add("date_base", F.col("k")).alias("date"),
+                         F.when(first, F.col("gap_days")).alias("gap_days"), F.when(first, F.col("pairs")).alias("pairs"))
+    seen = company.orderBy(F.unix_date("date")).rangeBetween(1 - window_days, 0)
+    sums = days.select("client", "company", "date", F.sum("gap_days").over(seen).alias("gap_days"),
+                       F.sum("pairs").over(seen).alias("pairs"))
+    asked = cohort.select("client", "date").distinct()
+    return sums.join(asked, ["client", "date"], "left_semi").select(
+        "client", "company", "date",
+        (F.col("gap_days").cast("double") / F.col("pairs").cast("double")).alias("days_between_orders"))
 
 
 def period_gap(daily_gap: DataFrame, grains: Sequence[str] = COARSE_GRAINS) -> DataFrame:
     """Unweighted mean of the daily values per period:
-    ``client, time_period, date, company, days_between_orders``."""
+    ``client, time_period, date, company, days_between_orders``. Days are
+    summed to months, and only these are repeated for quarters and years."""
     grains = check_grains(grains, COARSE_GRAINS)
-    return (expand_periods(daily_gap, grains)
-            .groupBy("client", "time_period", "date", "company")
-            .agg(F.avg("days_between_orders").alias("days_between_orders")))
+    totals = period_totals(daily_gap.withColumn("n", F.lit(1)), ["client", "company"], grains, "days_between_orders", "n")
+    return totals.select("client", "time_period", "date", "company",
+                         (F.col("days_between_orders") / F.col("n")).alias("days_between_orders"))
 
 
 def order_cadence(cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS, same_day: str = "strict",

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,21 +55,81 @@ def tag_clients(df: DataFrame, predicates: dict[str, Column], columns: Iterable[
     columns = list(columns) if columns is not None else df.columns
     if not prefiltered:
         df = df.where(reduce(lambda a, b: a | b, predicates.values()))
-    matches = F.filter(
-        F.array(*[F.when(p, F.lit(c)) for c, p in predicates.items()]),
-        lambda x: x.isNotNull(),
-    )
-    return df.select(F.explode(matches).alias("client"), *columns)
+    return df.select(F.explode(_clients(predicates)).alias("client"), *columns)
 
 
-def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True) -> DataFrame:
+#: columns that describe a company; a base has few distinct combinations of them
+DESCRIPTIVE = ("company", "vertical", "sub_vertical")
+#: clients whose predicates are evaluated row by row; more of them are indexed
+INDEX_ABOVE = 32
+
+
+def descriptive_clients(predicates: dict[str, Column], target: DataFrame) -> set[str]:
+    """The clients whose predicates read descriptive columns only."""
+    probe = target.sparkSession.createDataFrame([], T.StructType([target.schema[c] for c in DESCRIPTIVE]))
+
+    def applies(pred: Column) -> bool:
+        try:
+            probe.where(pred).schema  # analysis only, runs no job
+        except AnalysisException:
+            return False
+        return True
+
+    return {c for c, p in predicates.items() if applies(p)}
+
+
+def _clients(predicates: dict[str, Column]) -> Column:
+    """The clients whose predicate holds, as an array."""
+    names = [F.when(p, F.lit(c)) for c, p in predicates.items()]
+    return F.filter(F.array(*names), lambda x: x.isNotNull()) if names else F.array().cast("array<string>")
+
+
+def predicate_index(base: DataFrame, predicates: dict[str, Column]) -> DataFrame:
+    """For each combination of descriptive columns in ``base`` that some
+    client asks for: ``company, vertical, sub_vertical, clients`` (array)."""
+    return (base.select(*DESCRIPTIVE).distinct().select(*DESCRIPTIVE, _clients(predicates).alias("clients"))
+            .where(F.size("clients") > 0))
+
+
+def _indexed_cohort(base: DataFrame, preds: dict[str, Column], by_row: dict[str, Column], dedupe: bool) -> DataFrame:
+    index = predicate_index(base, {c: p for c, p in preds.items() if c not in by_row})
+
+    def matched(rows: DataFrame, how: str) -> DataFrame:
+        told = index.select(*[F.col(c).alias(f"_{c}") for c in DESCRIPTIVE], F.col("clients").alias("_clients"))
+        on = [rows[c].eqNullSafe(told[f"_{c}"]) for c in DESCRIPTIVE]
+        return rows.join(told, reduce(lambda a, b: a & b, on), how)
+
+    rows = base
+    if dedupe and not by_row:  # rows of no client go before the others are compared
+        rows = matched(rows, "left_semi")
+    if dedupe:
+        rows = rows.distinct()
+    rows = matched(rows, "left" if by_row else "inner")
+    clients = F.coalesce("_clients", F.array().cast("array<string>"))
+    if by_row:
+        clients = F.concat(clients, _clients(by_row))
+    return rows.select(F.explode(clients).alias("client"), *base.columns)
+
+
+def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True, index_above: int = INDEX_ABOVE) -> DataFrame:
     """``client`` + base columns, for every client at once.
 
     With ``dedupe`` (the reference semantics) identical base rows collapse to
-    one; the de-duplication runs once on the pre-filtered rows, before the
-    per-client fan-out, so its shuffle does not grow with the client count.
+    one; the de-duplication runs once, before the per-client fan-out, so its
+    shuffle does not grow with the client count.
+
+    Up to ``index_above`` clients, the OR of their predicates is pushed to the
+    scan and rows are tagged where they are read. With more, predicates on
+    descriptive columns only are evaluated on the distinct combinations of
+    these (``predicate_index``) and joined to the rows, so the work per row
+    does not grow with the clients; the others are still evaluated per row.
+    Both give the same rows.
     """
     preds = client_predicates(filters, base)
+    if len(preds) > index_above:
+        plain = descriptive_clients(preds, base)
+        if plain:
+            return _indexed_cohort(base, preds, {c: p for c, p in preds.items() if c not in plain}, dedupe)
     any_client = reduce(lambda a, b: a | b, preds.values())
     rows = base.where(any_client)
     if dedupe:

@@ -10,8 +10,25 @@ from pyspark.sql import functions as F
 from ..functions.metrics import MONEY_SUM, ratio
 from ..functions.periods import COARSE_GRAINS, check_grains, period_totals
 
+USER_PERIOD = ["time_period", "date", "unique_mem_id"]
 
-def crossover(base: DataFrame, cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS) -> DataFrame:
+
+def in_pieces(base: DataFrame, spend: DataFrame, ref: DataFrame, piece_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``piece`` to join on as well. Users with many
+    companies have several pieces: their rows of ``spend`` are dealt over
+    them, those of ``ref`` are in each, and both sides are shuffled by
+    user-period and piece. Most users have one piece and keep their rows."""
+    many = (base.select("unique_mem_id", "company").distinct().groupBy("unique_mem_id")
+            .agg(F.count(F.lit(1)).alias("companies")).where(F.col("companies") > piece_rows)
+            .select("unique_mem_id", F.ceil(F.col("companies") / piece_rows).cast("int").alias("pieces")))
+    pieces = F.coalesce("pieces", F.lit(1))
+    dealt = spend.join(many, "unique_mem_id", "left").withColumn("piece", F.pmod(F.xxhash64("company"), pieces).cast("int"))
+    each = ref.join(many, "unique_mem_id", "left").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return tuple(df.drop("pieces").repartition(*USER_PERIOD, "piece") for df in (dealt, each))
+
+
+def crossover(base: DataFrame, cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS,
+              piece_rows: int = 512) -> DataFrame:
     """For users of a client's reference company in a period, the share
     of their transactions and spend going to each company (the reference
     company included), split by their transaction count at the reference.
@@ -22,8 +39,10 @@ def crossover(base: DataFrame, cohort: DataFrame, grains: Sequence[str] = COARSE
 
     Both sides are summed to user x company x month, then period, before the join on
     (grain, period, user), so the join multiplies each user's distinct
-    reference companies by their distinct companies, never raw rows. The
-    denominator is a window sum over the aggregated result instead of a
+    reference companies by their distinct companies, never raw rows. A
+    user-period with many companies (a bot that buys everywhere) is dealt in
+    pieces of about ``piece_rows`` of them, and its references are repeated
+    for each piece, so its product spreads over tasks. The denominator is a window sum over the aggregated result instead of a
     second aggregate joined back.
     """
     grains = check_grains(grains, COARSE_GRAINS)
@@ -31,7 +50,8 @@ def crossover(base: DataFrame, cohort: DataFrame, grains: Sequence[str] = COARSE
                         ["client", "unique_mem_id", "company_ref"], grains, "transactions_ref")
     spend = period_totals(base, ["unique_mem_id", "company", "vertical", "sub_vertical"], grains,
                           "transactions", "amount")
-    shares = (spend.join(ref, ["time_period", "date", "unique_mem_id"])
+    spend, ref = in_pieces(base, spend, ref, piece_rows)
+    shares = (spend.join(ref, [*USER_PERIOD, "piece"])
               .groupBy("client", "time_period", "date", "company_ref", "company", "vertical", "sub_vertical",
                        "transactions_ref")
               .agg(F.sum("transactions").alias("transactions"), F.sum("amount").cast(MONEY_SUM).alias("amount")))

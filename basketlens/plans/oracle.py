@@ -54,7 +54,7 @@ def cohort_cte() -> str:
 
 
 def panel_cte(grains=ALL) -> str:
-    """Reference form: one scan and one count per grain."""
+    """Per grain, the distinct users of each period."""
     parts = [
         f"SELECT '{g}' AS time_period, {trunc('date', g)} AS date, COUNT(DISTINCT unique_mem_id) AS unique_users "
         f"FROM base GROUP BY 2" for g in grains
@@ -107,7 +107,7 @@ def client_cohort() -> str:
 
 
 def user_breakdown() -> str:
-    """Reference form: first period per (user, company) by GROUP BY, joined back."""
+    """A user is new at a company in the first period with a purchase there, else returning."""
     parts = []
     for g in COARSE:
         parts.append(f"""
@@ -130,33 +130,31 @@ JOIN panel p ON p.time_period = '{g}' AND p.date = u.date""")
 
 
 def transaction_bins(bins=(5, 15, 35, 55)) -> str:
-    """Reference form: rank over the user's (day, company) rows, max per company."""
-    labels = [f"1 - {bins[0] - 1} Transactions"]
-    labels += [f"{lo} - {hi - 1} Transactions" for lo, hi in zip(bins, bins[1:])]
-    labels.append(f"> {bins[-1]} Transactions")
-    case_label = "CASE WHEN cohort < {0} THEN '{1}' ".format(bins[0], labels[0])
-    case_order = f"CASE WHEN cohort < {bins[0]} THEN 1 "
-    for i, (lo, hi) in enumerate(zip(bins, bins[1:]), start=1):
-        case_label += f"WHEN cohort >= {lo} AND cohort < {hi} THEN '{labels[i]}' "
-        case_order += f"WHEN cohort >= {lo} AND cohort < {hi} THEN {i + 1} "
-    case_label += f"ELSE '{labels[-1]}' END"
-    case_order += f"ELSE {len(labels)} END"
-    return with_(BASE_CTE, cohort_cte()) + f"""
-, ranked AS (
-  SELECT client, unique_mem_id, company, date,
-         RANK() OVER (PARTITION BY client, unique_mem_id ORDER BY date) AS pymt_num
-  FROM (SELECT DISTINCT client, date, unique_mem_id, company FROM cohort)
-), per_user AS (
-  SELECT client, unique_mem_id, company, MAX(pymt_num) AS cohort FROM ranked GROUP BY 1, 2, 3
-), counted AS (
-  SELECT client, {case_label} AS cohort_bin, {case_order} AS cohort_bin_order, company, COUNT(*) AS users
-  FROM per_user GROUP BY 1, 2, 3, 4
-)
+    """A user's purchases are the (day, company) pairs. A company's place is
+    one more than the purchases before the last day at that company; the bins
+    are ranges of places."""
+    edges = [*bins, None]
+    rows = [(None, bins[0] - 1, f"1 - {bins[0] - 1} Transactions")]
+    rows += [(lo, hi - 1 if hi else None, f"{lo} - {hi - 1} Transactions" if hi else f"> {lo} Transactions")
+             for lo, hi in zip(edges, edges[1:])]
+    values = ", ".join(f"({-1 if lo is None else lo}, {10**9 if hi is None else hi}, {_q(label)}, {i})"
+                       for i, (lo, hi, label) in enumerate(rows, 1))
+    return with_(BASE_CTE, cohort_cte(), f"""
+bought AS (SELECT DISTINCT client, unique_mem_id, company, date FROM cohort),
+placed AS (
+  SELECT l.client, l.company, 1 + (
+    SELECT COUNT(*) FROM bought b
+    WHERE b.client = l.client AND b.unique_mem_id = l.unique_mem_id AND b.date < l.last_date) AS place
+  FROM (SELECT client, unique_mem_id, company, MAX(date) AS last_date FROM bought GROUP BY 1, 2, 3) l),
+bin(lowest, highest, cohort_bin, cohort_bin_order) AS (VALUES {values}),
+users AS (
+  SELECT client, cohort_bin, cohort_bin_order, company, COUNT(*) AS n
+  FROM placed JOIN bin ON place BETWEEN lowest AND highest GROUP BY 1, 2, 3, 4)""") + """
 SELECT client, cohort_bin, company,
-       CAST(users AS DOUBLE) / SUM(users) OVER (PARTITION BY client, cohort_bin) AS retention_by_transaction_bin,
-       CAST(users AS DOUBLE) / SUM(users) OVER (PARTITION BY client, company) AS retention_by_transaction_company,
+       CAST(n AS DOUBLE) / SUM(n) OVER (PARTITION BY client, cohort_bin) AS retention_by_transaction_bin,
+       CAST(n AS DOUBLE) / SUM(n) OVER (PARTITION BY client, company) AS retention_by_transaction_company,
        CAST(cohort_bin_order AS INTEGER) AS cohort_bin_order
-FROM counted"""
+FROM users"""
 
 
 # --------------------------------------------------------------------------- A18-A21
@@ -396,8 +394,8 @@ JOIN panel p ON p.time_period = '{g}' AND p.date = x.date_base""")
 
 
 def crossover() -> str:
-    """Reference form: per grain, join the two aggregates on (period, user),
-    aggregate, and join back the per-(period, reference) totals."""
+    """Per grain, what users of a reference company spend at each company, over
+    what they spend at all companies."""
     parts = []
     for g in COARSE:
         parts.append(f"""
@@ -493,7 +491,7 @@ JOIN hdays d USING (client, years, holiday)"""
 
 
 def period_diff() -> str:
-    """Reference form: month and year differences, quarters via ceil(month / 3)."""
+    """Differences of the calendar numbers of the two periods."""
     return with_(BASE_CTE) + """
 SELECT unique_mem_id, company, first_date, last_date,
        CAST((year(last_date) - year(first_date)) * 12 + month(last_date) - month(first_date) AS INTEGER)
@@ -555,6 +553,14 @@ def drop_client_outputs(removed=None) -> str:
     return f"SELECT * FROM ({transaction_bins()}) WHERE client NOT IN ({', '.join(_q(c) for c in removed)})"
 
 
+def catalog_cycle() -> str:
+    kept = {"saved": "true", "inserted": "year % 2 = 1", "replaced": "year % 2 = 0"}
+    parts = [f"SELECT {_q(step)} AS step, *, 0 AS tables_left FROM totals WHERE {rows}" for step, rows in kept.items()]
+    return with_(BASE_CTE, """totals AS (
+  SELECT company, CAST(year(date) AS INTEGER) AS year, CAST(SUM(transactions) AS BIGINT) AS transactions,
+         CAST(SUM(amount) AS DOUBLE) AS amount FROM base GROUP BY 1, 2)""") + "\nUNION ALL\n".join(parts)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "normalize_base": normalize_base(),
@@ -590,4 +596,5 @@ def all_sql() -> dict[str, str]:
         "remove_clients": remove_clients(),
         "rename_clients": rename_clients(),
         "drop_client_outputs": drop_client_outputs(),
+        "catalog_cycle": catalog_cycle(),
     }

@@ -8,6 +8,7 @@ exchange where the two subplans coincide.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -36,6 +37,16 @@ class Inputs:
     def base(self) -> DataFrame:
         return tables.stored_base_table(self.spark, self.sf_dir)
 
+    @cached_property
+    def days(self) -> DataFrame:
+        """Each user's days with purchases, bucketed by user."""
+        return tables.stored_by_user(self.spark, self.sf_dir, "user-days")
+
+    @cached_property
+    def months(self) -> DataFrame:
+        """Totals per user, company and month, bucketed by user."""
+        return tables.stored_by_user(self.spark, self.sf_dir, "user-months")
+
     @cached_property
     def filters(self) -> DataFrame:
         return config.client_filters(self.spark)
@@ -55,18 +66,18 @@ class Inputs:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return panel.panel_users(self.base, GRAINS)
+        return panel.panel_users(self.days, GRAINS)
 
     def panel_at(self, grains) -> DataFrame:
-        return panel.panel_users(self.base, grains)
+        return panel.panel_users(self.days if "day" in grains else self.months, grains)
 
     @cached_property
     def geo(self) -> DataFrame:
-        return tables.user_geography(self.base)
+        return tables.stored_by_user(self.spark, self.sf_dir, "user-geography")
 
     @cached_property
     def income(self) -> DataFrame:
-        return tables.rolling_income(self.spark, self.sf_dir, self.base)
+        return tables.stored_by_user(self.spark, self.sf_dir, "user-income")
 
     @cached_property
     def month_state(self) -> DataFrame:
@@ -78,7 +89,7 @@ class Inputs:
 
     @cached_property
     def state_income(self) -> DataFrame:
-        return company.state_income_metrics(self.base, self.tags_at(COARSE_GRAINS), self.panel_at(COARSE_GRAINS),
+        return company.state_income_metrics(self.months, self.tags_at(COARSE_GRAINS), self.panel_at(COARSE_GRAINS),
                                             dims.income_order(self.spark), COARSE_GRAINS, len(dims.INCOME_BANDS))
 
     @cached_property
@@ -198,7 +209,7 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_crossover(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return crossover.crossover(inp.base, inp.cohort, COARSE_GRAINS)
+    return crossover.crossover(inp.months, inp.cohort, COARSE_GRAINS)
 
 
 def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,6 +295,32 @@ def q_drop_client_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admin.remove_clients(q_transaction_bins(spark, sf_dir), REMOVED)
 
 
+def q_catalog_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company totals by year through a catalog table's life:
+    saved, inserted over (odd years), replaced by another table (even years),
+    dropped. ``step`` names the operation after which the rows were read;
+    ``tables_left`` counts the tables that exist after the last one."""
+    totals = sinks.stage(Inputs(spark, sf_dir).months.groupBy("company", F.year("date").alias("year")).agg(
+        F.sum("transactions").alias("transactions"), F.sum("amount").cast(MONEY_SUM).alias("amount")), "totals")
+    name = f"totals_{uuid.uuid4().hex}"
+    other = f"{name}_even"
+    seen = []
+
+    def read(step: str) -> None:
+        seen.append(sinks.stage(spark.table(name).select(F.lit(step).alias("step"), *totals.columns), step))
+
+    sinks.overwrite_table(totals, name, as_table=True)
+    read("saved")
+    sinks.insert_overwrite(totals.where("year % 2 = 1"), name)
+    read("inserted")
+    sinks.overwrite_table(totals.where("year % 2 = 0"), other, as_table=True)
+    sinks.replace_table(spark, name, other)
+    read("replaced")
+    sinks.drop_table(spark, name)
+    left = sum(sinks.table_exists(spark, t) for t in (name, other))
+    return admin.union_all(seen).withColumn("tables_left", F.lit(left))
+
+
 def _report(fn: Query) -> Query:
     """Registered output: decimal money columns reported as DOUBLE.
 
@@ -334,5 +371,6 @@ QUERIES: dict[str, Query] = {
     "remove_clients": q_remove_clients,
     "rename_clients": q_rename_clients,
     "drop_client_outputs": q_drop_client_outputs,
+    "catalog_cycle": q_catalog_cycle,
 }
 QUERIES = {name: _report(fn) for name, fn in QUERIES.items()}

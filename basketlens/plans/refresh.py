@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.periods import COARSE_GRAINS, GRAINS
 from ..operators import behaviour, cadence, cohort, company, crossover, holidays, panel, retention, tags
-from ..sources import dims
+from ..sources import dims, tables
 from ..sources.sinks import overwrite_table
 
 
@@ -70,8 +70,17 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
             export(back, name)
         return back
 
+    buckets = tables.bucket_count(base)
+
+    def by_user(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = path = os.path.join(out_dir, name)
+        return tables.store_by_user(df, path, name.replace("_", "-"), buckets)
+
     # shared tables ---------------------------------------------------------
-    panel_all = write("panel_users", panel.panel_users(base, o.panel_grains))
+    # a user's days and monthly totals, stored by user: what follows counts and joins them without an exchange
+    days = by_user("user_days", tables.user_days(base))
+    months = by_user("user_months", tables.user_months(base))
+    panel_all = write("panel_users", panel.panel_users(days, o.panel_grains))
     write("period_days", panel.period_days(base, o.grains))
     write("state_names", dims.state_names(spark))
     write("state_regions", dims.state_regions(spark))
@@ -82,7 +91,7 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
     coarse_panel = panel_all.where(panel_all.time_period.isin(list(o.grains)))
     coarse_tags = tag_tbl.where(tag_tbl.time_period.isin(list(o.grains)))
     state_income = write("state_income_metrics",
-                         company.state_income_metrics(base, coarse_tags, coarse_panel, inc_order, o.grains,
+                         company.state_income_metrics(months, coarse_tags, coarse_panel, inc_order, o.grains,
                                                       len(dims.INCOME_BANDS)))
     calendar = write("holiday_calendar", holidays.holiday_calendar(holiday_ranges, holidays.data_years(base)),
                      by_client=True)
@@ -98,7 +107,7 @@ def refresh(spark: SparkSession, base: DataFrame, filters: DataFrame, holiday_ra
     gaps = write("order_cadence", cadence.order_cadence(coh, o.grains, o.same_day, o.window_days, o.max_gap_days),
                  by_client=True)
     write("company_metrics", company.company_metrics(coh, gaps, o.grains, o.company_metrics_how), by_client=True)
-    write("crossover", crossover.crossover(base, coh, o.grains), by_client=True)
+    write("crossover", crossover.crossover(months, coh, o.grains), by_client=True)
     write("retention", retention.retention(coh, coarse_panel, o.grains, o.retention_methods), by_client=True)
     write("user_breakdown", behaviour.user_breakdown(coh, coarse_panel, o.grains), by_client=True)
     write("transaction_bins", behaviour.transaction_bins(coh, o.bins, o.bin_count_by), by_client=True)
@@ -113,7 +122,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     import json
 
     from ..session import get_session, shared_dir
-    from ..sources import config, tables
+    from ..sources import config
 
     ap = argparse.ArgumentParser(description=main.__doc__)
     ap.add_argument("--sf-dir", required=True)

@@ -16,7 +16,12 @@ from pyspark.sql import SparkSession
 # compressed parquet bytes and routinely calls a large aggregate "small",
 # which turns a fact-to-fact join into a driver-built hash table. Explicit
 # broadcasts (literal dimensions, size-bounded calendars) are unaffected.
+#
+# Tables stored by user are partitioned by fewer columns than they are joined
+# on (user, against grain, period and user); such a join needs no exchange
+# unless Spark is told to ask for all of its keys.
 DEFAULT_CONF = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
@@ -63,6 +68,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     widest = 3 * input_bytes
     partitions = max(2 * total_cores, -(-widest // target_partition_bytes))
     return {
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.enabled": "true",
@@ -133,6 +139,38 @@ def file_signature(spark: SparkSession, path: str) -> str:
     return "|".join(sorted(found))
 
 
+def a_data_file(spark: SparkSession, path: str) -> str | None:
+    """One file of a table at ``path`` (hidden files and folders aside)."""
+    fs, p = _fs_path(spark, path)
+    root = fs.getFileStatus(p).getPath().toString().rstrip("/")
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if not any(part[:1] in "_." for part in name[len(root):].strip("/").split("/")):
+            return name
+    return None
+
+
+def swap_in(spark: SparkSession, new: str, target: str) -> None:
+    """Put the finished folder ``new`` in the place of ``target``. The old
+    content is moved aside first and removed last, so at every moment one of
+    the two is whole; a rename that fails puts the old content back."""
+    import uuid
+
+    fs, src = _fs_path(spark, new)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    dst, aside = path(target), path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = bool(fs.exists(dst))
+    if had and not fs.rename(dst, aside):
+        raise RuntimeError(f"could not move {target} aside")
+    if not publish(spark, new, target):
+        if had:
+            fs.rename(aside, dst)
+        raise RuntimeError(f"could not move {new} to {target}")
+    if had:
+        fs.delete(aside, True)
+
+
 def publish(spark: SparkSession, tmp: str, final: str) -> bool:
     """Atomically move a finished directory into place; False when another
     writer got there first (the caller then uses theirs)."""

@@ -1,32 +1,68 @@
 """Writing tables.
 
-One overwrite call per table; no retry loops or sleeps. Parquet has no
-snapshots, so a table is never overwritten from a plan that still reads it:
-such rewrites go through a staged copy first.
+No retry loops or sleeps. Parquet has no snapshots, so new content is written
+beside the old and swapped in when it is whole: a plan may read the table that
+it replaces, and a write that fails half-way leaves that table as it was.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.metrics import MONEY_SUM
-from ..session import delete_path, scratch_path
+from ..session import a_data_file, delete_path, scratch_path, swap_in
 
 
 def overwrite_table(df: DataFrame, target: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
                     as_table: bool = False) -> None:
-    """Overwrite a path (default) or a catalog table with ``df``."""
-    w = df.write.mode("overwrite").format(fmt)
+    """Overwrite a path (default) or a catalog table with ``df``, which
+    may read the target. The new content is written beside the old one and
+    takes its place once it is whole: if the write fails, the target is as it
+    was."""
+    spark = df.sparkSession
+    new = f"{target}_new_{uuid.uuid4().hex}" if as_table else f"{target.rstrip('/')}.new-{uuid.uuid4().hex}"
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    try:
+        if as_table:
+            w.saveAsTable(new)
+        else:
+            w.save(new)
+    except BaseException:
+        if as_table:
+            drop_table(spark, new)
+        else:
+            delete_path(spark, new)
+        raise
     if as_table:
-        w.saveAsTable(target)
-        df.sparkSession.catalog.refreshTable(target)
+        swap_table(spark, new, target)
     else:
-        w.save(target)
+        swap_in(spark, new, target)
+
+
+def swap_table(spark: SparkSession, new: str, target: str) -> None:
+    """Give catalog table ``new`` the name ``target``; the table that had it is
+    renamed first and dropped last."""
+    old = None
+    if table_exists(spark, target):
+        old = f"{target}_old_{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+    except BaseException:
+        if old:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+        raise
+    if old:
+        drop_table(spark, old)
+    spark.catalog.refreshTable(target)
 
 
 def insert_overwrite(df: DataFrame, table: str) -> None:
@@ -73,6 +109,35 @@ def read_base(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, sort_by: Sequence[str]) -> None:
+    """Store ``df`` in ``buckets`` files by the hash of ``key``, each sorted by
+    ``sort_by``. Aggregates, windows and joins by ``key`` (and any further
+    columns) then run without an exchange; see ``read_bucketed``.
+
+    All rows of a key share a file, so store totals whose rows per key are
+    bounded (per day or month and company), not transactions.
+    """
+    name = f"write_{uuid.uuid4().hex}"
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
+     .sortBy(*sort_by).option("path", new).saveAsTable(name))
+    drop_table(df.sparkSession, name)  # external: the files stay
+    swap_in(df.sparkSession, new, path)
+
+
+def read_bucketed(spark: SparkSession, path: str, columns: str, key: str, buckets: int,
+                  sort_by: Sequence[str]) -> DataFrame:
+    """A table of ``columns`` (DDL) that ``write_bucketed`` stored. Only a
+    catalog table tells the planner of its buckets, so the files are declared
+    as an external one."""
+    name = "bucketed_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # of an earlier content of the path
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) "
+              f"SORTED BY ({', '.join(sort_by)}) INTO {buckets} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
 def layout_parity(flat: DataFrame, partitioned: DataFrame) -> DataFrame:
     """A2: the per-(date, user) sums of both layouts side by side, from one
     aggregate over their union: ``date, unique_mem_id, transactions_flat,
@@ -103,30 +168,74 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def replace_path(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``target`` with ``df`` even when ``df`` reads ``target``;
-    the staged copy is removed once the target is written."""
-    path = scratch_path(df.sparkSession, "replace")
-    df.write.parquet(path)
-    overwrite_table(df.sparkSession.read.schema(df.schema).parquet(path), target, partition_by)
-    delete_path(df.sparkSession, path)
+    """Overwrite the folder ``target`` with ``df``, which may read it."""
+    overwrite_table(df, target, partition_by)
+
+
+def _leaf_folders(spark: SparkSession, path: str, depth: int) -> dict[str, dict[str, str]]:
+    """The partition folders ``depth`` levels below ``path``: relative name and values."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    level = [("", root, {})] if fs.exists(root) else []
+    for _ in range(depth):
+        level = [(f"{name}/{s.getPath().getName()}".lstrip("/"), s.getPath(),
+                  values | {k: unescape(v) for k, v in [s.getPath().getName().split("=", 1)]})
+                 for name, p, values in level for s in fs.listStatus(p)
+                 if s.isDirectory() and "=" in s.getPath().getName()]
+    return {name: values for name, _, values in level}
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                       stale: Callable[[dict[str, str]], bool]) -> list[str]:
+    """Replace the partitions of a stored table that ``stale`` picks (by their
+    values, as strings) with ``df``, which holds rows of such partitions only;
+    other folders are not touched. Stale partitions without new rows go. All
+    new rows are written aside first, then folder by folder swapped in.
+    Returns the names of the folders replaced or removed."""
+    spark = df.sparkSession
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*partition_by).parquet(new)
+        made, had = (_leaf_folders(spark, p, len(partition_by)) for p in (new, path))
+        for name in made:
+            swap_in(spark, f"{new}/{name}", f"{path}/{name}")
+    finally:
+        delete_path(spark, new)
+    gone = [name for name, values in had.items() if name not in made and stale(values)]
+    for name in gone:
+        delete_path(spark, f"{path}/{name}")
+    return sorted([*made, *gone])
+
+
+def stored_schema(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]]:
+    """The schema of a stored table and its partition columns, which are
+    strings, as they are in the names of its folders: reading them by guess
+    would turn a client '007' into the number 7."""
+    whole = spark.read.parquet(path).schema
+    file = a_data_file(spark, path)
+    data = set(spark.read.parquet(file).columns) if file else set(whole.names)
+    folders = [f.name for f in whole if f.name not in data]
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in folders else f for f in whole]), folders
 
 
 def edit_path(spark: SparkSession, target: str, edit: Callable[[DataFrame], DataFrame],
-              partition_by: Sequence[str] = ()) -> None:
+              partition_by: Sequence[str] | None = None, schema: T.StructType | None = None) -> None:
     """Change a stored table in place: ``edit`` gets the table and returns
     its new content (for instance one of the operations of
-    ``operators.admin``), which replaces it."""
-    replace_path(edit(spark.read.parquet(target)), target, partition_by)
+    ``operators.admin``), which replaces it once it is written. Partition
+    columns are strings unless ``schema`` says otherwise; the table stays
+    partitioned as it is unless ``partition_by`` does."""
+    found, folders = stored_schema(spark, target)
+    table = spark.read.schema(schema or found).parquet(target)
+    overwrite_table(edit(table), target, folders if partition_by is None else partition_by)
 
 
 def replace_table(spark: SparkSession, target: str, source: str) -> None:
     """Overwrite catalog table ``target`` with table ``source``, then drop ``source``."""
-    rows = spark.table(source)
-    path = scratch_path(spark, "replace")
-    rows.write.parquet(path)
-    spark.read.schema(rows.schema).parquet(path).write.mode("overwrite").saveAsTable(target)
+    overwrite_table(spark.table(source), target, as_table=True)
     drop_table(spark, source)
-    delete_path(spark, path)
 
 
 def remove_client_partitions(spark: SparkSession, path: str, clients: Iterable[str]) -> list[str]:

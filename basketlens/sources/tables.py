@@ -12,11 +12,12 @@ import hashlib
 import os
 import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import MONEY
+from ..functions.metrics import MONEY, MONEY_SUM
 from .dims import STATE_CODES
 
 BASE_COLUMNS = ("date", "unique_mem_id", "company", "vertical", "sub_vertical", "transactions", "amount")
@@ -65,10 +66,10 @@ _LOCK = threading.Lock()
 DERIVATION = 2
 
 
-def stored_base_table(spark: SparkSession, sf_dir: str, layout: str | None = "month") -> DataFrame:
-    """The base table as the metrics read it: derived once, written to the
-    shared folder (A1; by month, or flat with ``layout=None``), then scanned
-    in parallel.
+def _stored_copy(spark: SparkSession, sf_dir: str, name: str, version: str, inputs: tuple[str, ...],
+                 write: Callable[[str], None]) -> str:
+    """Path of a table derived from ``inputs``, written by ``write`` unless it
+    is there already.
 
     The location is keyed by the derivation's version and by the input files'
     names, sizes and modification times, so neither a changed input nor a
@@ -76,30 +77,117 @@ def stored_base_table(spark: SparkSession, sf_dir: str, layout: str | None = "mo
     later sessions that share the folder. A copy is complete only once
     Spark's ``_SUCCESS`` marker exists.
     """
-    from ..session import file_signature, is_connect, path_exists, publish, shared_dir
+    from ..session import file_signature, path_exists, publish, shared_dir
+
+    sig = [version, *[file_signature(spark, os.path.join(sf_dir, f"{t}.parquet")) for t in inputs]]
+    path = os.path.join(shared_dir(spark), "tables", f"{name}-{hashlib.sha1('|'.join(sig).encode()).hexdigest()[:16]}")
+    if not path_exists(spark, os.path.join(path, "_SUCCESS")):
+        # write aside, then rename into place: concurrent first users never
+        # see (or overwrite) a half-written copy
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        write(tmp)
+        if not publish(spark, tmp, path) and not path_exists(spark, os.path.join(path, "_SUCCESS")):
+            raise RuntimeError(f"could not publish the table to {path}")
+    return path
+
+
+def _handle(spark: SparkSession, path: str, read: Callable[[], DataFrame]) -> DataFrame:
+    handle = (spark.sparkContext.applicationId, path)
+    if handle not in _HANDLES or _HANDLES[handle].sparkSession is not spark:
+        _HANDLES[handle] = read()
+    return _HANDLES[handle]
+
+
+def stored_base_table(spark: SparkSession, sf_dir: str, layout: str | None = "month") -> DataFrame:
+    """The base table as the metrics read it: derived once, written to the
+    shared folder (A1; by month, or flat with ``layout=None``), then scanned
+    in parallel."""
+    from ..session import is_connect
     from .sinks import read_base, write_base
 
     if is_connect(spark):
         # no file-system handle on a Connect client: derive lazily instead
         return base_table(spark, sf_dir)
+    with _LOCK:
+        path = _stored_copy(spark, sf_dir, "base", f"{DERIVATION}:{layout}", ("lineitem", "orders", "part"),
+                            lambda to: write_base(base_table(spark, sf_dir), to, layout))
+        return _handle(spark, path, lambda: read_base(spark, path))
 
-    sig = [f"{DERIVATION}:{layout}"]
-    sig += [file_signature(spark, os.path.join(sf_dir, f"{name}.parquet")) for name in ("lineitem", "orders", "part")]
-    key = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
-    path = os.path.join(shared_dir(spark), "tables", f"base-{key}")
-    handle = (spark.sparkContext.applicationId, path)
+
+#: rows of the base for each bucket of the tables stored by user
+BUCKET_ROWS = 4_000_000
+#: buckets at least: fewer would leave cores idle
+LEAST_BUCKETS = 8
+
+#: tables stored by user: columns, and what a bucket is sorted by
+USER_TABLES = {
+    "user-days": ("unique_mem_id BIGINT, date DATE", ("unique_mem_id", "date")),
+    "user-months": (f"unique_mem_id BIGINT, company STRING, vertical STRING, sub_vertical STRING, date DATE, "
+                    f"transactions BIGINT, amount {MONEY_SUM}", ("unique_mem_id", "date", "company")),
+    "user-geography": ("unique_mem_id BIGINT, year INT, month INT, state1 STRING, state2 STRING",
+                       ("unique_mem_id", "year", "month")),
+    "user-income": ("unique_mem_id BIGINT, month_year DATE, income_12_months DOUBLE", ("unique_mem_id", "month_year")),
+}
+
+
+def user_days(base: DataFrame) -> DataFrame:
+    """The days on which each user has purchases: ``unique_mem_id, date``."""
+    return base.select("unique_mem_id", "date").distinct()
+
+
+def user_months(base: DataFrame) -> DataFrame:
+    """Totals per user, company and month; ``date`` is the first of the month.
+    Every coarse grain is made of these, so it stands in for the base in the
+    metrics that sum or count users by month, quarter or year."""
+    return (base.groupBy("unique_mem_id", "company", "vertical", "sub_vertical", F.trunc("date", "MM").alias("date"))
+            .agg(F.sum("transactions").cast("long").alias("transactions"), F.sum("amount").cast(MONEY_SUM).alias("amount")))
+
+
+def bucket_count(base: DataFrame) -> int:
+    """Buckets for the tables by user that are made from ``base``."""
+    return max(LEAST_BUCKETS, -(-base.count() // BUCKET_ROWS))
+
+
+def store_by_user(df: DataFrame, path: str, name: str, buckets: int) -> DataFrame:
+    """Write one of ``USER_TABLES`` to ``path`` and read it back."""
+    from .sinks import read_bucketed, write_bucketed
+
+    columns, sort_by = USER_TABLES[name]
+    write_bucketed(df, path, "unique_mem_id", buckets, sort_by)
+    return read_bucketed(df.sparkSession, path, columns, "unique_mem_id", buckets, sort_by)
+
+
+_BUCKETS: dict[tuple[str, str], int] = {}
+
+
+def _buckets(spark: SparkSession, sf_dir: str, base: DataFrame) -> int:
+    """Buckets of the tables by user, counted once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUCKETS:
+        _BUCKETS[key] = bucket_count(base)
+    return _BUCKETS[key]
+
+
+def stored_by_user(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of ``USER_TABLES``, derived once from the stored base and kept in
+    the shared folder bucketed by user. A user has a row per day at most (per
+    month and company), however many transactions, so a bucket is bounded by
+    its users."""
+    from ..session import is_connect
+    from .sinks import read_bucketed, write_bucketed
+
+    base = stored_base_table(spark, sf_dir)
+    derive = {"user-days": lambda: user_days(base), "user-months": lambda: user_months(base),
+              "user-geography": lambda: user_geography(base), "user-income": lambda: rolling_income(spark, sf_dir, base)}[name]
+    if is_connect(spark):
+        return derive()
+    columns, sort_by = USER_TABLES[name]
+    buckets = _buckets(spark, sf_dir, base)
+    inputs = ("lineitem", "orders", "part") + (("customer",) if name == "user-income" else ())
     with _LOCK:
-        if handle in _HANDLES and _HANDLES[handle].sparkSession is spark:
-            return _HANDLES[handle]
-        if not path_exists(spark, os.path.join(path, "_SUCCESS")):
-            # write aside, then rename into place: concurrent first users never
-            # see (or overwrite) a half-written copy
-            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-            write_base(base_table(spark, sf_dir), tmp, layout)
-            if not publish(spark, tmp, path) and not path_exists(spark, os.path.join(path, "_SUCCESS")):
-                raise RuntimeError(f"could not publish the base table to {path}")
-        _HANDLES[handle] = read_base(spark, path)
-        return _HANDLES[handle]
+        path = _stored_copy(spark, sf_dir, name, f"{DERIVATION}:{columns}:{sort_by}:{buckets}", inputs,
+                            lambda to: write_bucketed(derive(), to, "unique_mem_id", buckets, sort_by))
+        return _handle(spark, path, lambda: read_bucketed(spark, path, columns, "unique_mem_id", buckets, sort_by))
 
 
 def user_geography(base: DataFrame) -> DataFrame:

@@ -113,6 +113,60 @@ def test_config_tables_are_edited_in_place(spark, tmp_path):
     assert rows(spark.read.parquet(h), "client", "holiday", "start") == [("a", "X", "1"), ("a", "Y", "3"), ("b", "Y", "5")]
 
 
+def test_edit_keeps_the_names_of_folders(spark, tmp_path):
+    """A client '007' is neither read as a number nor its folder renamed."""
+    t = str(tmp_path / "by_client")
+    df = spark.createDataFrame([("007", "x", 1), ("12", "y", 2), ("a b/c", "z", 3)], "client string, s string, v int")
+    sinks.overwrite_table(df, t, ("client",))
+    sinks.edit_path(spark, t, lambda d: d)
+    sinks.edit_path(spark, t, lambda d: admin.remove_clients(d, ["12"]))
+    schema, folders = sinks.stored_schema(spark, t)
+    assert folders == ["client"]
+    assert rows(spark.read.schema(schema).parquet(t), "client", "s", "v") == [("007", "x", 1), ("a b/c", "z", 3)]
+    assert "client=007" in os.listdir(t) and "client=12" not in os.listdir(t)
+    sinks.edit_path(spark, t, lambda d: d.where("v = 1"), partition_by=())
+    assert rows(spark.read.parquet(t), "client", "v") == [("007", 1)]
+    assert [n for n in os.listdir(tmp_path) if n != "by_client"] == []
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_a_write_that_fails_half_way_leaves_the_target(spark, tmp_path, as_table):
+    broken = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 900, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("long").alias("id"))
+    target = "bl_half_way" if as_table else str(tmp_path / "t")
+    read = (lambda: spark.table(target)) if as_table else (lambda: spark.read.parquet(target))
+    sinks.overwrite_table(spark.range(3), target, as_table=as_table)
+    with pytest.raises(Exception, match="half-way"):
+        sinks.overwrite_table(broken, target, as_table=as_table)
+    assert rows(read(), "id") == [(0,), (1,), (2,)]
+    if as_table:
+        sinks.overwrite_table(spark.range(5), target + "_src", as_table=True)
+        sinks.replace_table(spark, target, target + "_src")
+        assert read().count() == 5 and [t.name for t in spark.catalog.listTables() if t.name.startswith("bl_half_way")] == [target]
+        sinks.drop_table(spark, target)
+    else:
+        with pytest.raises(Exception, match="half-way"):
+            sinks.edit_path(spark, target, lambda d: d.join(broken, "id", "right"))
+        assert rows(read(), "id") == [(0,), (1,), (2,)] and os.listdir(tmp_path) == ["t"]
+
+
+def test_tables_stored_by_user(spark, tmp_path):
+    """Bucketed tables give back their rows, in one task per bucket, and need no exchange by user."""
+    base = tables.stored_base_table(spark, SF_SMALL)
+    for name in tables.USER_TABLES:
+        stored = tables.stored_by_user(spark, SF_SMALL, name)
+        derived = {"user-days": tables.user_days, "user-months": tables.user_months, "user-geography": tables.user_geography,
+                   "user-income": lambda b: tables.rolling_income(spark, SF_SMALL, b)}[name](base)
+        assert stored.schema.simpleString() == derived.schema.simpleString()
+        assert rows(stored) == rows(derived)
+        plan = stored.groupBy("unique_mem_id").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+    path = str(tmp_path / "b")
+    for n in (3, 5):  # another content and number of buckets at the same place
+        df = spark.range(n * 10).select((F.col("id") % n).alias("u"), "id")
+        sinks.write_bucketed(df, path, "u", n, ("u", "id"))
+        assert rows(sinks.read_bucketed(spark, path, "u BIGINT, id BIGINT", "u", n, ("u", "id"))) == rows(df)
+
+
 def test_partition_removal_is_exact(spark, tmp_path):
     p = str(tmp_path / "out")
     df = spark.createDataFrame([("Gap", 1), ("Gapless", 2), ("gamma store", 3)], "client string, v int")

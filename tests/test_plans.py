@@ -41,6 +41,50 @@ def test_panel_joins_without_a_shuffle_by_period(spark, name):
     assert len(by_period) <= 1, by_period
 
 
+def shuffles(plan: str) -> list[str]:
+    return [line for line in plan.splitlines() if "Exchange hash" in line or "Exchange Single" in line or "Exchange range" in line]
+
+
+@pytest.mark.parametrize(("name", "most"), [("state_income_metrics", 2), ("client_metric_slice", 2), ("geo_income_tags", 0),
+                                            ("panel_users", 1), ("union_all", 3)])
+def test_tables_by_user_meet_without_an_exchange(spark, name, most):
+    """Facts, tags and panel lie bucketed by user: what moves is the result,
+    summed or counted, never a user's rows. The base is not read."""
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    moved = shuffles(plan)
+    assert len(moved) <= most and not any("unique_mem_id" in line.split("ENSURE")[0] for line in moved), moved
+    assert "tables/base-" not in plan and "Bucketed: true" in plan
+
+
+def test_without_the_setting_tags_and_facts_move_once(spark):
+    """A session of its own that asks for all join keys shuffles the totals, still not the base."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    plan = plan_of(QUERIES["state_income_metrics"](other, SF_SMALL))
+    assert len(shuffles(plan)) <= 8 and "tables/base-" not in plan
+
+
+def test_a_bot_with_all_companies_spreads(spark):
+    """The user-period with many companies is dealt over pieces on both sides."""
+    from basketlens.operators import crossover
+
+    spend = spark.range(6000).selectExpr("'month' time_period", "date'2000-01-01' date", "if(id < 3000, 0L, id) unique_mem_id",
+                                         "concat('C', id) company", "'V' vertical", "'S' sub_vertical", "1L transactions", "1 amount")
+    ref = spend.selectExpr("time_period", "date", "unique_mem_id", "'c' client", "company company_ref", "1L transactions_ref")
+    dealt, each = crossover.in_pieces(spend, spend, ref, 100)
+    assert sorted(r["count"] for r in dealt.where("unique_mem_id = 0").groupBy("piece").count().collect())[-1] <= 200
+    assert dealt.where("unique_mem_id = 0").select("piece").distinct().count() == 30
+    assert each.where("unique_mem_id = 0").count() == 30 * 3000 and each.where("unique_mem_id > 0").count() == 3000
+    for df in (dealt, each):
+        assert re.search(r"hashpartitioning\([^)]*unique_mem_id#\d+L, piece#\d+, \d+\), REPARTITION_BY_COL", plan_of(df))
+
+
+def test_no_day_is_repeated_for_the_windows_over_it(spark):
+    """A RANGE frame sums the windows; days are not repeated for each."""
+    plan = plan_of(QUERIES["rolling_gap"](spark, SF_SMALL))
+    assert "RangeFrame, -27" in plan and "explode(sequence" not in plan
+
+
 @pytest.mark.parametrize("name", ["panel_users", "company_metrics", "crossover", "retention", "user_breakdown"])
 def test_rows_are_summed_before_they_are_repeated_per_grain(spark, name):
     lines = plan_of(QUERIES[name](spark, SF_SMALL)).splitlines()

@@ -9,8 +9,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.functions.periods import period_totals
-from basketlens.operators import behaviour, cadence, crossover, panel, retention
+from basketlens.functions.periods import period_start, period_totals
+from basketlens.operators import behaviour, cadence, cohort, crossover, panel, retention
+from basketlens.sources import tables
 from panel_tools import rows
 
 SCHEMA = ("client string, date date, unique_mem_id bigint, company string, vertical string, "
@@ -155,3 +156,54 @@ def test_crossover_of_a_user_with_every_company(spark):
                "transactions")
     assert [r[:5] for r in got] == sorted(share)
     assert all(r[5] is None if not total[r[:3]] else abs(r[5] - share[r[:5]] / total[r[:3]]) < 1e-9 for r in got)
+
+
+def test_crossover_in_pieces(spark):
+    """However a user's companies are dealt, the shares are the same."""
+    recs = random_rows(9)
+    coh = spark.createDataFrame(recs, SCHEMA)
+    base = coh.where("client = 'a'").drop("client")
+    dealt, plain = (sorted(map(str, crossover.crossover(base, coh, piece_rows=n).collect())) for n in (2, 512))
+    assert dealt == plain
+
+
+def test_panel_from_days_of_a_hot_user(spark):
+    """Users counted from their stored days equal distinct users of the rows;
+    the hot user has one row a day."""
+    recs = random_rows(10, 6000)
+    base = spark.createDataFrame(recs, SCHEMA)
+    days, months = tables.user_days(base), tables.user_months(base)
+    assert days.groupBy("unique_mem_id", "date").count().where("count > 1").isEmpty() and days.where("unique_mem_id = 0").count() <= 41
+    for grains, stored in ((["day", "month", "quarter", "year"], days), (["month", "quarter", "year"], months)):
+        want = None
+        for g in grains:
+            one = base.groupBy(F.lit(g).alias("time_period"), period_start("date", g).alias("date")).agg(
+                F.count_distinct("unique_mem_id").alias("unique_users"))
+            want = one if want is None else want.unionByName(one)
+        assert rows(panel.panel_users(stored, grains)) == rows(want)
+
+
+def test_cohort_of_two_thousand_clients(spark):
+    """Predicates on descriptive columns are looked up, others evaluated; the
+    rows are those of evaluating every predicate on every row."""
+    recs = [r[1:] for r in random_rows(11, 400)]
+    recs += recs[:50] + [(dt.date(2018, 1, 1), 7, None, None, "S", 1, Decimal("3.00")), (dt.date(2018, 1, 1), 7, "C1", "V", None, None, None)]
+    base = spark.createDataFrame(recs, SCHEMA.removeprefix("client string, ")).repartition(3)
+    forms = ["company = 'C{a}'", "company in ('C{a}', 'C{b}') and vertical = 'V'", "company > 'C{a}' or sub_vertical is null",
+             "company is null", "vertical like '%V%' and company <> 'C{b}'", "length(company) > {a}"]
+    filters = [(f"c{i:04d}", forms[i % 6].format(a=i % 8, b=i * 5 % 8)) for i in range(2000)]
+    filters += [("c0000", "vertical = 'V'"), ("rows", "amount > 5"), ("days", "date < date'2018-03-01' and company = 'C2'"), ("both", "company = 'C3'"), ("both", "amount < 5")]
+    config = spark.createDataFrame(filters, "client string, filters string")
+    for dedupe in (True, False):
+        got = cohort.client_cohort(base, config, dedupe)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan
+        counted = {r["client"]: r["n"] for r in got.groupBy("client").agg(F.count("*").alias("n")).collect()}
+        some = [f"c{i:04d}" for i in range(0, 2000, 97)] + ["c0000", "rows", "days", "both"]
+        few = spark.createDataFrame([f for f in filters if f[0] in some], "client string, filters string")
+        direct = cohort.client_cohort(base, few, dedupe)
+        assert "Join" not in direct._jdf.queryExecution().executedPlan().toString()
+        key = lambda df: sorted(map(str, df.collect()))
+        assert key(got.where(F.col("client").isin(some)).select(*direct.columns)) == key(direct)
+        source = base.distinct() if dedupe else base
+        assert counted["c0003"] == source.where("company is null").count() and len(counted) > 1700
