@@ -8,8 +8,9 @@ turns with control strings, escaping those inside texts reversibly, and marks
 the characters that a loss is taken on.
 
 A JSON parser's usual limit of 20 M characters a string and the 128 MiB of a
-variant do not bound a record: a long one gives a variant its field names
-only, and its texts are read natively.
+variant do not bound a record: the variant that the paths are taken from gets
+the record's outline, without its texts, and these are read by ``from_json``
+without a limit.
 """
 
 from __future__ import annotations
@@ -22,53 +23,50 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 _TURNS = "array<struct<role: string, text: string>>"
-#: records of more bytes are long: shorter ones meet neither the parser's limit for a string nor a variant's
-LONG_BYTES = 16_000_000
-_NO_LIMIT = {"maxStringLen": str(2**31 - 1), "mode": "FAILFAST"}
+_BAD = "_malformed"
+_NO_LIMIT = {"maxStringLen": str(2**31 - 1), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 _STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'  # possessive, so of any length
 
 
-@dataclass(frozen=True)
-class Record:
-    """A record's fields: from ``v``, a variant, unless ``long``, its JSON, is
-    not null. JSON that turns out to be malformed there is an error."""
-
-    v: Column
-    long: Column
-
-    def get(self, field: str, kind: str) -> Column:
-        native = F.from_json(self.long, f"`{field}` {kind}", _NO_LIMIT)[field]
-        return F.when(self.long.isNull(), F.try_variant_get(self.v, f"$.{field}", kind)).otherwise(native)
-
-
 @dataclass(frozen=True)
 class Mapping:
     """One layout: the field paths it is known by, nested as an example
-    record, and the turns of such a record."""
+    record, and the turns of such a record, given as a struct of its fields."""
 
     name: str
     fields: dict
-    turns: Callable[[Record], Column]
+    turns: Callable[[Column], Column]
+
+    def read(self, json: Column) -> Column:
+        """The record's fields, and whether it is malformed."""
+        return F.from_json(json, f"struct<{_ddl(self.fields)[7:-1]}, `{_BAD}`: string>", _NO_LIMIT)
+
+
+def _ddl(example) -> str:
+    """The type of an example; scalars of any type are read as texts."""
+    if isinstance(example, dict):
+        return "struct<" + ", ".join(f"`{k}`: {_ddl(v)}" for k, v in example.items()) + ">"
+    return f"array<{_ddl(example[0])}>" if isinstance(example, list) else "string"
 
 
-def _text(v: Record, field: str) -> Column:
-    return F.coalesce(v.get(field, "string"), F.lit(""))
+def _text(v: Column, field: str) -> Column:
+    return F.coalesce(v[field], F.lit(""))
 
 
 def _turn(role: str, text: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), text.alias("text"))
 
 
-def _fields(*parts: tuple[str, str]) -> Callable[[Record], Column]:
+def _fields(*parts: tuple[str, str]) -> Callable[[Column], Column]:
     """Turns from single fields: (role, field) in order."""
     return lambda v: F.array(*[_turn(role, _text(v, field)) for role, field in parts])
 
 
-def _listed(field: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[[Record], Column]:
+def _listed(field: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[[Column], Column]:
     """Turns from a list of objects; ``names`` translates its role names."""
 
-    def turns(v: Record) -> Column:
-        rows = v.get(field, f"array<struct<`{role}`: string, `{text}`: string>>")
+    def turns(v: Column) -> Column:
+        rows = v[field]
         plain = F.coalesce  # a missing role or text is empty
 
         def one(m: Column) -> Column:
@@ -82,7 +80,7 @@ def _listed(field: str, role: str, text: str, names: dict[str, str] | None = Non
     return turns
 
 
-def _instruction_input(v: Record) -> Column:
+def _instruction_input(v: Column) -> Column:
     given = _text(v, "input")
     ask = F.when(given == "", _text(v, "instruction")).otherwise(F.concat(_text(v, "instruction"), F.lit("\n\n"), given))
     return F.array(_turn("user", ask), _turn("assistant", _text(v, "output")))
@@ -125,29 +123,28 @@ def outline(json: Column) -> Column:
     return F.regexp_replace(emptied, r"(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++", "$1")
 
 
-def canonical_turns(records: DataFrame, record: str, mappings: tuple[Mapping, ...] = MAPPINGS,
-                    long_bytes: int = LONG_BYTES) -> DataFrame:
+def canonical_turns(records: DataFrame, record: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """``records`` as ``row`` (struct of its columns, so names cannot clash),
     with ``fingerprint``, ``layout`` and ``turns``.
 
-    A record that is null, is no JSON, or has a layout that no mapping
-    declares keeps its row, with a null layout and no turns. An empty message
-    list cannot show its fields: it is such a record too, unless declared.
-    A long record (above ``long_bytes``) of a declared layout that is
-    malformed inside a string is an error.
+    A record that is null, is no JSON, is malformed anywhere, or has a layout
+    that no mapping declares keeps its row, with a null layout and no turns.
+    An empty message list cannot show its fields: it is such a record too,
+    unless declared. Numbers and booleans used as texts are taken as they are
+    written. Records of any size are read in the same way.
     """
     json = F.col("row")[record].cast("string")
-    long = F.octet_length(json) > long_bytes
-    v = F.try_parse_json(F.when(long, outline(json)).otherwise(json))
-    parsed = (records.select(F.struct(*[records[c] for c in records.columns]).alias("row"))
-              .select("row", v.alias("v"), F.when(long, json).alias("long"))
-              .withColumn("fingerprint", fingerprint(F.col("v"))))
-    read = Record(F.col("v"), F.col("long"))
+    told = (records.select(F.struct(*[records[c] for c in records.columns]).alias("row"))
+            .withColumn("fingerprint", fingerprint(F.try_parse_json(outline(json)))))
+    hits = [F.col("fingerprint") == F.sha2(F.lit(_shape(m.fields)), 256) for m in mappings]
+    read = told.select("row", "fingerprint", *[F.when(hit, m.read(json)).alias(f"m{i}")
+                                               for i, (hit, m) in enumerate(zip(hits, mappings, strict=True))])
     layout, turns = F.lit(None).cast("string"), F.array().cast(_TURNS)
-    for m in mappings:
-        hit = F.col("fingerprint") == F.sha2(F.lit(_shape(m.fields)), 256)
-        layout, turns = F.when(hit, F.lit(m.name)).otherwise(layout), F.when(hit, m.turns(read)).otherwise(turns)
-    return parsed.select("row", "fingerprint", layout.alias("layout"), turns.alias("turns"))
+    for i, m in enumerate(mappings):
+        fields = F.col(f"m{i}")
+        whole = fields.isNotNull() & fields[_BAD].isNull()
+        layout, turns = F.when(whole, F.lit(m.name)).otherwise(layout), F.when(whole, m.turns(fields)).otherwise(turns)
+    return read.select("row", "fingerprint", layout.alias("layout"), turns.alias("turns"))
 
 
 def escape(text: Column) -> Column:

@@ -2,8 +2,9 @@
 
 The training documents are the indexed side: each slice of a partition is one
 shard, whose words are numbered by the benchmark's vocabulary and whose
-suffixes are sorted; every test suffix is then looked up by binary search in
-every shard. A word that no benchmark item has ends any match, so suffixes
+suffixes are sorted by their first ``window`` words; every test suffix is then
+looked up by binary search in every shard, and longer matches are joined from
+windows that follow each other. A word that no benchmark item has ends any match, so suffixes
 that start fewer known words in a row than the shortest window are left out
 of the array. Benchmarks of any size are taken in blocks of bounded words,
 the documents passing each block's search in turn.
@@ -35,11 +36,11 @@ class Windows:
     """The windows of a block of benchmark items: ``window`` consecutive
     words, or a shorter item whole; packed into sortable 63-bit keys."""
 
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
+    def __init__(self, items: list[tuple[list[str], str | None]], window: int):
         self.window = window
         self.vocab: dict[bytes, int] = {}
         rows, self.size, self.item, self.start = [], [], [], []
-        self.ids = [i for i, _ in items]
+        self.ids = [ids for ids, _ in items]  # of the items with the text, in order
         for at, (_, text) in enumerate(items):
             w = [self.vocab.setdefault(x, len(self.vocab) + 1) for x in words_of(text)]
             for j in range(max(1, len(w) - window + 1) if w else 0):
@@ -122,7 +123,7 @@ def _matches(which: np.ndarray, at: np.ndarray, w: Windows) -> Iterator[tuple[in
 
 
 def _search(docs: DataFrame, windows: Windows) -> DataFrame:
-    """Adds the block's matches to column ``matches`` of (row, text, n_words, matches)."""
+    """Adds the block's matches to columns ``matches`` and ``items`` of (row, text, n_words, matches, items)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = windows.vocab.get
@@ -137,14 +138,19 @@ def _search(docs: DataFrame, windows: Windows) -> DataFrame:
                 at += len(w) + 1
             tokens = np.concatenate([*parts, zeros])
             found = batch.column(3).to_pylist()
+            texts: list[set[int]] = [set() for _ in found]
             which, pos = _occurrences(tokens, windows)
             for item, start, p, n in _matches(which, pos, windows):
                 doc = int(np.searchsorted(begin, p, "right")) - 1
-                found[doc].append({"item_id": windows.ids[item], "item_start": start,
+                texts[doc].add(item)
+                found[doc].append({"item_id": next(iter(windows.ids[item]), None), "item_start": start,
                                    "doc_start": p - begin[doc], "n_words": n})
+            items = [[*had, *(i for t in sorted(new) for i in windows.ids[t])]
+                     for had, new in zip(batch.column(4).to_pylist(), texts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()),
-                 pa.array(found, batch.schema.field(3).type)], ["row", "text", "n_words", "matches"])
+                 pa.array(found, batch.schema.field(3).type), pa.array(items, pa.list_(pa.string()))],
+                ["row", "text", "n_words", "matches", "items"])
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -152,25 +158,28 @@ def _search(docs: DataFrame, windows: Windows) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = 200_000) -> DataFrame:
     """One row per row of ``docs``: ``row`` (struct of all its columns, so
     names cannot clash), ``n_words``, ``matches`` (item_id as string, starts
-    and length in words of every longest verbatim match) and ``n_hit``, the
-    words inside any match.
-
-    A null or empty text has no words. An item without words has no window;
-    repeated items match alike; an item with a null id is searched and its
-    matches have a null item_id. Empty tables give no matches or no rows.
+    and length in words of every longest verbatim match), ``items`` (the ids
+    of all matched items) and ``n_hit``, the words inside any match.
+
+    A null or empty text has no words. An item without words has no window.
+    Items with equal texts are searched once; their matches have the smallest
+    of their ids, ``items`` has them all. An item with a null id is searched;
+    a match of null ids only has a null item_id. Empty tables give no matches
+    or no rows.
     """
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    bench = bench.groupBy("text").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
     total = bench.agg(F.sum(F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+")))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
-    bench = bench.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    bench = bench.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
     out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"),
-                      F.lit(0).cast("long").alias("n_words"), F.array().cast(_MATCH).alias("matches"))
+                      F.lit(0).cast("long").alias("n_words"), F.array().cast(_MATCH).alias("matches"), F.array().cast("array<string>").alias("items"))
     for b in range(blocks):
-        items = [(r[0], r[1]) for r in bench.where(F.col("block") == b).select("item_id", "text").collect()]
+        items = [(r[0], r[1]) for r in bench.where(F.col("block") == b).select("ids", "text").collect()]
         out = _search(out, Windows(sorted(items, key=str), window))
         if b + 1 < blocks:
             out = stage(out, "contamination")
-    return out.select("row", "n_words", "matches", n_hit().alias("n_hit"))
+    return out.select("row", "n_words", "matches", F.array_distinct("items").alias("items"), n_hit().alias("n_hit"))
 
 
 def n_hit() -> Column:

@@ -26,8 +26,12 @@ from basketlens.llm.common import slices
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg iframe object canvas math select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
+RAW = frozenset("script style noscript template textarea svg iframe object canvas select annotation".split())
+#: elements of other vocabularies, which a slash at the end of the tag closes
+FOREIGN = frozenset(["svg", "math"])
+FORMULA = frozenset("math mfrac mi mn mo mover mrow ms msqrt mroot mspace mstyle msub msubsup msup mtable mtd mtext mtr munder "
+                    "munderover semantics".split())
+INLINE = FORMULA | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 #: elements that parts of a running text are in; what holds these holds the text
 FLOW = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tfoot tr td th figure "
@@ -101,6 +105,8 @@ def parse(page: str) -> Iterator[tuple[str, Element, str]]:
             here = here.parent
         new = Element(tag, here, _keys(tag, attributes))
         yield "tag", new, tag
+        if tag in FOREIGN and attributes.endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -162,11 +168,11 @@ def counts(page: str) -> Counter | None:
 
 def fit(pages: DataFrame, sample_rows: int = 2000) -> dict[str, float]:
     """Log-odds weight of each element key, from at most ``sample_rows``
-    labelled pages (those with the smallest hashes of their html)."""
+    different labelled pages (those with the smallest hashes of their html)."""
     labelled = (pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
                 .where(F.col("html").rlike(r"(?i)<(article|main)\b|articleBody"))
                 .select("html", F.xxhash64("html").alias("h")))
-    rows = labelled.select("h").orderBy("h").limit(sample_rows)
+    rows = labelled.select("h").distinct().orderBy("h").limit(sample_rows)
     limit = rows.agg(F.max("h")).first()[0]
     sample = labelled.where(F.col("h") <= (limit if limit is not None else 0)).dropDuplicates(["h"])
 
@@ -194,7 +200,8 @@ def _prior(key: str) -> float:
 
 class Extractor:
     """``weights`` are an element's log-odds; ``tag_cost`` is what a tag costs
-    that labelled articles do not hold, others cost a fiftieth of it."""
+    that labelled articles do not hold, others cost a fiftieth of it and
+    those of a formula nothing."""
 
     def __init__(self, weights: dict[str, float], tag_cost: float = 0.5):
         self.weights, self.tag_cost = weights, tag_cost
@@ -227,7 +234,8 @@ class Extractor:
             else:
                 own = self.weight(e)
                 block = None if text in INLINE else " "
-                tokens.append((min(max(own, -1.0), 0.0) - (self.tag_cost / 50 if own > 0 else self.tag_cost), block))
+                cost = 0.0 if text in FORMULA else self.tag_cost / 50 if own > 0 else self.tag_cost
+                tokens.append((min(max(own, -1.0), 0.0) - cost, block))
         for i, e in skipped:
             while e is not None and not (e in held and held[e][0] < i < held[e][1]):
                 e = e.parent

@@ -9,17 +9,24 @@ essential part, then the non-essential terms are probed in order, only while
 part plus remaining bounds is competitive. Shards give their best k, and a
 ranking per query merges them.
 
-Queries are taken in blocks against shards of bounded rows, so a task holds
-one shard and one block whatever the size of the table.
+Queries go to the vectors in blocks of ``query_rows``: a task reads its part of
+the vectors as they lie in shards of ``shard_rows`` and searches each with the
+block, so vectors are not copied or shuffled, and a task holds one shard and
+one block whatever the size of the table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketlens.llm.common import slices, stage
+from basketlens.session import scratch_path
+
 #: terms probed between two prunings
 _PROBE = 8
 
@@ -32,7 +39,7 @@ def integer_vector(column: str, scale: int = 64) -> Column:
     return F.when(~bad, F.transform(x, lambda c: F.floor(c * scale)))
 
 
-def _matrix(vectors: pd.Series, dims: int) -> np.ndarray:
+def _matrix(vectors: list[list[int]], dims: int) -> np.ndarray:
     """Term-major (dims x rows); a shorter vector lacks the last terms."""
     out = np.zeros((dims, len(vectors)), np.int64)
     for i, v in enumerate(vectors):
@@ -80,27 +87,39 @@ class Shard:
         return self.ids[at][order], part[order].astype(np.int64)
 
 
-def _search(k: int):
-    def run(shard: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(shard) and len(queries):
-            dims = max(map(len, [*shard["v"], *queries["v"]]))
-            v, q = _matrix(shard["v"], dims), _matrix(queries["v"], dims).T
+def _search(own: np.ndarray, queries: np.ndarray, k: int, shard_rows: int):
+    """The best k of each shard for each query of a block (dims x queries)."""
+
+    def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held: list[pa.RecordBatch] = []
+        for batch in slices(batches, shard_rows):
+            if sum(b.num_rows for b in held) + batch.num_rows > shard_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch)
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches) if len(own) else ():
+            vectors = shard.column("v").to_pylist()
+            dims = max(len(queries), *map(len, vectors))
+            v, q = _matrix(vectors, dims), np.pad(queries, ((0, dims - len(queries)), (0, 0))).T
             # floats hold every partial sum exactly below 2**53 (and 2**24), and multiply faster
             top = int(np.abs(v).max(initial=0)) * int(np.abs(q).max(initial=0)) * max(1, dims)
             exact = np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else np.int64
-            index, q = Shard(shard["id"].to_numpy(), v, exact), q.astype(exact)
+            index, q = Shard(shard.column("id").to_numpy(), v, exact), q.astype(exact)
             seeds = q @ index.postings[:, :256]
-            for own, query, seed in zip(queries["id"].to_numpy(), q, seeds, strict=True):
-                ids, scores = index.top(own, query, seed, k)
-                found.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            for mine, query, seed in zip(own, q, seeds, strict=True):
+                ids, scores = index.top(mine, query, seed, k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), mine)), pa.array(ids), pa.array(scores)],
+                                                 ["query_id", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, shard_rows: int = 8192,
-          query_rows: int = 1024) -> DataFrame:
+          query_rows: int = 4096) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows of ``vectors``
     (vec_id, embedding) for each row that ``is_query`` selects.
 
@@ -108,22 +127,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, sh
     repeated rows each are. Repeated query rows are one query. Rows whose id
     or vector is null, or whose vector holds a null or non-finite component,
     take no part; vectors of unlike length are filled up with zeros. Scores
-    are 64-bit integers.
+    are 64-bit integers. A block of queries comes to the driver at a time.
     """
     v = (vectors.select(F.col("vec_id").cast("long").alias("id"), integer_vector("embedding", scale).alias("v"),
-                        is_query.alias("q")).where("id is not null and v is not null"))
-    n = v.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("q")).first()
-    shards, blocks = -(-n["n"] // shard_rows) or 1, -(-n["q"] // query_rows) or 1
-    shard, block = F.pmod(F.xxhash64("id"), F.lit(shards)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks))
-
-    def numbers(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
-
-    candidates = v.select("id", "v", shard.cast("long").alias("shard"), numbers(blocks).alias("block"))
-    queries = (v.where("q").select("id", "v").dropDuplicates()
-               .select("id", "v", block.cast("long").alias("block"), numbers(shards).alias("shard")))
-    found = (candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block"))
-             .applyInPandas(_search(k), "query_id long, vec_id long, score long"))
+                        F.coalesce(is_query, F.lit(False)).alias("q")).where("id is not null and v is not null"))
+    v = stage(v, "vectors")
+    queries = stage(v.where("q").select("id", "v").distinct(), "queries")
+    blocks = max(1, -(-queries.count() // query_rows))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
+    found, schema = scratch_path(vectors.sparkSession, "found"), "query_id long, vec_id long, score long"
+    for b in range(blocks):
+        block = queries.where(F.col("block") == b).select("id", "v").toArrow()
+        taken = block.column("v").to_pylist()
+        matrix = _matrix(taken, max(map(len, taken), default=0))
+        hits = v.select("id", "v").mapInArrow(_search(block.column("id").to_numpy(), matrix, k, shard_rows), schema)
+        hits.write.mode("append").parquet(found)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (vectors.sparkSession.read.schema(schema).parquet(found).withColumn("rank", F.row_number().over(best))
+            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))

@@ -115,6 +115,20 @@ def _level(frac: DataFrame, block_rows: int, seed: int, last: bool) -> DataFrame
             .drop("block"))
 
 
+def numbered(rows: DataFrame, piece: int = 1 << 16) -> DataFrame:
+    """The same rows with ``h`` told apart: equal rows are counted, then
+    numbered in pieces that any task can make, and the number goes into their
+    hash. So copies of one row, a third of all or more, are dealt over blocks
+    like any rows, and the result does not depend on the order they lie in."""
+    columns = rows.columns
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("c"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("c") - 1) / piece)))
+    parts = counted.withColumn("part", part).repartition("h", "part")
+    first = F.col("part") * piece
+    each = parts.withColumn("k", F.explode(F.sequence(first, F.least(first + piece, F.col("c")) - 1)))
+    return each.withColumn("h", F.when(F.col("k") == 0, F.col("h")).otherwise(F.xxhash64("h", "k"))).select(*columns)
+
+
 def source_targets(docs: DataFrame, weights: tuple[float, ...], volume: float, most: float) -> list[tuple]:
     """``(source, size, target)`` of each source, by code point, null last.
     The sources' totals come to the driver: a row per source, which names a
@@ -131,7 +145,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), volume: f
     ``size`` counts words (null text: 0), ``copies`` is how often the mix
     holds the document, ``taken`` its words times the copies. Draws depend on
     the row's values and the seed only, so reruns agree; repeated rows are
-    sampled one by one, like any others. Documents without words never get
+    numbered and sampled one by one, like any others. Documents without words never get
     the extra copy. A null doc_id is kept. Empty input gives no rows.
     """
     spark: SparkSession = docs.sparkSession
@@ -149,7 +163,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), volume: f
     joined = (sized.withColumnRenamed("source", "s").join(F.broadcast(table), F.col("s").eqNullSafe(F.col("source")))
               .drop("s").withColumn("whole", F.floor(ratio + 1e-12))
               .withColumn("p", F.when(F.col("size") > 0, F.greatest(ratio - F.col("whole"), F.lit(0.0))).otherwise(0.0)))
-    state = joined.select("src", "doc_id", "size", "whole", "h", "p")
+    state = numbered(joined.select("src", "doc_id", "size", "whole", "h", "p"))
     open_ = state.where(f"p > {_EPS} and p < {1 - _EPS}")
     done = [state.where(f"not (p > {_EPS} and p < {1 - _EPS})").withColumn("p", F.round("p"))]
     most_rows = max((r["n"] for r in open_.groupBy("src").agg(F.count(F.lit(1)).alias("n")).collect()), default=0)

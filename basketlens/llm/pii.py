@@ -65,6 +65,12 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             yield at, before
 
 
+def _is_byte(digits: str) -> bool:
+    """At most 255; tested by length first, since numbers can be of any length."""
+    plain = digits.lstrip("0")
+    return len(plain) <= 3 and int(plain or 0) <= 255
+
+
 def _ips(text: str) -> Iterator[tuple[int, int]]:
     """Four numbers joined by points; a longer chain gives one for every four."""
     for m in _DOTTED.finditer(text):
@@ -74,7 +80,7 @@ def _ips(text: str) -> Iterator[tuple[int, int]]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
             end = at + sum(map(len, four)) + 3
-            if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in four):
+            if all(map(_is_byte, four)):
                 yield at, end
             at = end + 1
 
@@ -294,7 +300,7 @@ def _is(kind: str, text: str) -> bool:
     if kind == "phone":
         return 9 <= len(_digits(text)) <= 15 and not set(text) - set("0123456789 ().-/")
     if kind == "ip" and "." in text:
-        return bool(_SHAPED[kind].fullmatch(text)) and all(int(x) <= 255 for x in re.split(r"[:/]", text)[0].split("."))
+        return bool(_SHAPED[kind].fullmatch(text)) and all(map(_is_byte, re.split(r"[:/]", text)[0].split(".")))
     return bool(_SHAPED[kind].fullmatch(text))
 
 
@@ -315,7 +321,7 @@ def added_spans(text: str, words: list[tuple[int, int]], labels: np.ndarray, bas
                 a += 1
             while a < b and text[b - 1] in _TRIM + "(":
                 b -= 1
-            if _is(kind, text[a:b]) and not any(x < b and a < y for _, x, y in base):
+            if not any(x < b and a < y for _, x, y in base) and _is(kind, text[a:b]):
                 out.append((kind, a, b))
         at = end
     return out

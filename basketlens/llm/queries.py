@@ -50,8 +50,7 @@ def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read(spark, sf_dir, "documents").select("doc_id", "text"),
                                    read(spark, sf_dir, "benchmark"))
-    items = F.array_sort(F.array_distinct(F.filter(
-        F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())))
+    items = F.array_sort("items")
     return found.select("row.doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
                         decontam.is_contaminated().alias("contaminated"))

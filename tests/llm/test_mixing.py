@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.llm import mixing
 from llm_tools import SF
@@ -66,6 +67,20 @@ def test_mix(spark):
     assert sorted((r.doc_id, r.copies) for r in rows) == sorted((r.doc_id, r.copies) for r in again)
 
 
+def test_rows_repeated_whole(spark):
+    """A third of all rows are one row: numbered, they are dealt like others,
+    and the result does not depend on where they lie."""
+    rows = [(1, "one and the same text", "s")] * 400 + [(2 + i, "w " * (i % 17 + 1), "st"[i % 2]) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    h = df.select("doc_id", F.xxhash64("doc_id", "text").alias("h"))
+    told = mixing.numbered(h, piece=64)
+    assert told.count() == 1200 and told.select("h").distinct().count() == 1200
+    blocks = told.groupBy(F.pmod("h", F.lit(20))).count().agg(F.max("count")).first()[0]
+    assert blocks < 120  # of 1200 rows over 20 blocks; the 400 copies would be one block's
+    got, again = (sorted((r.doc_id, r.copies) for r in mixing.mix(d, block_rows=64).collect()) for d in (df, df.repartition(5)))
+    assert got == again and len(got) == 1200
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c", None), (2, None, None), (3, "", "s"), (4, "x", "s"), (None, "x y", "t"), (5, " \t\n", "t"),
             (6, "k l m", "u"), (6, "k l m", "u")]

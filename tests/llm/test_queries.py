@@ -12,12 +12,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
 
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from basketlens.llm import queries  # noqa: E402
+from basketlens.llm import lines, queries  # noqa: E402
 from basketlens.llm.common import read, stage  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 from llm_tools import SF  # noqa: E402
 from test_mixing import check_mix  # noqa: E402
-from test_near_duplicates import brute, line_brute  # noqa: E402
+from test_near_duplicates import brute, check_lines  # noqa: E402
 from test_text import hits, spans  # noqa: E402
 
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -82,12 +82,14 @@ def test_stages(spark):
     given, kept = steps[0]
     assert {r.doc_id for r in kept} == {i for i, t in given.items() if any(c.isalpha() for c in t or "")}
     given, kept = steps[1]
-    first = line_brute(given.items())
+    first = {(r.doc_id, r.line_no): (r.first_doc, r.first_line) for r in
+             lines.line_components(spark.createDataFrame(sorted(given.items()), "doc_id long, text string")).collect()}
+    check_lines(first, given.items(), 0.99)
     want = {}
     for i, t in given.items():
-        lines = t.split("\n")
-        left = [x for n, x in enumerate(lines) if first.get((i, n), (i, n)) == (i, n)]
-        if left == lines or any(x.strip(" ") for x in left):
+        rows = t.split("\n")
+        left = [x for n, x in enumerate(rows) if first.get((i, n), (i, n)) == (i, n)]
+        if left == rows or any(x.strip(" \t\n\r\x0b\x0c") for x in left):
             want[i] = "\n".join(left)
     assert {r.doc_id: r.text for r in kept} == want and all(r.n_chars == len(r.text) for r in kept)
     given, kept = steps[2]

@@ -50,6 +50,17 @@ def test_search_in_odd_tables(spark):
     assert got == [(0, 1, 1, 64 * 128), (0, 2, 1, 64 * 128)]
 
 
+def test_search_where_a_third_is_one_row(spark):
+    """Vectors lie in shards by place, so one id's rows, or equal rows, fill no group."""
+    rows = [(7, [1.0, 0.5])] * 300 + [(i, [float(i % 9), 1.0]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(6)
+    got = maxscore.top_k(df, F.col("vec_id") % 20 == 0, k=5, shard_rows=64, query_rows=7).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert {i: sorted(x) for i, x in found.items()} == brute_top(rows, 5)
+
+
 def test_pruning_keeps_the_best():
     """Sparse queries leave terms non-essential; the result stays exact."""
     rng = np.random.default_rng(5)
@@ -129,16 +140,21 @@ LONG = [
     {"something": {"else": "prompt"}}, {"prompt: ": "a", "response": "b"}, {"messages": []}, [1], "text"]
 
 
-def test_long_records_read_as_short_ones(spark):
+def test_records_of_any_size_are_read_in_one_way(spark):
     rows = [(i, json.dumps(r, ensure_ascii=i % 2 == 0, indent=i % 3 or None)) for i, r in enumerate(LONG)]
     rows += [(90, None), (91, "{"), (92, ""), (93, '{"prompt": "a", "prompt": "b"}'), (94, '{"prompt": "a" "response": "b"}')]
     df = spark.createDataFrame(rows, "id long, record string")
-    short, long = ({r.row.id: (r.fingerprint, r.layout, r.turns) for r in
-                    chat.canonical_turns(df, "record", long_bytes=n).collect()} for n in (1000, 0))
-    assert short == long and sum(x[1] is not None for x in long.values()) == 10
-    torn = spark.createDataFrame([('{"prompt": "\\q", "response": "b"}',)], "record string")
-    with pytest.raises(Exception, match="MALFORMED"):
-        chat.canonical_turns(torn, "record", long_bytes=0).collect()
+    got = {r.row.id: (r.layout, [tuple(t) for t in r.turns]) for r in chat.canonical_turns(df, "record").collect()}
+    # a field that is a number here and a text there is of no declared layout
+    assert got.keys() == {i for i, _ in rows} and all(got[i] == (None, []) for i in got if i == 8 or i >= 11)
+    assert [got[i][0] for i in (*range(8), 9, 10)] == ["prompt", "completion", "instruction", "instruction input", "instruction input",
+                                                       "system instruction", "messages", "messages", "prompt", "shared"]
+    assert got[6][1] == [("user", n) for n in NASTY] * 3 and got[7][1] == [("to\nol\\n", "x"), ("", "")]
+    assert got[1][1] == [("user", "5"), ("assistant", "")]
+    assert got[9][1] == [("user", "1.25"), ("assistant", "true")] and got[10][1] == [("user", "\"}, {]: \\"), ("assistant", "r")]
+    torn = spark.createDataFrame([('{"prompt": "\\q", "response": "b"}',), ('{"messages": [{"role": "a", "content": "\\u12"}]}',)],
+                                 "record string")
+    assert [(r.layout, r.turns) for r in chat.canonical_turns(torn, "record").collect()] == [(None, [])] * 2
 
 
 def test_a_turn_above_the_parsers_limit(spark):
@@ -155,7 +171,7 @@ def test_a_turn_above_the_parsers_limit(spark):
 
 def test_the_query_fails_for_a_record_that_it_cannot_read(spark, monkeypatch):
     monkeypatch.setattr(chat, "MAPPINGS", ())
-    monkeypatch.setattr(chat.canonical_turns, "__defaults__", ((), chat.LONG_BYTES))
+    monkeypatch.setattr(chat.canonical_turns, "__defaults__", ((),))
     with pytest.raises(Exception, match="record without a layout"):
         queries.op8_chat_formatting(spark, SF).collect()
 
@@ -190,6 +206,18 @@ def test_pages_of_other_shapes(spark):
     assert html.fit(df.limit(0)) == {} and html.extract(df.limit(0), {}).count() == 0
 
 
+@pytest.mark.parametrize("inside", ['<svg class="icon" width="9"/>', "<math/>", "<svg><path d='M0'/></svg>", '<svg viewBox="0 0 1 1" />'])
+def test_self_closing_drawings_end_where_they_end(inside):
+    before, after = " ".join(f"b{i}" for i in range(50)), " ".join(f"a{i}" for i in range(51))
+    page = f"<html><body><nav>Home About</nav><article><p>{before} {inside} {after}</p></article></body></html>"
+    assert html.Extractor({})(page).split() == [*before.split(), *after.split()]
+
+
+def test_formulas_are_text():
+    page = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds for all of the words here.</p></article>"
+    assert html.Extractor({})(page) == "So x=2 holds for all of the words here."
+
+
 def test_boilerplate_inside_an_article():
     """Neither its length nor how often labelled pages show it parts the text."""
     weights = {"div.ad": -9.7, "nav": -9.7, "form": -8.0, "aside": -9.0, "article": 5.0, "body": 12.0, "p": 2.0}

@@ -41,12 +41,13 @@ def hits(docs, bench, window=13):
 def check_contamination(spark, docs, bench, **options):
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, n_hit string")
     b = spark.createDataFrame(bench, "item_id long, text string")
-    got = decontam.contamination(df, b, **options).select("row.doc_id", "n_words", "n_hit", "matches").collect()
+    got = decontam.contamination(df, b, **options).select("row.doc_id", "n_words", "n_hit", "matches", "items").collect()
     want = hits(docs, bench)
     assert len(got) == len(docs)
     for r in got:
         assert (r.n_words, r.n_hit) == want[r.doc_id][:2], r.doc_id
-        assert {m.item_id for m in r.matches} == {None if i is None else str(i) for i in want[r.doc_id][2]}
+        assert set(r.items) == {str(i) for i in want[r.doc_id][2] if i is not None} and len(r.items) == len(set(r.items))
+        assert {m.item_id for m in r.matches} <= {None, *r.items}
     kept = decontam.decontaminate(df, b, **options)
     assert kept.columns == df.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, (n, h, _) in want.items() if not (h and 20 * h >= n)}
@@ -85,6 +86,15 @@ def test_longest_match_and_its_place(spark):
     assert found == {1: [("9", 0, 2, 30)], 2: [("9", 5, 1, 20)], 3: []}
 
 
+def test_equal_items_are_searched_once(spark):
+    """A third of a benchmark is one item: a match of it is there once, its ids too."""
+    item = " ".join(f"k{i}" for i in range(20))
+    bench = [(i, item) for i in range(300)] + [(300 + i, " ".join(f"m{i}x{j}" for j in range(15))) for i in range(600)]
+    got = check_contamination(spark, [(1, " z ".join([item] * 500)), (2, "nothing here")], bench)
+    assert len(got[0].matches) + len(got[1].matches) == 500
+    assert sorted(len(r.items) for r in got) == [0, 300]
+
+
 def test_contamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
@@ -249,6 +259,16 @@ def test_unseen_sentences():
     assert found("A town of 12 schools, 3,450 people and version 2.0.") == []
 
 
+@pytest.mark.parametrize("text", ["server ip 1.2.3." + "9" * 5000, "my ip is " + "0" * 6000 + "1.2.3.4", "ip: 1.2.3." + "0" * 9000,
+                                  "card " + "4" * 5000, "call +" + "5" * 5000, "ip " + "f" * 5000 + "::1"])
+def test_numbers_of_any_length(text):
+    field = pii.train()
+    starts = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+    for label in range(len(pii.KINDS) + 1):
+        pii.added_spans(text, starts, np.full(len(starts), label), [])
+    assert field and all(pii._is(k, w) in (True, False) for k in pii.KINDS for w in text.split())
+
+
 def test_personal_data_of_a_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "😀 a@b.co 1.2.3.4"), (-3, "😀 a@b.co 1.2.3.4")], docs.schema)
