@@ -2,14 +2,14 @@
 
 A line's set is its distinct ``shingle``-character windows (UTF-16 units of
 the trimmed, lower-cased line; a shorter line is one shingle). Equal lines
-are one class, known by a 64-bit hash of the normalised line, and everything
-up to the last join is done once per class. ``bands`` x ``rows`` minhashes are
+are one class, known by a 64-bit hash of the normalised line; they collapse
+in the aggregation's map side, so no text is shuffled for it. ``bands`` x ``rows`` minhashes are
 taken in one aggregation over the exploded shingles; classes that share a band
 are linked to the band's smallest class, each link is confirmed on the full
 sets, and a distributed union-find makes the components. Bands that still hold
 several are tried with their largest class as another hub; what is open then,
-in bands of four classes or more, is paired exactly by shared rare shingles.
-The first line of each component, by doc_id then line number, is kept.
+in bands of four classes or more, is paired across components as far as set
+sizes and a longer sketch allow, and confirmed. The first line of each component, by doc_id then line number, is kept.
 
 The defaults are chosen from one-word edits of lines: at similarity 0.55 of
 8-character shingles 91% of the edits of all lines of the test corpus are
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from basketlens.llm.common import drop, stage
 from basketlens.llm.components import connected_components
-from basketlens.llm.rare import rare_pairs
 
 #: pairs whose shingles one task counts
 _TASK_PAIRS = 2000
@@ -112,15 +111,40 @@ def _open_bands(shared: DataFrame, links: DataFrame, classes: int) -> DataFrame:
     return stage(marked.join(mixed, "key"), "line-rest")
 
 
+def _open_pairs(rest: DataFrame, texts: DataFrame, shingle: int, percent: int, n: int = 128) -> DataFrame:
+    """Pairs of lines of one open band but different components that may be
+    similar enough: the sizes of their sets allow it, and of ``n`` further
+    minhashes no fewer agree than at the threshold but for four standard
+    deviations (a pair at the threshold is missed with probability 3e-5, far
+    less than by the bands themselves). A band's largest component meets the
+    others, not itself."""
+    p = percent / 100
+    least = int(n * p - 4 * (n * p * (1 - p)) ** 0.5)
+    sets = _shingles(texts.join(rest.select("id").distinct(), "id"), "norm", shingle, "id").distinct()
+    sketch = sets.groupBy("id").agg(F.count(F.lit(1)).alias("size"), *[
+        F.min(F.hash(F.lit(_seed(1000 + k)), F.col("s"))).alias(f"m{k}") for k in range(n)])
+    sketch = sketch.select("id", "size", F.array(*[f"m{k}" for k in range(n)]).alias("m"))
+    often = (rest.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key")
+             .agg(F.max_by("c", "k").alias("most")))
+    met = stage(rest.join(often, "key").join(sketch, "id"), "line-sketches")
+    few = met.where("c != most").select("key", F.col("id").alias("a"), F.col("c").alias("ac"), F.col("size").alias("a_size"),
+                                        F.col("m").alias("am"))
+    agree = F.size(F.filter(F.zip_with("m", "am", lambda x, y: x == y), lambda same: same))
+    pairs = few.join(met, (few["key"] == met["key"]) & (met["c"] != few["ac"]) & ((met["c"] == met["most"]) | (few["a"] < met["id"]))
+                     & (F.least("size", "a_size") * 100 >= F.greatest("size", "a_size") * percent) & (agree >= least))
+    return pairs.select(F.least("a", "id").alias("hub"), F.greatest("a", "id").alias("id")).distinct()
+
+
 def _components(rows: DataFrame, shingle: int, percent: int, bands: int, size: int) -> DataFrame:
     """``rid, doc_id, line_no, first`` of every line that is not blank;
     ``first`` (doc_id, line_no, rid) is the kept line of its component."""
     lines = _lines(rows)
     placed = stage(lines.select("rid", "doc_id", "line_no", "id"), "lines")
-    texts = stage(lines.select("id", "norm").dropDuplicates(["id"]), "line-texts")
-    buckets = _bands(texts, shingle, bands, size)
+    buckets = _bands(lines, shingle, bands, size)
     shared = stage(buckets.join(buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
                                 .where("lo != hi").select("key"), "key"), "line-bands")
+    texts = stage(lines.select("id", "norm").join(shared.select("id").distinct(), "id", "left_semi")
+                  .dropDuplicates(["id"]), "line-texts")
     tried = stage(_hub_pairs(shared, F.min), "line-pairs")
     links = stage(_verified(tried, texts, shingle, percent), "line-links")
     spent = [shared, texts, tried]
@@ -131,8 +155,7 @@ def _components(rows: DataFrame, shingle: int, percent: int, bands: int, size: i
         if classes == 3:
             pairs = _hub_pairs(rest.select("key", "id"), F.max)
         else:
-            open_ = texts.join(rest.select("id", "c").distinct(), "id")
-            pairs = rare_pairs(_shingles(open_, "norm", shingle, "id", "c").distinct(), percent)
+            pairs = _open_pairs(rest, texts, shingle, percent)
         pairs = stage(pairs.join(tried, ["hub", "id"], "left_anti"), "line-pairs")
         spent += [pairs]
         if pairs.isEmpty():
