@@ -124,6 +124,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express at the size of the SQL check
 ORACLE_SQL: dict[str, str] = {
+    # shingle sets, pairs by shared shingles, and what is reachable over the links
+    "op1_minhash_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        e AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b
+              ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        l AS (SELECT a, b FROM e JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b
+              WHERE 100 * common >= 75 * (x.n + y.n - common)),
+        m AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT DISTINCT a AS doc_id, a AS seen FROM m UNION SELECT r.doc_id, m.b FROM r JOIN m ON m.a = r.seen),
+        c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+               coalesce(component_id, doc_id) = doc_id AS kept
+        FROM d LEFT JOIN z USING (doc_id) LEFT JOIN c USING (doc_id)""",
     "op4_topk_search": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
@@ -152,6 +170,26 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
         FROM w, c""",
+    # windows as texts, for documents of each length that an item's windows have
+    "op7_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+        k AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win
+              FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
+                    FROM b WHERE len(w) > 0)),
+        x AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+              FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k))),
+        h AS (SELECT DISTINCT doc_id, i, n, item FROM x JOIN k USING (n, win)),
+        p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM h)
+              GROUP BY doc_id),
+        t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)""",
     # the template adds 12 characters and the role, a line break and 11 characters a turn, and a backslash
     # for each "<|" and each "<", backslashes, "|"
     "op8_chat_formatting": r"""
