@@ -17,7 +17,7 @@ GRAINS: tuple[str, ...] = ("day", "month", "quarter", "year")
 COARSE_GRAINS: tuple[str, ...] = ("month", "quarter", "year")
 
 _TRUNC_UNIT = {"month": "MM", "quarter": "quarter", "year": "year"}
-_MONTHS_IN = {"month": 1, "quarter": 3, "year": 12}
+MONTHS_IN = {"month": 1, "quarter": 3, "year": 12}
 
 
 def check_grains(grains: Iterable[str], allowed: Sequence[str] = GRAINS) -> tuple[str, ...]:
@@ -68,7 +68,7 @@ def period_days(start: str | Column, grain: str) -> Column:
     d = _col(start).cast("date")
     if grain == "day":
         return F.lit(1)
-    return F.date_diff(F.add_months(d, _MONTHS_IN[grain]), d).cast("int")
+    return F.date_diff(F.add_months(d, MONTHS_IN[grain]), d).cast("int")
 
 
 def period_label(start: str | Column, grain: str) -> Column:

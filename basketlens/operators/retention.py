@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import bounded_broadcast
 from ..functions.metrics import ratio
-from ..functions.periods import (COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, by_grain, check_grains,
-                                 period_index, period_totals)
+from ..functions.periods import (COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, MONTHS_IN, by_grain, check_grains,
+                                 period_index)
 
 #: fixed values: names that the published metric reports
 METHODS = ("drop_nl_users", "keep_nl_users")
@@ -31,52 +31,62 @@ def activity_patterns(cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS)
 
     ``client, time_period, company, periods, users`` where ``periods`` is
     the ascending array of period indexes in which a user bought at the
-    company. Each array holds at most one entry per calendar period, and
-    users sharing a history collapse to one row, so the pair expansion that
-    follows is paid per distinct history, not per user. A history is a set,
-    so the cohort need not be free of duplicates.
+    company. A user's months are gathered once (at most one entry per
+    calendar month, duplicates collapse before the shuffle) and users sharing
+    them become one row; quarters and years are made of whole months, so
+    their histories are derived per distinct history, not per user. Rows of
+    one period and company may repeat a history, their users add up.
     """
     grains = check_grains(grains, COARSE_GRAINS)
-    active = period_totals(cohort, ["client", "unique_mem_id", "company"], grains)
-    active = active.select(
-        "client", "time_period", "unique_mem_id", "company",
-        by_grain("time_period", lambda g: period_index("date", g), grains).cast("int").alias("p"))
-    per_user = active.groupBy("client", "time_period", "unique_mem_id", "company").agg(
-        F.array_sort(F.collect_list("p")).alias("periods"))
-    return per_user.groupBy("client", "time_period", "company", "periods").agg(F.count(F.lit(1)).alias("users"))
+    months = cohort.select("client", "unique_mem_id", "company", period_index("date", "month").cast("int").alias("m"))
+    per_user = months.groupBy("client", "unique_mem_id", "company").agg(F.array_sort(F.collect_set("m")).alias("months"))
+    same = per_user.groupBy("client", "company", "months").agg(F.count(F.lit(1)).alias("users"))
 
+    def history(grain: str) -> Column:
+        # sorted months give sorted periods
+        n = MONTHS_IN[grain]
+        return F.col("months") if n == 1 else F.array_distinct(
+            F.transform("months", lambda m: F.floor(m / n).cast("int")))
 
-def _tag_with(method: str):
-    # one-argument lambda: PySpark reads a second parameter as the element index
-    return lambda d: F.struct(F.lit(method).alias("method"), d.alias("d"))
+    return same.select("client", "company", "users", F.inline(F.array(*[
+        F.struct(F.lit(g).alias("time_period"), history(g).alias("periods")) for g in grains])))
 
 
-def retention_counts(patterns: DataFrame, methods: Sequence[str] = METHODS) -> DataFrame:
-    """``client, time_period, company, method, b, d, retained`` with ``b <= d``
-    period indexes: users active at ``b`` and again at ``d``.
+def _counts(patterns: DataFrame) -> DataFrame:
+    """``client, time_period, company, b, d, keep, drop``: users active at
+    ``b`` and at ``d >= b``, and those of them active in every period between.
 
-    ``keep_nl_users`` (A23) counts any later active period. ``drop_nl_users``
-    (A24) stops at the first skipped period: with the history sorted and
-    de-duplicated, ``period - position`` is constant exactly along a run of
-    consecutive periods, so ``d`` must share ``b``'s run key.
+    A history is sorted and free of duplicates, so what follows ``b`` is its
+    tail, and the j-th entry of the tail is reached without a gap exactly if
+    it is ``b + j``.
     """
+    later = patterns.select("client", "time_period", "company", "users", "periods", F.posexplode("periods").alias("i", "b"))
+    pairs = later.select("client", "time_period", "company", "users", "b",
+                         F.posexplode(F.slice("periods", F.col("i") + 1, F.size("periods"))).alias("j", "d"))
+    return pairs.groupBy("client", "time_period", "company", "b", "d").agg(
+        F.sum("users").alias("keep"), F.sum(F.when(F.col("d") - F.col("b") == F.col("j"), F.col("users"))).alias("drop"))
+
+
+def _by_method(counts: DataFrame, methods: Sequence[str]) -> DataFrame:
+    """``method, retained`` in place of ``keep`` and ``drop``, a row for each method that has users."""
     bad = [m for m in methods if m not in METHODS]
     if bad or not methods:
         raise ValueError(f"unknown method(s) {bad or methods!r}; expected a subset of {list(METHODS)}")
-    base = patterns.select("client", "time_period", "company", "users", "periods",
-                           F.posexplode("periods").alias("i", "b"))
-    tagged = []
-    for m in methods:
-        if m == "keep_nl_users":
-            later = F.filter("periods", lambda x: x >= F.col("b"))
-        else:
-            later = F.filter("periods", lambda x, j: (j >= F.col("i")) & (x - j == F.col("b") - F.col("i")))
-        tagged.append(F.transform(later, _tag_with(m)))
-    # every method's pairs come out of the same exploded row, in one pass
-    pairs = base.select("client", "time_period", "company", "users", "b",
-                        F.inline(tagged[0] if len(tagged) == 1 else F.concat(*tagged)))
-    return pairs.groupBy("client", "time_period", "company", "method", "b", "d").agg(
-        F.sum("users").alias("retained"))
+    column = {"keep_nl_users": "keep", "drop_nl_users": "drop"}
+    return counts.select(
+        *[c for c in counts.columns if c not in column.values()],
+        F.inline(F.array(*[F.struct(F.lit(m).alias("method"), F.col(column[m]).alias("retained")) for m in methods]))
+    ).where("retained is not null")
+
+
+def retention_counts(patterns: DataFrame, methods: Sequence[str] = METHODS) -> DataFrame:
+    """``client, time_period, company, method, b, d, retained`` with ``b <= d``
+    period indexes: users active at ``b`` and again at ``d``.
+
+    ``keep_nl_users`` (A23) counts any later active period,
+    ``drop_nl_users`` (A24) stops at the first skipped period.
+    """
+    return _by_method(_counts(patterns), methods)
 
 
 def retention(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] = COARSE_GRAINS,
@@ -89,12 +99,12 @@ def retention(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] = COARS
     method``. Both counts are divided by the panel size at ``date_base``.
     """
     grains = check_grains(grains, COARSE_GRAINS)
-    counts = retention_counts(activity_patterns(cohort, grains), methods)
-    base_users = F.sum(F.when(F.col("d") == F.col("b"), F.col("retained"))).over(
-        Window.partitionBy("client", "time_period", "company", "method", "b"))
+    # users active at b itself are the same by either method, so the window runs before the methods part
+    base_users = F.sum(F.when(F.col("d") == F.col("b"), F.col("keep"))).over(
+        Window.partitionBy("client", "time_period", "company", "b"))
+    counts = _by_method(_counts(activity_patterns(cohort, grains)).withColumn("base_users", base_users), methods)
     dated = counts.select(
-        "client", "time_period", "company", "method", "retained",
-        base_users.alias("base_users"),
+        "client", "time_period", "company", "method", "retained", "base_users",
         by_grain("time_period", lambda g: index_to_start("b", g), grains).alias("date_base"),
         by_grain("time_period", lambda g: index_to_start("d", g), grains).alias("date"),
         (F.col("d") - F.col("b")).cast("int").alias("period_elapsed"))

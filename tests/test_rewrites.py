@@ -102,7 +102,7 @@ def test_bins(spark, seed):
 def test_retention(spark, seed):
     recs = random_rows(seed)
     coh = spark.createDataFrame(recs + recs[:100], SCHEMA)
-    for g in ("month", "quarter"):
+    for g in ("month", "quarter", "year"):
         active = defaultdict(set)
         for c, d, u, co, *_ in recs:
             active[c, u, co].add(number(d, g))
