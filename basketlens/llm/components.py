@@ -51,3 +51,16 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         before = after
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+
+
+def extended_components(label: DataFrame, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """``label`` (a result of ``connected_components``) after further edges:
+    edges inside a component are dropped, the others link its smallest id, so
+    the rounds run over what is new alone."""
+    x, y = (label.select(F.col("id").alias(c), F.col("component").alias(f"{c}_component")) for c in (a, b))
+    across = (edges.select(a, b).join(x, a, "left").join(y, b, "left")
+              .select(F.coalesce(f"{a}_component", a).alias("x"), F.coalesce(f"{b}_component", b).alias("y")))
+    over = connected_components(across, "x", "y")
+    moved = (label.join(over.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+             .select("id", F.coalesce("to", "component").alias("component")))
+    return moved.unionByName(over.join(label.select("id"), "id", "left_anti").select("id", "component"))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import GOLDEN, drop, mix64, seeds, slices, stage
-from basketlens.llm.components import connected_components
+from basketlens.llm.components import connected_components, extended_components
 
 #: characters hashed at a time, so that the arrays stay in a core's cache
 _UNITS = 1 << 17
@@ -155,9 +155,8 @@ def _hub_pairs(buckets: DataFrame, pick) -> DataFrame:
             .select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")).distinct())
 
 
-def _open_bands(shared: DataFrame, links: DataFrame, classes: int) -> DataFrame:
+def _open_bands(shared: DataFrame, label: DataFrame, classes: int) -> DataFrame:
     """``key, id, c``: the bands of at least so many classes that hold several components."""
-    label = connected_components(links, "hub", "id")
     marked = shared.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = (marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
              .where((F.col("lo") != F.col("hi")) & (F.col("n") >= classes)).select("key"))
@@ -253,16 +252,18 @@ def _components(rows: DataFrame, shingle: int, percent: int, bands: int, size: i
                   .dropDuplicates(["id"]), "line-texts")
     tried = stage(_hub_pairs(shared, F.min), "line-pairs")
     links = stage(_verified(tried, texts, shingle, percent), "line-links")
+    label = stage(connected_components(links, "hub", "id"), "line-label")
     # two hubs cover every pair of a band of three classes
-    second = _open_bands(shared, links, 3)
+    second = _open_bands(shared, label, 3)
     pairs = stage(_hub_pairs(second.select("key", "id"), F.max).join(tried, ["hub", "id"], "left_anti"), "line-pairs")
-    more = stage(links.unionByName(_verified(pairs, texts, shingle, percent)), "line-links")
-    drop(second, tried, pairs, links)
-    rest = _open_bands(shared, more, 4)
-    links = stage(more.unionByName(_open_links(rest, texts, shingle, percent)), "line-links")
-    spent = [shared, texts, more, rest]
-
-    label = connected_components(links, "hub", "id")
+    more = stage(_verified(pairs, texts, shingle, percent), "line-links")
+    wider = stage(extended_components(label, more, "hub", "id"), "line-label")
+    drop(second, tried, pairs, links, more, label)
+    rest = _open_bands(shared, wider, 4)
+    links = stage(_open_links(rest, texts, shingle, percent), "line-links")
+    spent = [shared, texts, wider, rest]
+
+    label = extended_components(wider, links, "hub", "id")
     firsts = placed.groupBy("id").agg(F.min(F.struct("doc_id", "line_no", "rid")).alias("first"))
     named = stage(firsts.join(label, "id", "left").select("id", "first", F.coalesce("component", "id").alias("c")),
                   "line-firsts")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.llm import lines, minhash
-from basketlens.llm.components import connected_components
+from basketlens.llm.components import connected_components, extended_components
 from basketlens.llm.rare import rare_pairs
 from llm_tools import SF, Groups
 
@@ -106,6 +106,10 @@ def test_components(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {x: groups.root(x) for x in list(groups.up)}
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+    for cut in (0, 1, len(edges) // 2, len(edges)):  # the rest follows later
+        early, late = (spark.createDataFrame(part, "a long, b long") for part in (edges[:cut], edges[cut:]))
+        wider = extended_components(connected_components(early, "a", "b"), late.where("b is not null"), "a", "b")
+        assert sorted(map(tuple, wider.collect())) == sorted(got.items())
 
 
 SPACE = " \t\n\r\x0b\x0c"
