@@ -2,8 +2,11 @@
 plain Python, on the small tables."""
 
 import hashlib
+import math
 import os
 import sys
+import zlib
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
@@ -12,7 +15,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
 
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from basketlens.llm import lines, queries  # noqa: E402
+from basketlens.llm import langid, lines, queries  # noqa: E402
 from basketlens.llm.common import read, stage  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 from llm_tools import SF  # noqa: E402
@@ -62,6 +65,60 @@ def test_decontamination_query(spark):
     assert not want
 
 
+def slots(word):
+    raw = b" " + word.encode() + b" "
+    return [(int.from_bytes(raw[i:i + 3], "big") * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for i in range(len(raw) - 2)]
+
+
+def script(c):
+    return [name for start, name in langid._SCRIPTS if start <= ord(c)][-1]
+
+
+def test_language_query(spark):
+    """Counts, scores and best paths of the whole table in plain Python."""
+    docs = [(r.doc_id, r.text, r.lang) for r in read(spark, SF, "documents").collect()]
+    held = {i for i, _, _ in docs if zlib.crc32(str(i).encode()) % 4 == 2}
+    grams, scripts = defaultdict(Counter), defaultdict(Counter)
+    for i, t, lang in docs:
+        if i not in held and t is not None and lang is not None:
+            grams[lang].update(x for w in t.lower().split() for x in slots(w))
+            scripts[lang].update(script(c) for c in t.lower() if ord(c) >= 0xAA or "a" <= c <= "z")
+    langs = sorted(grams)
+    total = {x: sum(grams[x].values()) + 0.1 * 2**16 for x in langs}
+    open_to = {k: [x for x in langs if scripts[x][k] >= 0.005 * max(1, scripts[x].total())] or langs for k in langid.SCRIPTS}
+    known = {}
+
+    def scored(w):
+        if w not in known:
+            first = next((c for c in w if c.isalpha()), None)
+            known[w] = [0.0] * len(langs) if first is None else [
+                sum(math.log((grams[x][k] + 0.1) / total[x]) for k in slots(w)) - 100 * (x not in open_to[script(first)]) for x in langs]
+        return known[w]
+
+    def path(rows):
+        best, back = list(rows[0]), []
+        for row in rows[1:]:
+            top = max(range(len(langs)), key=best.__getitem__)
+            back.append([k if best[k] >= best[top] - 12 else top for k in range(len(langs))])
+            best = [best[j] - 12 * (j != k) + x for k, (j, x) in enumerate(zip(back[-1], row, strict=True))]
+        out = [max(range(len(langs)), key=best.__getitem__)]
+        for step in reversed(back):
+            out.append(step[out[-1]])
+        return out[::-1]
+
+    got = {r.doc_id: (r.held_out, r.lang_pred, round(r.score, 6)) for r in queries.QUERIES["op10_language_id"](spark, SF).collect()}
+    assert len(got) == len(docs)
+    for i, t, _ in docs:
+        ws = (t or "").lower().split()
+        if any(c.isalpha() for w in ws for c in w):
+            votes = Counter(k for k, w in zip(path([scored(w) for w in ws]), ws, strict=True) if any(c.isalpha() for c in w))
+            n, k = max((n, -k) for k, n in votes.items())
+            want = (i in held, langs[-k], round(n / votes.total(), 6))
+        else:
+            want = (i in held, "und", 0.0)
+        assert got[i] == want, i
+
+
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14)) and [n for n, _ in corpus_pipeline.STAGES] == [
