@@ -114,8 +114,10 @@ def stored_base_table(spark: SparkSession, sf_dir: str, layout: str | None = "mo
         return _handle(spark, path, lambda: read_base(spark, path))
 
 
-#: rows of the base for each bucket of the tables stored by user
-BUCKET_ROWS = 4_000_000
+#: rows of the base for each bucket of the tables stored by user. A bucket is
+#: one task, which holds its totals for every grain at once (with the joins of
+#: the metrics up to 2 KB for each row of the base)
+BUCKET_ROWS = 250_000
 #: buckets at least: fewer would leave cores idle
 LEAST_BUCKETS = 8
 
@@ -168,6 +170,16 @@ def _buckets(spark: SparkSession, sf_dir: str, base: DataFrame) -> int:
     return _BUCKETS[key]
 
 
+def partitions(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partitions for rows of the stored base: one for ``BUCKET_ROWS`` of them;
+    left to the session where the base is not stored."""
+    from ..session import is_connect
+
+    if is_connect(spark):
+        return None
+    return _buckets(spark, sf_dir, stored_base_table(spark, sf_dir))
+
+
 def stored_by_user(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of ``USER_TABLES``, derived once from the stored base and kept in
     the shared folder bucketed by user. A user has a row per day at most (per
