@@ -9,6 +9,26 @@ from pyspark.sql import functions as F
 ROW_BYTES = 96
 
 
+#: what a user's rows of a period are joined on
+USER_PERIOD = ("time_period", "date", "unique_mem_id")
+
+
+def dealt(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """``df`` by the hash of ``keys`` in so many partitions, or as it is
+    without a number. Callers that know the rows of their input give a number
+    that grows with them, so that a task's rows do not; the session's number of
+    shuffle partitions and the sizes to which AQE merges them know nothing of it."""
+    return df if partitions is None else df.repartition(partitions, *keys)
+
+
+def by_user_period(df: DataFrame, partitions: int | None) -> DataFrame:
+    """A side of a join on ``USER_PERIOD``. Tables that lie by user meet as
+    they are, unless the session asks for all keys of a join: it would shuffle
+    both sides, so they are dealt in ``partitions`` here."""
+    every = df.sparkSession.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    return dealt(df, partitions if every == "true" else None, *USER_PERIOD)
+
+
 def _bytes(raw: str) -> int:
     raw = str(raw).strip().lower()
     mult = 1

@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import dealt
+
 GRAINS: tuple[str, ...] = ("day", "month", "quarter", "year")
 #: grains used by the per-client metrics (the shared panel also has ``day``)
 COARSE_GRAINS: tuple[str, ...] = ("month", "quarter", "year")
@@ -98,12 +100,17 @@ def finest(grains: Iterable[str]) -> str:
     return "day" if "day" in grains else "month"
 
 
-def period_totals(df: DataFrame, keys: Sequence[str], grains: Sequence[str], *sums: str) -> DataFrame:
+def period_totals(df: DataFrame, keys: Sequence[str], grains: Sequence[str], *sums: str, partitions: int | None = None,
+                  by: Sequence[str] = ()) -> DataFrame:
     """Sums of ``sums`` per ``keys`` and period, for every grain.
 
     Rows are summed to the finest grain first and only those totals are
     repeated for each grain, so what is fanned out shrinks with activity.
     Without ``sums`` it lists the distinct keys of every period.
+
+    With ``partitions``, rows are summed to days and gathered by ``by`` (some
+    of ``keys``) in so many partitions; all further totals, and what else is
+    grouped by ``by``, are made there.
     """
     grains = check_grains(grains)
 
@@ -111,6 +118,8 @@ def period_totals(df: DataFrame, keys: Sequence[str], grains: Sequence[str], *su
         grouped = rows.groupBy(*by)
         return grouped.agg(*[F.sum(c).alias(c) for c in sums]) if sums else rows.select(*by).distinct()
 
+    if partitions is not None:
+        df = dealt(total(df.select(*keys, "date", *sums), *keys, "date"), partitions, *by)
     fine = total(df.select(*keys, period_start("date", finest(grains)).alias("date"), *sums), *keys, "date")
     return total(expand_periods(fine, grains), *keys, "time_period", "date")
 
