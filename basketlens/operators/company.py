@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import bounded_broadcast
+from ..functions.joins import USER_PERIOD, bounded_broadcast, by_user_period
 from ..functions.metrics import MONEY_SUM, ratio
 from ..functions.periods import (COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, by_grain, check_grains,
                                  period_label, period_totals)
 
 
 def company_metrics(cohort: DataFrame, cadence: DataFrame, grains: Sequence[str] = COARSE_GRAINS,
-                    how: str = "inner") -> DataFrame:
+                    how: str = "inner", partitions: int | None = None) -> DataFrame:
     """Per client x company x period: transactions and spend per buying
     user, average transaction, and the period's days between orders.
 
@@ -28,7 +28,7 @@ def company_metrics(cohort: DataFrame, cadence: DataFrame, grains: Sequence[str]
     grains = check_grains(grains, COARSE_GRAINS)
     keys = ["client", "time_period", "date", "company"]
     per_user = period_totals(cohort, ["client", "company", "vertical", "sub_vertical", "unique_mem_id"], grains,
-                             "transactions", "amount")
+                             "transactions", "amount", partitions=partitions, by=["unique_mem_id", "company"])
     agg = per_user.groupBy(*keys, "vertical", "sub_vertical").agg(
         F.sum("transactions").alias("transactions"),
         F.sum("amount").cast(MONEY_SUM).alias("amount"),
@@ -44,7 +44,8 @@ def company_metrics(cohort: DataFrame, cadence: DataFrame, grains: Sequence[str]
 
 
 def state_income_metrics(base: DataFrame, tags: DataFrame, panel: DataFrame, income_order: DataFrame,
-                         grains: Sequence[str] = COARSE_GRAINS, bands: int | None = None) -> DataFrame:
+                         grains: Sequence[str] = COARSE_GRAINS, bands: int | None = None,
+                         partitions: int | None = None) -> DataFrame:
     """Transactions and spend per panel user by period, home state,
     region, income band and company, with a display label.
 
@@ -54,13 +55,14 @@ def state_income_metrics(base: DataFrame, tags: DataFrame, panel: DataFrame, inc
     state or band. Users without a tag in the period drop out. The base
     rows are summed to user x company x month, then period, before the join,
     so the join input shrinks with purchase frequency. ``bands`` is a bound
-    on the rows of ``income_order``, if the caller knows one.
+    on the rows of ``income_order``, if the caller knows one; ``partitions``
+    those of the join if the session asks for a shuffle.
     """
     grains = check_grains(grains, COARSE_GRAINS)
     per_user = period_totals(base, ["unique_mem_id", "company", "vertical", "sub_vertical"], grains,
                              "transactions", "amount")
-    tagged = per_user.join(tags.select("time_period", "date", "unique_mem_id", "census_cat", "state", "region"),
-                           ["time_period", "date", "unique_mem_id"])
+    tagged = by_user_period(per_user, partitions).join(
+        tags.select(*USER_PERIOD, "census_cat", "state", "region"), list(USER_PERIOD))
     agg = tagged.groupBy("time_period", "date", "state", "census_cat", "company", "vertical", "sub_vertical",
                          "region").agg(F.sum("transactions").alias("transactions"),
                                        F.sum("amount").cast(MONEY_SUM).alias("amount"))

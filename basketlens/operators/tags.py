@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import bounded_broadcast
+from ..functions.joins import USER_PERIOD, bounded_broadcast, by_user_period
 from ..functions.metrics import income_band
 from ..functions.periods import GRAINS, check_grains, expand_periods
 
@@ -58,10 +58,12 @@ def user_period_home_state(month_state: DataFrame, grains: Sequence[str] = GRAIN
             .select("time_period", "date", "unique_mem_id", "state", "region"))
 
 
-def geo_income_tags(income: DataFrame, month_state: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
+def geo_income_tags(income: DataFrame, month_state: DataFrame, grains: Sequence[str] = GRAINS,
+                    partitions: int | None = None) -> DataFrame:
     """``unique_mem_id, date, census_cat, time_period, state, region``
-    for user-periods that have both an income and a home state."""
-    inc = user_period_income(income, grains)
-    home = user_period_home_state(month_state, grains)
-    return inc.join(home, ["time_period", "date", "unique_mem_id"]).select(
+    for user-periods that have both an income and a home state, in
+    ``partitions`` if the session asks for a shuffle."""
+    inc = by_user_period(user_period_income(income, grains), partitions)
+    home = by_user_period(user_period_home_state(month_state, grains), partitions)
+    return inc.join(home, list(USER_PERIOD)).select(
         "unique_mem_id", "date", "census_cat", "time_period", "state", "region")
