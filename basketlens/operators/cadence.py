@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import dealt
 from ..functions.periods import COARSE_GRAINS, check_grains, period_totals
 
 
-def purchase_pairs(cohort: DataFrame, same_day: str = "strict") -> DataFrame:
+def purchase_pairs(cohort: DataFrame, same_day: str = "strict", partitions: int | None = None) -> DataFrame:
     """Consecutive purchase days per (client, user, company).
 
     ``client, unique_mem_id, company, date_base, date, days_from_last_order,
@@ -25,12 +26,14 @@ def purchase_pairs(cohort: DataFrame, same_day: str = "strict") -> DataFrame:
     a rank and pairing rank r with rank r+1: a later day pairs only if it
     holds exactly one row, and then once per row of the earlier day.
     ``'dense'`` pairs every row of the later day with every row of the
-    earlier one.
+    earlier one. ``partitions``: those in which a user's days at a company are
+    gathered.
     """
     if same_day not in ("strict", "dense"):
         raise ValueError(f"same_day must be 'strict' or 'dense', got {same_day!r}")
     keys = ["client", "unique_mem_id", "company"]
     daily = cohort.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("n"))
+    daily = dealt(daily, partitions, "unique_mem_id", "company")
     w = Window.partitionBy(*keys).orderBy("date")
     lagged = daily.select(
         *keys, F.col("date").alias("date_base"), F.col("n").alias("n_base"),
@@ -96,7 +99,7 @@ def period_gap(daily_gap: DataFrame, grains: Sequence[str] = COARSE_GRAINS) -> D
 
 
 def order_cadence(cohort: DataFrame, grains: Sequence[str] = COARSE_GRAINS, same_day: str = "strict",
-                  window_days: int = 28, max_gap_days: int = 200) -> DataFrame:
+                  window_days: int = 28, max_gap_days: int = 200, partitions: int | None = None) -> DataFrame:
     """A18 -> A19 -> A20 in one plan."""
-    pairs = purchase_pairs(cohort, same_day)
+    pairs = purchase_pairs(cohort, same_day, partitions)
     return period_gap(rolling_gap(pairs, cohort, window_days, max_gap_days), grains)

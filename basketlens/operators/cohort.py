@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.joins import dealt
+
 
 def client_predicates(filters: DataFrame, target: DataFrame,
                       allowed_columns: Iterable[str] | None = None) -> dict[str, Column]:
@@ -91,7 +93,12 @@ def predicate_index(base: DataFrame, predicates: dict[str, Column]) -> DataFrame
             .where(F.size("clients") > 0))
 
 
-def _indexed_cohort(base: DataFrame, preds: dict[str, Column], by_row: dict[str, Column], dedupe: bool) -> DataFrame:
+#: what rows are dealt by before they are compared: a user's rows of one day at a company are together
+TOGETHER = ("unique_mem_id", "company", "date")
+
+
+def _indexed_cohort(base: DataFrame, preds: dict[str, Column], by_row: dict[str, Column], dedupe: bool,
+                    partitions: int | None) -> DataFrame:
     index = predicate_index(base, {c: p for c, p in preds.items() if c not in by_row})
 
     def matched(rows: DataFrame, how: str) -> DataFrame:
@@ -103,7 +110,7 @@ def _indexed_cohort(base: DataFrame, preds: dict[str, Column], by_row: dict[str,
     if dedupe and not by_row:  # rows of no client go before the others are compared
         rows = matched(rows, "left_semi")
     if dedupe:
-        rows = rows.distinct()
+        rows = dealt(rows, partitions, *TOGETHER).distinct()
     rows = matched(rows, "left" if by_row else "inner")
     clients = F.coalesce("_clients", F.array().cast("array<string>"))
     if by_row:
@@ -111,7 +118,8 @@ def _indexed_cohort(base: DataFrame, preds: dict[str, Column], by_row: dict[str,
     return rows.select(F.explode(clients).alias("client"), *base.columns)
 
 
-def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True, index_above: int = INDEX_ABOVE) -> DataFrame:
+def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True, index_above: int = INDEX_ABOVE,
+                  partitions: int | None = None) -> DataFrame:
     """``client`` + base columns, for every client at once.
 
     With ``dedupe`` (the reference semantics) identical base rows collapse to
@@ -123,17 +131,17 @@ def client_cohort(base: DataFrame, filters: DataFrame, dedupe: bool = True, inde
     descriptive columns only are evaluated on the distinct combinations of
     these (``predicate_index``) and joined to the rows, so the work per row
     does not grow with the clients; the others are still evaluated per row.
-    Both give the same rows.
+    Both give the same rows. ``partitions``: those in which rows are compared.
     """
     preds = client_predicates(filters, base)
     if len(preds) > index_above:
         plain = descriptive_clients(preds, base)
         if plain:
-            return _indexed_cohort(base, preds, {c: p for c, p in preds.items() if c not in plain}, dedupe)
+            return _indexed_cohort(base, preds, {c: p for c, p in preds.items() if c not in plain}, dedupe, partitions)
     any_client = reduce(lambda a, b: a | b, preds.values())
     rows = base.where(any_client)
     if dedupe:
-        rows = rows.distinct()
+        rows = dealt(rows, partitions, *TOGETHER).distinct()
     return tag_clients(rows, preds, base.columns, prefiltered=True)
 
 
