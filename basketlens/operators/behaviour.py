@@ -12,7 +12,8 @@ from ..functions.metrics import MONEY_SUM, ratio
 from ..functions.periods import COARSE_GRAINS, COARSE_PERIOD_BYTES, COARSE_PERIOD_ROWS, check_grains, period_totals
 
 
-def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] = COARSE_GRAINS) -> DataFrame:
+def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] = COARSE_GRAINS,
+                   partitions: int | None = None) -> DataFrame:
     """Users, transactions and spend per panel user, split by the
     period of each user's first purchase at the company.
 
@@ -21,10 +22,13 @@ def user_breakdown(cohort: DataFrame, panel: DataFrame, grains: Sequence[str] =
     a window minimum over (client, grain, user, company) taken *after* the
     rows are summed to one per user x company x period, so a window partition
     holds at most one row per calendar period however active the user is.
+    ``partitions``: those in which a user's days at a company are gathered for
+    the totals and the window alike.
     """
     grains = check_grains(grains, COARSE_GRAINS)
     keys = ["client", "time_period", "unique_mem_id", "company"]
-    per_period = period_totals(cohort, ["client", "unique_mem_id", "company"], grains, "transactions", "amount")
+    per_period = period_totals(cohort, ["client", "unique_mem_id", "company"], grains, "transactions", "amount",
+                               partitions=partitions, by=["unique_mem_id", "company"])
     first = F.min("date").over(Window.partitionBy(*keys))
     typed = per_period.withColumn(
         "user_type", F.when(first == F.col("date"), F.lit("New User")).otherwise(first.cast("string")))

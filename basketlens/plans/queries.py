@@ -47,6 +47,13 @@ class Inputs:
         """Totals per user, company and month, bucketed by user."""
         return tables.stored_by_user(self.spark, self.sf_dir, "user-months")
 
+    @cached_property
+    def partitions(self) -> int | None:
+        """Partitions for rows of the base or totals of them: as many as the
+        tables by user have buckets, so a task's rows stay as many however
+        large the base is."""
+        return tables.partitions(self.spark, self.sf_dir)
+
     @cached_property
     def filters(self) -> DataFrame:
         return config.client_filters(self.spark)
@@ -57,7 +64,7 @@ class Inputs:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return cohort.client_cohort(self.base, self.filters)
+        return cohort.client_cohort(self.base, self.filters, partitions=self.partitions)
 
     @cached_property
     def cohort_rows(self) -> DataFrame:
@@ -85,12 +92,13 @@ class Inputs:
                                      dimension_rows=dims.STATE_ROWS)
 
     def tags_at(self, grains) -> DataFrame:
-        return tags.geo_income_tags(self.income, self.month_state, grains)
+        return tags.geo_income_tags(self.income, self.month_state, grains, self.partitions)
 
     @cached_property
     def state_income(self) -> DataFrame:
         return company.state_income_metrics(self.months, self.tags_at(COARSE_GRAINS), self.panel_at(COARSE_GRAINS),
-                                            dims.income_order(self.spark), COARSE_GRAINS, len(dims.INCOME_BANDS))
+                                            dims.income_order(self.spark), COARSE_GRAINS, len(dims.INCOME_BANDS),
+                                            self.partitions)
 
     @cached_property
     def years(self) -> tuple:
@@ -143,7 +151,7 @@ def q_client_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_user_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return behaviour.user_breakdown(inp.cohort, inp.panel_at(COARSE_GRAINS), COARSE_GRAINS)
+    return behaviour.user_breakdown(inp.cohort, inp.panel_at(COARSE_GRAINS), COARSE_GRAINS, inp.partitions)
 
 
 def q_transaction_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,22 +159,25 @@ def q_transaction_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cadence.purchase_pairs(Inputs(spark, sf_dir).cohort)
+    inp = Inputs(spark, sf_dir)
+    return cadence.purchase_pairs(inp.cohort, partitions=inp.partitions)
 
 
 def q_rolling_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coh = Inputs(spark, sf_dir).cohort
-    return cadence.rolling_gap(cadence.purchase_pairs(coh), coh)
+    inp = Inputs(spark, sf_dir)
+    return cadence.rolling_gap(cadence.purchase_pairs(inp.cohort, partitions=inp.partitions), inp.cohort)
 
 
 def q_period_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = cadence.order_cadence(Inputs(spark, sf_dir).cohort, COARSE_GRAINS)
+    inp = Inputs(spark, sf_dir)
+    out = cadence.order_cadence(inp.cohort, COARSE_GRAINS, partitions=inp.partitions)
     return out.withColumn("days_between_orders", round6("days_between_orders"))
 
 
 def q_company_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coh = Inputs(spark, sf_dir).cohort
-    out = company.company_metrics(coh, cadence.order_cadence(coh, COARSE_GRAINS), COARSE_GRAINS)
+    inp = Inputs(spark, sf_dir)
+    gaps = cadence.order_cadence(inp.cohort, COARSE_GRAINS, partitions=inp.partitions)
+    out = company.company_metrics(inp.cohort, gaps, COARSE_GRAINS, partitions=inp.partitions)
     return out.withColumn("days_between_orders", round6("days_between_orders"))
 
 
@@ -209,7 +220,7 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_crossover(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = Inputs(spark, sf_dir)
-    return crossover.crossover(inp.months, inp.cohort, COARSE_GRAINS)
+    return crossover.crossover(inp.months, inp.cohort, COARSE_GRAINS, partitions=inp.partitions)
 
 
 def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
