@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +78,14 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def portions(batches: Iterable[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut where their texts pass a multiple of ``size`` bytes, so
+    that arrays of some numbers a byte stay small whatever the texts' lengths;
+    one text is never cut."""
+    for batch in batches:
+        part = np.cumsum(pc.fill_null(pc.binary_length(text(batch)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for at, to in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(at, to - at)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from basketlens.llm.common import slices
+from basketlens.llm.common import portions
 
 TABLE_BITS = 16
 UNKNOWN = "und"
@@ -53,8 +53,13 @@ class Model:
     def __init__(self, langs: list[str], score: np.ndarray, allowed: np.ndarray):
         self.langs, self.score, self.allowed = langs, score, allowed
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores (word x language) and whether the word has a letter."""
+    def words(self, words: list[str], most: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
+        """Scores (word x language) and whether the word has a letter; the
+        trigrams of ``most`` words are held at a time."""
+        parts = [self._words(words[at:at + most]) for at in range(0, len(words), most)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = _bytes(words)
         slot, at = trigrams(raw)
         word = np.cumsum(raw == 32)[at] - 1
@@ -80,7 +85,7 @@ def fit(docs: DataFrame) -> Model:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
-        for batch in slices(batches):
+        for batch in portions(batches, lambda b: b.column(0)):
             by_lang: dict[str, list[str]] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).append(text.lower())
@@ -166,11 +171,18 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
     ``score`` (share of the words with letters that it labels, 0 for ``und``)
     and ``spans`` (start and end word, language)."""
 
+    # the text is sent once, inside the row, unless it has to be cast
+    cast = docs.schema["text"].dataType != StringType()
+    place = docs.columns.index("text")
+
+    def texts(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column(1) if cast else batch.column(0).field(place)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2048):
+        for batch in portions(batches, texts, 1 << 22):
             ids: dict[str, int] = {}
             docs_ = [np.array([ids.setdefault(w, len(ids)) for w in t.lower().split()] if t else [], np.int64)
-                     for t in batch.column(1).to_pylist()]
+                     for t in texts(batch).to_pylist()]
             labels: dict[int, np.ndarray] = {}
             if ids and model.langs:
                 scores, letters = model.words(list(ids))
@@ -201,7 +213,8 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
                 [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(spans, kind)],
                 ["row", "lang_pred", "score", "spans"])
 
-    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    given = docs.select(row, docs["text"].cast("string").alias("text")) if cast else docs.select(row)
     spans_type = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType()),
                                        StructField("lang", StringType())]))
     schema = StructType([given.schema["row"], StructField("lang_pred", StringType()),
