@@ -27,6 +27,8 @@ of 10 bands of 3 rows with probability 0.84, at 0.65 with 0.96, at 0.75 with
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +51,19 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid"))
 
 
+def _trimmed(line: Column) -> Column:
+    """The line without white space at its ends; ``btrim`` with a set visits
+    every character, so only lines that have such an end go through it."""
+    ends = reduce(or_, [line.startswith(c) | line.endswith(c) for c in _SPACE])
+    return F.when(ends, F.btrim(line, F.lit(_SPACE))).otherwise(line)
+
+
 def _lines(rows: DataFrame) -> DataFrame:
     """``rid, doc_id, line_no (from 0), norm, id`` of every line that is not blank."""
     return (rows.select("rid", F.col("row.doc_id").cast("long").alias("doc_id"),
                         F.posexplode(F.split(F.col("row.text").cast("string"), "\n")).alias("line_no", "line"))
             .select("rid", "doc_id", F.col("line_no").cast("long").alias("line_no"),
-                    F.lower(F.btrim("line", F.lit(_SPACE))).alias("norm"))
+                    F.lower(_trimmed(F.col("line"))).alias("norm"))
             .where("norm != ''").withColumn("id", F.xxhash64("norm")))
 
 
@@ -121,8 +130,23 @@ def _bands(lines: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     return found.groupBy("id").agg(*[F.min(c).alias(c) for c in names])
 
 
-def _sets(norms: Iterable[str], shingle: int) -> list[np.ndarray]:
-    return [np.unique(windows([x], shingle)[0]) for x in norms]
+def _sets(norms: list[str], shingle: int) -> list[np.ndarray]:
+    """Each line's distinct hashes in order, some ``_UNITS`` characters at a time."""
+    out: list[np.ndarray] = []
+    i = 0
+    while i < len(norms):
+        j, size = i + 1, len(norms[i])
+        while j < len(norms) and size + len(norms[j]) <= _UNITS:
+            size += len(norms[j])
+            j += 1
+        h, first = windows(norms[i:j], shingle)
+        for a, b in zip(first, [*first[1:], len(h)], strict=True):
+            h[a:b].sort()
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        new[first] = True
+        out += np.split(h[new], np.cumsum(new)[first[1:]] - 1)
+        i = j
+    return out
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -136,7 +160,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
                 hub, other = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 texts_ = dict(zip(hub.tolist(), batch.column(2).to_pylist(), strict=True))
                 texts_ |= dict(zip(other.tolist(), batch.column(3).to_pylist(), strict=True))
-                sets = dict(zip(texts_, _sets(texts_.values(), shingle), strict=True))
+                sets = dict(zip(texts_, _sets([*texts_.values()], shingle), strict=True))
                 keep = np.zeros(batch.num_rows, bool)
                 for k, (x, y) in enumerate(zip(hub.tolist(), other.tolist(), strict=True)):
                     a, b = sets[x], sets[y]

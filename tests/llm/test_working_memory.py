@@ -1,5 +1,5 @@
 """What a task of language identification holds is bounded by bytes of text,
-not by rows."""
+not by rows; line dedup's sets and trimming take no step a line needs not."""
 
 import random
 import tracemalloc
@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.llm import langid
+from basketlens.llm import langid, lines
 from basketlens.llm.common import portions
 
 
@@ -63,3 +63,24 @@ def test_rows_keep_their_predictions_across_portions(spark):
     got = {r.doc_id: (r.n, r.lang_pred) for r in langid.identify(docs, model)
            .select("row.doc_id", F.length("row.text").alias("n"), "lang_pred").collect()}
     assert got == {k: (len(t) if t is not None else None, lang) for k, (t, lang) in said.items()}
+
+
+def test_sets_of_many_lines_are_built_together(monkeypatch):
+    rng = random.Random(5)
+    norms = ["".join(rng.choices("abé😀", k=rng.choice([1, 7, 8, 9, 60]))) for _ in range(700)] + ["ab" * 100_000, "x", "y" * 300]
+    want = [np.unique(lines.windows([x], 8)[0]) for x in norms]
+    calls = []
+    one = lines.windows
+    monkeypatch.setattr(lines, "windows", lambda part, n: (calls.append(len(part)), one(part, n))[1])
+    got = lines._sets(norms, 8)
+    assert len(got) == len(want) and all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+    assert len(calls) <= 4 and sum(calls) == len(norms)
+    assert lines._sets([], 8) == []
+
+
+def test_only_lines_with_white_space_at_an_end_are_trimmed(spark):
+    given = ["", " ", "a", "a b", " a", "a\t", "\r\x0ba b\x0c ", " a ", "é ", "\n"]
+    df = spark.createDataFrame([(x,) for x in given], "line string").select("line", lines._trimmed(F.col("line")).alias("t"))
+    assert {r.line: r.t for r in df.collect()} == {x: x.strip(" \t\n\r\x0b\x0c") for x in given}
+    plan = lines._lines(lines._numbered(spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")))
+    assert "CASE WHEN" in plan._jdf.queryExecution().analyzed().toString().split("btrim")[0]
