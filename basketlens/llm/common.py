@@ -20,11 +20,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: ends a write with the removal of its shuffle files, which nothing reads again
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back with its own schema:
-    the lineage ends there, and a lost executor re-reads the files."""
+    the lineage ends there, and a lost executor re-reads the files. The
+    shuffle files of the write go with it, not when the driver next happens
+    to collect its garbage. ``options`` are those of the Parquet writer."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

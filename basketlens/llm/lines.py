@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.llm.bitmaps import bitmap, marked
 from basketlens.llm.common import GOLDEN, drop, mix64, seeds, slices, stage
 from basketlens.llm.components import connected_components, extended_components
 
@@ -172,19 +173,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return both.mapInArrow(run, "hub long, id long")
 
 
-def _hub_pairs(buckets: DataFrame, pick) -> DataFrame:
-    hubs = (buckets.groupBy("key").agg(pick("id").alias("hub"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-            .where("lo != hi").select("key", "hub"))
-    return (buckets.join(hubs, "key").where("id != hub")
-            .select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")).distinct())
+def _shared(keys: DataFrame) -> DataFrame:
+    """``key, id, hub, n``: the bands of several classes, with their smallest
+    class and number of classes. Rows are dealt by key once, counted and
+    joined where they are."""
+    buckets = keys.select("id", F.explode(F.array(*keys.columns[1:])).alias("key")).repartition("key")
+    met = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return buckets.join(met.where("hub != hi").drop("hi"), "key")
 
 
-def _open_bands(shared: DataFrame, label: DataFrame, classes: int) -> DataFrame:
-    """``key, id, c``: the bands of at least so many classes that hold several components."""
-    marked = shared.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    mixed = (marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where((F.col("lo") != F.col("hi")) & (F.col("n") >= classes)).select("key"))
-    return stage(marked.join(mixed, "key"), "line-rest")
+def _open_bands(bands: DataFrame, label: DataFrame, classes: int) -> DataFrame:
+    """``key, id, n, c, last``: the bands of at least so many classes that
+    hold several components, with their largest class."""
+    placed = (bands.where(F.col("n") >= classes).select("key", "id", "n").join(label, "id", "left")
+              .select("key", "id", "n", F.coalesce("component", "id").alias("c")).repartition("key"))
+    mixed = (placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("id").alias("last"))
+             .where("lo != hi").select("key", "last"))
+    return stage(placed.join(mixed, "key"), "line-rest")
 
 
 def alike(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
@@ -214,7 +219,7 @@ def _open_links(rest: DataFrame, texts: DataFrame, shingle: int, percent: int) -
     over pieces by the lines' hashes, and each two pieces that must meet are
     a group of their own; smaller bands share groups."""
     units = F.length("norm")
-    met = stage(rest.join(texts, "id"), "line-open")
+    met = stage(rest.select("key", "id", "c").join(texts, "id"), "line-open")
     per = met.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.sum(units).alias("units"))
 
     def pieces(n, size):
@@ -268,24 +273,31 @@ def _components(rows: DataFrame, shingle: int, percent: int, bands: int, size: i
     lines = _lines(rows)
     placed = stage(lines.select("rid", "doc_id", "line_no", "id"), "lines")
     keys = stage(_bands(lines, shingle, bands, size), "line-keys")
-    buckets = keys.select("id", F.explode(F.array(*keys.columns[1:])).alias("key"))
-    shared = stage(buckets.join(buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                                .where("lo != hi").select("key"), "key"), "line-bands")
+    # some bands at a time: the shuffle of one part is gone before the next
+    parts = [stage(_shared(keys.select("id", *keys.columns[1:][i:i + 4])), "line-bands") for i in range(0, bands, 4)]
+    shared = reduce(DataFrame.unionByName, parts)
     drop(keys)
-    texts = stage(lines.select("id", "norm").join(shared.select("id").distinct(), "id", "left_semi")
-                  .dropDuplicates(["id"]), "line-texts")
-    tried = stage(_hub_pairs(shared, F.min), "line-pairs")
+    # most lines share no band: they are left out before the texts are shuffled
+    bits = bitmap(shared, "id")
+    texts = stage(marked(lines.select("id", "norm"), "id", bits).where("met").select("id", "norm")
+                  .join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "line-texts")
+    tried = stage(shared.where("id != hub").select("hub", "id").distinct(), "line-pairs")
     links = stage(_verified(tried, texts, shingle, percent), "line-links")
     label = stage(connected_components(links, "hub", "id"), "line-label")
     # two hubs cover every pair of a band of three classes
     second = _open_bands(shared, label, 3)
-    pairs = stage(_hub_pairs(second.select("key", "id"), F.max).join(tried, ["hub", "id"], "left_anti"), "line-pairs")
-    more = stage(_verified(pairs, texts, shingle, percent), "line-links")
+    drop(*parts, bits)
+    few = stage(texts.join(stage(second.select("id").distinct(), "ids"), "id", "left_semi"), "line-texts")
+    drop(texts)
+    pairs = stage(second.where("id != last").select(F.col("id").alias("hub"), F.col("last").alias("id")).distinct()
+                  .join(tried, ["hub", "id"], "left_anti"), "line-pairs")
+    more = stage(_verified(pairs, few, shingle, percent), "line-links")
     wider = stage(extended_components(label, more, "hub", "id"), "line-label")
+    # components only grow: what is open now was open before
+    rest = _open_bands(second.select("key", "id", "n"), wider, 4)
     drop(second, tried, pairs, links, more, label)
-    rest = _open_bands(shared, wider, 4)
-    links = stage(_open_links(rest, texts, shingle, percent), "line-links")
-    spent = [shared, texts, wider, rest]
+    links = stage(_open_links(rest, few, shingle, percent), "line-links")
+    spent = [few, wider, rest]
 
     label = extended_components(wider, links, "hub", "id")
     firsts = placed.groupBy("id").agg(F.min(F.struct("doc_id", "line_no", "rid")).alias("first"))
@@ -319,10 +331,13 @@ def dedup_lines(docs: DataFrame, shingle: int = 8, percent: int = 55, bands: int
     from the row it stands in, whatever other rows share its doc_id, so of
     rows repeated whole one keeps its lines. Lines of white space only stay;
     a row that had other lines and loses them all is dropped."""
-    numbered = stage(_numbered(docs), "line-docs")
+    numbered = stage(_numbered(docs), "line-docs", compression="zstd")
     gone = (_components(numbered, shingle, percent, bands, rows).where(~_is_first()).groupBy("rid")
             .agg(F.collect_set("line_no").alias("gone")))  # at most the lines of one row
-    joined = numbered.join(stage(gone, "line-gone"), "rid", "left")
+    gone = stage(gone, "line-gone")
+    found = marked(numbered, "rid", bitmap(gone, "rid"))
+    joined = (found.where("met").drop("met").join(gone, "rid", "left")  # only these are shuffled
+              .unionByName(found.where("not met").drop("met").withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))))
     lines = F.split("row.text", "\n")
     left = F.transform(F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "gone"),
                        lambda i: F.get(lines, i.cast("int")))

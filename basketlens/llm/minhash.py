@@ -145,11 +145,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, tables_ro
               .agg(F.min(F.struct("doc_id", "n_shingles", "halves")).alias("x")))
     classes = firsts.select(F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"),
                             F.col("x.halves").alias("halves"))
-    buckets = _buckets(classes, tables_root)
+    buckets = _buckets(classes, tables_root).repartition("key")
     met = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
     buckets = stage(buckets.join(met, "key"), "buckets")
+    # stored, their size is known: where they are few the texts are not shuffled
+    ids = stage(buckets.select("id").distinct(), "ids")
     texts = stage(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-                  .join(buckets.select("id").distinct(), "id", "left_semi"), "texts")
+                  .join(ids, "id", "left_semi"), "texts")
+    drop(ids)
     reps = linked.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     member = stage(sig.select("doc_id", "n_shingles", "set_a", "set_b").join(
         reps, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", "rep"), "members")
@@ -191,4 +194,4 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     rows with a null doc_id stay (nothing is linked to them), and of rows
     that share a doc_id each stays."""
     gone = near_duplicates(docs, **options).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(stage(gone, "gone"), "doc_id", "left_anti")
